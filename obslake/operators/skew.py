@@ -14,9 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from obslake.session import scratch_path
+
 HOT_ROWS = 5_000_000
 CHUNKS = 256
-_CHUNK, _GUEST = "_chunk", "_guest"
+_CHUNK, _HOT, _GUEST = "_chunk", "_hot", "_guest"
 
 
 def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -25,54 +27,67 @@ def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     The count is combined before its shuffle, and there can be no more such
     keys than all rows / ``hot_rows``.
     """
-    return rows.groupBy(key).count().where(F.col("count") > hot_rows).select(key)
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.where(F.col("_rows") > hot_rows).select(key)
 
 
 def has_hot_key(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> bool:
     """Whether some key is hot: a scan of the key column alone."""
-    return not hot_keys(rows.select(key), key, hot_rows).isEmpty()
+    return not hot_keys(rows, key, hot_rows).isEmpty()
+
+
+def _match(rows: DataFrame, found: DataFrame, key: str, how: str) -> DataFrame:
+    """Join on the key, where a NULL key (unknown station) equals a NULL key."""
+    right = found.withColumnRenamed(key, "_key")
+    out = rows.join(right, F.col(key).eqNullSafe(F.col("_key")), how)
+    return out if how == "left_semi" else out.drop("_key")
 
 
-def _with_chunks(rows: DataFrame, key: str, ts: str, hot: DataFrame, chunks: int) -> DataFrame:
-    """``rows`` with a chunk number: equal-depth in time for hot keys, 0 for the others."""
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+def _with_chunks(
+    rows: DataFrame, probe: DataFrame, key: str, ts: str, hot_rows: int, chunks: int
+) -> DataFrame:
+    """``rows`` with a chunk number: equal-depth in time for hot keys, 0 for the others.
+
+    The cut points come from ``probe``, one short array per hot key.
+    """
     cuts = [i / chunks for i in range(1, chunks)]
-    edges = (
-        rows.join(hot, key, "left_semi")
-        .groupBy(key)
-        .agg(F.array_distinct(F.percentile_approx(micros, cuts, 100 * chunks)).alias("_edges"))
+    points = F.percentile_approx(F.unix_micros(ts), cuts, 100 * chunks)
+    hot = hot_keys(probe, key, hot_rows)
+    edges = _match(probe, hot, key, "left_semi").groupBy(key).agg(
+        F.array_distinct(points).alias("_edges")
+    )
+    micros = F.unix_micros(F.col(ts))
+    passed = F.size(F.filter("_edges", lambda edge: edge < micros))
+    return (
+        _match(rows, edges, key, "left")
+        .withColumn(_HOT, F.col("_edges").isNotNull())
+        .withColumn(_CHUNK, F.when(F.col(_HOT), passed).otherwise(0))
+        .drop("_edges")
     )
-    below = F.size(F.filter("_edges", lambda edge: edge < micros))
-    chunk = F.when(F.col("_edges").isNull(), 0).otherwise(below)
-    return rows.join(edges, key, "left").withColumn(_CHUNK, chunk).drop("_edges")
 
 
-def _guests(tagged: DataFrame, key: str, order: list[Column], reach: int, ahead: bool) -> DataFrame:
-    """The rows each chunk needs from the chunks before it (or after it, if ``ahead``).
+def _guests(hot: DataFrame, key: str, outward: list[Column], reach: int) -> DataFrame:
+    """The rows that other chunks' frames reach into, once for each such chunk.
 
-    The ``reach`` rows at the edge of every chunk are kept, at most
-    chunks x reach per key. Among those alone, in time order, a row belongs
-    to the frame of another chunk exactly when that chunk begins within the
-    next ``reach`` rows.
+    ``outward`` is time order seen from the chunk that needs the rows: newest
+    first for rows before it. Only the ``reach`` rows nearest to each cut
+    matter, at most chunks x reach per key. Among those alone, a row is in
+    the frame of another chunk exactly when that chunk has one of the
+    ``reach`` rows next to it.
     """
-    outward = order if ahead else [_reverse(c) for c in order]
     edge = Window.partitionBy(key, _CHUNK).orderBy(*outward)
     near = Window.partitionBy(key).orderBy(*outward).rowsBetween(-reach, -1)
+    others = F.array_except(F.collect_set(_CHUNK).over(near), F.array(_CHUNK))
     return (
-        tagged.withColumn("_pos", F.row_number().over(edge))
+        hot.withColumn("_pos", F.row_number().over(edge))
         .where(F.col("_pos") <= reach)
         .drop("_pos")
-        .withColumn("_others", F.array_except(F.collect_set(_CHUNK).over(near), F.array(_CHUNK)))
+        .withColumn("_others", others)
         .withColumn(_CHUNK, F.explode("_others"))
         .drop("_others")
     )
 
 
-def _reverse(order: Column) -> Column:
-    """Descending twin of an ascending column; NULLs stay at the mirrored end."""
-    return order.desc_nulls_last()
-
-
 def over_key(
     rows: DataFrame,
     key: str,
@@ -83,24 +98,29 @@ def over_key(
     after: int = 0,
     hot_rows: int = HOT_ROWS,
     probe: DataFrame | None = None,
+    hot: bool | None = None,
     chunks: int = CHUNKS,
 ) -> DataFrame:
     """``build(frame, window)`` over each key's rows in time order.
 
     ``build`` adds columns whose frames reach at most ``before`` rows back and
     ``after`` rows ahead of a row. ``probe`` is a cheaper frame (such as the
-    input before deduplication) whose key counts bound those of ``rows``.
+    input before deduplication) whose key counts bound those of ``rows``;
+    ``hot`` gives the answer where the caller has probed already. Cut rows
+    are written once to the shared folder, since three branches read them.
     """
+    probe = (rows if probe is None else probe).select(key, ts)
     order = [F.col(c) for c in [ts, *ties]]
-    if not has_hot_key(rows if probe is None else probe, key, hot_rows):
+    if not (has_hot_key(probe, key, hot_rows) if hot is None else hot):
         return build(rows, Window.partitionBy(key).orderBy(*order))
-    hot = hot_keys(rows.select(key), key, hot_rows)
-    tagged = _with_chunks(rows, key, ts, hot, chunks)
+    spark = rows.sparkSession
+    path = scratch_path(spark, "chunks")
+    _with_chunks(rows, probe, key, ts, hot_rows, chunks).write.parquet(path)
+    tagged = spark.read.parquet(path)
     parts = tagged.withColumn(_GUEST, F.lit(False))
-    for reach, ahead in ((before, False), (after, True)):
+    for reach, outward in ((before, [c.desc_nulls_last() for c in order]), (after, order)):
         if reach:
-            cut = tagged.join(hot, key, "left_semi")
-            guests = _guests(cut, key, order, reach, ahead)
+            guests = _guests(tagged.where(_HOT), key, outward, reach)
             parts = parts.unionByName(guests.withColumn(_GUEST, F.lit(True)))
     window = Window.partitionBy(key, _CHUNK).orderBy(*order)
-    return build(parts, window).where(~F.col(_GUEST)).drop(_GUEST, _CHUNK)
+    return build(parts, window).where(~F.col(_GUEST)).drop(_GUEST, _HOT, _CHUNK)

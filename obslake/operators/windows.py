@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from obslake.operators.skew import HOT_ROWS, over_key
 
-DAY_SECONDS = 86_400
-
 
 def full_frame(aggregate: Column, value: str, window: WindowSpec, size: int) -> Column:
     """``aggregate`` only where the frame holds ``size`` values that are not NULL."""
@@ -30,12 +28,13 @@ def trailing_indicators(
     rows: DataFrame,
     probe: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
+    hot: bool | None = None,
     ties: list[str] | None = None,
 ) -> DataFrame:
     """Means of the last 3 and 7 rows of a station, deviation of 7, and the anomaly."""
     return over_key(
         rows, "station_id", "timestamp", ties or [], _trailing, before=6,
-        hot_rows=hot_rows, probe=probe,
+        hot_rows=hot_rows, probe=probe, hot=hot,
     )
 
 
@@ -45,8 +44,6 @@ def trailing_days(rows: DataFrame) -> DataFrame:
     Days are pre-aggregated per station, so the window sees one row per
     station and day however many observations the day holds.
     """
-    from pyspark.sql import Window
-
     moments = rows.groupBy("station_id", "dt").agg(
         F.count("temperature").alias("_n"),
         F.sum("temperature").alias("_s"),
