@@ -18,6 +18,7 @@ from obslake.session import scratch_path
 
 HOT_ROWS = 5_000_000
 CHUNKS = 256
+BROADCAST_KEYS = 5_000
 _CHUNK, _HOT, _GUEST = "_chunk", "_hot", "_guest"
 
 
@@ -31,9 +32,9 @@ def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     return counts.where(F.col("_rows") > hot_rows).select(key)
 
 
-def has_hot_key(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> bool:
-    """Whether some key is hot: a scan of the key column alone."""
-    return not hot_keys(rows, key, hot_rows).isEmpty()
+def count_hot(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> int:
+    """Number of hot keys: a scan of the key column alone."""
+    return hot_keys(rows, key, hot_rows).count()
 
 
 def _match(rows: DataFrame, found: DataFrame, key: str, how: str) -> DataFrame:
@@ -44,22 +45,27 @@ def _match(rows: DataFrame, found: DataFrame, key: str, how: str) -> DataFrame:
 
 
 def _with_chunks(
-    rows: DataFrame, probe: DataFrame, key: str, ts: str, hot_rows: int, chunks: int
+    rows: DataFrame, probe: DataFrame, key: str, ts: str, hot_rows: int, hot: int, chunks: int
 ) -> DataFrame:
     """``rows`` with a chunk number: equal-depth in time for hot keys, 0 for the others.
 
-    The cut points come from ``probe``, one short array per hot key.
+    The cut points come from ``probe``, one array of up to ``chunks`` numbers
+    per hot key; they are broadcast only for a counted, small number of keys.
     """
+
+    def sized(found: DataFrame) -> DataFrame:
+        return F.broadcast(found) if hot <= BROADCAST_KEYS else found
+
     cuts = [i / chunks for i in range(1, chunks)]
     points = F.percentile_approx(F.unix_micros(ts), cuts, 100 * chunks)
-    hot = hot_keys(probe, key, hot_rows)
-    edges = _match(probe, hot, key, "left_semi").groupBy(key).agg(
+    found = sized(hot_keys(probe, key, hot_rows))
+    edges = _match(probe, found, key, "left_semi").groupBy(key).agg(
         F.array_distinct(points).alias("_edges")
     )
     micros = F.unix_micros(F.col(ts))
     passed = F.size(F.filter("_edges", lambda edge: edge < micros))
     return (
-        _match(rows, edges, key, "left")
+        _match(rows, sized(edges), key, "left")
         .withColumn(_HOT, F.col("_edges").isNotNull())
         .withColumn(_CHUNK, F.when(F.col(_HOT), passed).otherwise(0))
         .drop("_edges")
@@ -98,7 +104,7 @@ def over_key(
     after: int = 0,
     hot_rows: int = HOT_ROWS,
     probe: DataFrame | None = None,
-    hot: bool | None = None,
+    hot: int | None = None,
     chunks: int = CHUNKS,
 ) -> DataFrame:
     """``build(frame, window)`` over each key's rows in time order.
@@ -106,16 +112,17 @@ def over_key(
     ``build`` adds columns whose frames reach at most ``before`` rows back and
     ``after`` rows ahead of a row. ``probe`` is a cheaper frame (such as the
     input before deduplication) whose key counts bound those of ``rows``;
-    ``hot`` gives the answer where the caller has probed already. Cut rows
+    ``hot`` is the number of hot keys where the caller has counted them already. Cut rows
     are written once to the shared folder, since three branches read them.
     """
     probe = (rows if probe is None else probe).select(key, ts)
     order = [F.col(c) for c in [ts, *ties]]
-    if not (has_hot_key(probe, key, hot_rows) if hot is None else hot):
+    hot = count_hot(probe, key, hot_rows) if hot is None else hot
+    if not hot:
         return build(rows, Window.partitionBy(key).orderBy(*order))
     spark = rows.sparkSession
     path = scratch_path(spark, "chunks")
-    _with_chunks(rows, probe, key, ts, hot_rows, chunks).write.parquet(path)
+    _with_chunks(rows, probe, key, ts, hot_rows, hot, chunks).write.parquet(path)
     tagged = spark.read.parquet(path)
     parts = tagged.withColumn(_GUEST, F.lit(False))
     for reach, outward in ((before, [c.desc_nulls_last() for c in order]), (after, order)):

@@ -28,7 +28,7 @@ def trailing_indicators(
     rows: DataFrame,
     probe: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    hot: bool | None = None,
+    hot: int | None = None,
     ties: list[str] | None = None,
 ) -> DataFrame:
     """Means of the last 3 and 7 rows of a station, deviation of 7, and the anomaly."""
@@ -58,7 +58,7 @@ def trailing_days(rows: DataFrame) -> DataFrame:
         "dt",
         F.try_divide(F.sum("_s").over(three), F.sum("_n").over(three)).alias("temp_ma3"),
         F.try_divide(s, n).alias("temp_ma7"),
-        F.sqrt(F.greatest(F.lit(0.0), spread)).alias("temp_std7"),
+        F.sqrt(F.when(spread < 0, 0.0).otherwise(spread)).alias("temp_std7"),
     )
     return rows.join(daily, ["station_id", "dt"], "left").withColumn(
         "temp_anomaly", F.col("temperature") - F.col("temp_ma7")

@@ -17,7 +17,7 @@ from obslake.functions.calendar import calendar_parts, season_of_month
 from obslake.functions.weather import absolute_error, confidence
 from obslake.operators.aggregates import split_scores
 from obslake.operators.filters import last_days, missing_columns, require_columns
-from obslake.operators.joins import dense_index, encode, label_index, semi
+from obslake.operators.joins import counted, dense_index, encode, label_index, semi
 from obslake.operators.skew import HOT_ROWS
 from obslake.operators.views import top_locations
 from obslake.operators.windows import series_features
@@ -35,7 +35,7 @@ HISTORY_DAYS, SCORING_DAYS, MAX_LOCATIONS = 730, 30, 200
 def history(obs: DataFrame, days: int = HISTORY_DAYS, locations: int | None = MAX_LOCATIONS) -> DataFrame:
     """The last ``days`` of the locations with most observations."""
     recent = last_days(obs, days).withColumn("location", F.col("city").cast("string"))
-    return recent if locations is None else semi(recent, top_locations(recent, locations), "location")
+    return recent if locations is None else semi(recent, F.broadcast(top_locations(recent, locations)), "location")
 
 
 def build_features(
@@ -62,7 +62,8 @@ def build_features(
         {name: parts[name] for name in ("month", "dayofyear", "dayofweek", "is_weekend", "year")}
     ).withColumn("season", season_of_month(F.col("month"), summer="été"))
     needed = ["temp_lag7", "target"] if drop_missing_target else ["temp_lag7"]
-    return encode(featured, label_index(obs, "city"), "city", "city_encoded").dropna(subset=needed)
+    cities = counted(label_index(obs, "city"))
+    return encode(featured, cities, "city", "city_encoded").dropna(subset=needed)
 
 
 def write_features(features: DataFrame, path: str) -> None:
@@ -83,13 +84,16 @@ def date_splits(df: DataFrame, test_size: float = 0.15) -> DataFrame:
 
 
 def with_split(features: DataFrame, test_size: float = 0.15, check: bool = True) -> DataFrame:
-    """Each row with its split; raises when a part would be empty."""
+    """Each row with its split; raises when a part would be empty.
+
+    There is one lookup row per calendar day, so it is broadcast.
+    """
     days = date_splits(features, test_size)
     if check:
         found = days.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("split").alias("parts")).first()
         if found["n"] < 3 or found["parts"] < 3:
             raise ValueError(f"{found['n']} distinct days are too few for a time split")
-    return features.join(days, "dt")
+    return features.join(F.broadcast(days), "dt")
 
 
 def feature_names(df: DataFrame) -> list[str]:
@@ -107,7 +111,7 @@ def encoders(train: DataFrame) -> DataFrame:
     for name in texts:
         ranks = label_index(train, name).select(F.lit(name).alias("feature"), "label", "idx")
         out = out.unionByName(ranks)
-    return out
+    return counted(out)
 
 
 def apply_encoders(df: DataFrame, ranks: DataFrame) -> DataFrame:

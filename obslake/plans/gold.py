@@ -11,6 +11,7 @@ from obslake.operators.aggregates import (
 )
 from obslake.operators.filters import date_range, partitions
 from obslake.plans import ledger
+from obslake.session import settle
 from obslake.sources.readers import read_table
 from obslake.sources.sinks import write_partitions
 
@@ -23,16 +24,19 @@ def by_year(df: DataFrame) -> DataFrame:
 
 
 def touched_weeks(daily: DataFrame, days: DataFrame) -> DataFrame:
-    """All daily rows of the (year, week) groups that hold a touched day."""
+    """All daily rows of the (year, week) groups that hold a touched day.
+
+    The calendar bounds the groups: 54 weeks a year.
+    """
     key = ["_year", "_week"]
     parts = {"_year": F.year("dt"), "_week": F.weekofyear("dt")}
-    touched = days.select(*[col.alias(name) for name, col in parts.items()]).distinct()
+    touched = F.broadcast(days.select(*[col.alias(name) for name, col in parts.items()]).distinct())
     return daily.withColumns(parts).join(touched, key, "left_semi").drop(*key)
 
 
 def touched_months(daily: DataFrame, days: DataFrame) -> DataFrame:
     """All daily rows, of any year, of the months that hold a touched day."""
-    touched = days.select(F.month("dt").alias("_month")).distinct()
+    touched = F.broadcast(days.select(F.month("dt").alias("_month")).distinct())
     return daily.withColumn("_month", F.month("dt")).join(touched, "_month", "left_semi").drop("_month")
 
 
@@ -59,7 +63,7 @@ def write_gold(
     keys = years.withColumn("key", ledger.work_key(DAILY, F.col("year")))
     if only_new:
         keys = ledger.pending(keys, ledger.read_ledger(spark, ledger_path), "gold", changed_at)
-    keys = ledger.settle(keys)
+    keys = settle(keys)
     wanted = keys.select(F.col("year").cast("int").alias("year"))
     if "year" not in rows.columns:
         rows = by_year(rows)

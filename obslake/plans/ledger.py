@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obslake.schemas import JOURNAL, LEDGER
-from obslake.session import shared_dir
+from obslake.session import settle
 from obslake.sources.readers import read_table
 from obslake.sources.sinks import append_rows
 
@@ -34,12 +34,6 @@ def read_journal(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], JOURNAL) if found is None else found
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cuts the plan at a reliable checkpoint, so that all later uses see the same rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def clean_keys(keys: DataFrame) -> DataFrame:
     """Keys as text, each once, without blank ones."""
     text = keys.select(F.col("key").cast("string").alias("key"))
@@ -71,7 +65,7 @@ def reset(spark: SparkSession, path: str, stage: str) -> None:
 
 def state(ledger: DataFrame) -> DataFrame:
     """Newest action of each key."""
-    newest = F.max_by(F.struct("action", "at", "run_id"), F.struct("at", "action"))
+    newest = F.max(F.struct("at", "action", "run_id"))
     latest = ledger.groupBy("stage", "key").agg(newest.alias("s"))
     return latest.select("stage", "key", "s.action", "s.at", "s.run_id")
 

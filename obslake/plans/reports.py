@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from obslake.functions.formats import number_text
 from obslake.plans import ledger
+from obslake.session import settle
 from obslake.sources.sinks import append_rows
 
 # The sections of the context text and the sentences around them.
@@ -86,9 +87,9 @@ def day_context(daily: DataFrame, events: DataFrame, forecasts: DataFrame) -> Da
     return counts.fillna(0)
 
 
-def _lines(df: DataFrame, section: int, text: Column, order: list[str]) -> DataFrame:
-    """One line per row; ``order`` fixes its place within the section."""
-    place = F.to_json(F.struct(*order), {"ignoreNullFields": "false"})
+def _lines(df: DataFrame, section: int, text: Column, by_day: bool = True) -> DataFrame:
+    """One line per row, placed by its day and then by its own text."""
+    place = F.coalesce(_day().cast("string"), F.lit("")) if by_day else F.lit("")
     return df.select("report_dt", F.lit(section).alias("section"), place.alias("place"), text.alias("line"))
 
 
@@ -101,20 +102,19 @@ def _fixed(days: DataFrame, section: int, lines: list[str | Column]) -> DataFram
 
 
 def _section(
-    days: DataFrame, body: DataFrame, section: int, head: str, missing: str, blank: bool, always: bool
+    days: DataFrame, body: DataFrame, section: int, head: str, missing: str, always: bool
 ) -> list[DataFrame]:
-    """Heading, rows and closing blank of a section, or its placeholder on days without rows.
+    """Heading and rows of a section, or its placeholder on days without rows.
 
     ``always`` keeps the heading above the placeholder.
     """
     filled = days.join(body.select("report_dt").distinct(), "report_dt", "left_semi")
     empty = days.join(body.select("report_dt").distinct(), "report_dt", "left_anti")
-    out = [
+    return [
         _fixed(days if always else filled, section, [head]),
         body.join(days, "report_dt", "left_semi"),
         _fixed(empty, section + 1, [missing]),
     ]
-    return out + ([_fixed(days, section + 2, [""])] if blank else [])
 
 
 def _preferred_rows(daily: DataFrame) -> DataFrame:
@@ -140,15 +140,15 @@ def bulletin_lines(
         FORECAST_LINE, name, number_text(F.col("temp_predicted")), number_text(F.col("confidence"), 2)
     )
     bodies = [
-        _lines(observed, 110, F.format_string(OBSERVED_LINE, name, *figures), ["city", "source"]),
-        _lines(two_days(events), 210, F.rtrim(event), ["dt", "city", "source", "event_type"]),
-        _lines(two_days(forecasts), 310, forecast, ["dt", "city", "source", "temp_predicted"]),
+        _lines(observed, 110, F.format_string(OBSERVED_LINE, name, *figures), by_day=False),
+        _lines(two_days(events), 210, F.rtrim(event)),
+        _lines(two_days(forecasts), 310, forecast),
     ]
     opening = F.format_string(BULLETIN_OPENING, F.date_format("report_dt", "yyyy-MM-dd"))
     parts = [_fixed(days, 0, [BULLETIN_TITLE, "", opening])]
     for number, (body, (head, missing)) in enumerate(zip(bodies, BULLETIN_SECTIONS), start=1):
         start = 100 * number
-        parts += _section(days, body, start, head, missing, blank=False, always=False)
+        parts += _section(days, body, start, head, missing, always=False)
     parts.append(_fixed(days, 900, ["", BULLETIN_CLOSING]))
     return reduce(DataFrame.unionByName, parts)
 
@@ -164,12 +164,11 @@ def context_lines(
         start = 100 * number
         shown = [c for c in names if c in df.columns]
         cells = [_cell(df, c) for c in shown]
-        order = [c for c in ("dt", "city", "source", "event_type", "temp_predicted") if c in df.columns]
-        body = _lines(two_days(df), start + 20, F.concat_ws(" | ", *cells), order)
+        body = _lines(two_days(df), start + 20, F.concat_ws(" | ", *cells))
         titled = body.unionByName(
             _fixed(body.select("report_dt").distinct(), start + 10, [" | ".join(shown)])
         )
-        parts += _section(days, titled, start, head, missing, blank=False, always=True)
+        parts += _section(days, titled, start, head, missing, always=True)
         parts.append(_fixed(days, start + 90, [""]))
     parts.append(_fixed(days, 900, list(CONTEXT_CLOSING)))
     return reduce(DataFrame.unionByName, parts)
@@ -213,7 +212,7 @@ def write_bulletins(
     keys = report_days(daily).withColumn("key", F.date_format("report_dt", "yyyy-MM-dd"))
     if not force:
         keys = ledger.pending(keys, ledger.read_ledger(spark, ledger_path), "bulletin")
-    keys = ledger.settle(keys)
+    keys = settle(keys)
     lines = bulletin_lines(daily, events, forecasts, keys.select("report_dt"))
     append_rows(bulletin_records(documents(lines)), path)
     ledger.mark(spark, ledger_path, "bulletin", keys)

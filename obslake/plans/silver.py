@@ -10,12 +10,13 @@ from obslake.functions.weather import mean_temperature
 from obslake.operators.dedup import dedup_observations
 from obslake.operators.filters import date_range, optional, partitions, require_columns, with_time
 from obslake.operators.joins import union_all
-from obslake.operators.skew import HOT_ROWS, has_hot_key
+from obslake.operators.skew import HOT_ROWS, count_hot
 from obslake.operators.windows import trailing_indicators
 from obslake.plans import ledger
 from obslake.schemas import (
     ARCHIVE_REQUIRED, FEED_REQUIRED, INDICATORS, OBSERVATION, OBSERVATION_COLUMNS,
 )
+from obslake.session import settle
 from obslake.sources.readers import read_archives, read_feed
 from obslake.sources.sinks import write_partitions
 
@@ -97,7 +98,7 @@ def build_silver(
     if union is None:
         return None
     rows = with_time(union)
-    hot = has_hot_key(rows, "station_id", hot_rows)
+    hot = count_hot(rows, "station_id", hot_rows)
     unique = dedup_observations(rows if hot else rows.repartition("station_id"))
     return date_range(
         trailing_indicators(unique, probe=rows, hot_rows=hot_rows, hot=hot), start, end
@@ -141,7 +142,7 @@ def write_silver(
         years = ledger.pending(
             years, ledger.read_ledger(spark, ledger_path), "silver", changed_at
         )
-    years = ledger.settle(years)
+    years = settle(years)
     silver = build_silver(frames, start, end).withColumn("year", F.year("dt"))
     if only_new:
         silver = partitions(silver, "year", years.select(F.col("key").cast("int").alias("year")))

@@ -43,7 +43,7 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 def append_text(df: DataFrame, path: str, columns: list[str]) -> None:
     """Appends raw text lines below their partition folders."""
-    df.write.mode("append").partitionBy(*columns).text(path)
+    df.hint("rebalance", *columns).write.mode("append").partitionBy(*columns).text(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -11,7 +11,6 @@ from obslake.functions.weather import FEED_BOUNDS
 from obslake.operators.filters import usable, within_bounds
 from obslake.plans import ledger
 from obslake.schemas import FEED_MESSAGE, OBSERVATION_COLUMNS
-from obslake.sources.sinks import append_rows
 
 # Rate limit and trigger of the feed job.
 OFFSETS_PER_TRIGGER = 20_000
@@ -76,7 +75,7 @@ def checked_fields(messages: DataFrame) -> DataFrame:
 def write_hours(batch: DataFrame, epoch: int, path: str, ledger_path: str, name: str = "feed") -> None:
     """Writes one micro-batch below its hours and marks the hours.
 
-    The batch is parsed once. Its files lie in a folder of the stream and the
+    The batch is parsed once and an hour's rows go to one file. The files lie in a folder of the stream and the
     epoch, so a replayed epoch replaces its own files and nothing is doubled.
     """
     rows = by_hour(batch).withColumn("epoch", F.lit(f"{name}-{epoch}")).persist()
@@ -85,7 +84,7 @@ def write_hours(batch: DataFrame, epoch: int, path: str, ledger_path: str, name:
         if hours.isEmpty():
             return
         (
-            rows.write.mode("overwrite")
+            rows.hint("rebalance", *HOUR_COLUMNS).write.mode("overwrite")
             .partitionBy(*HOUR_COLUMNS, "epoch")
             .option("partitionOverwriteMode", "dynamic")
             .text(path)
@@ -149,5 +148,41 @@ def start_unique(messages: DataFrame, path: str, checkpoint: str, delay: str = "
     )
 
 
-def append_batch(batch: DataFrame, path: str) -> None:
-    append_rows(batch, path)
+
+# The cities asked for when no list is given.
+DEFAULT_CITIES = [
+    ("Paris", 48.8534, 2.3488),
+    ("Lyon", 45.764, 4.8357),
+    ("Marseille", 43.2965, 5.3698),
+    ("Bordeaux", 44.8378, -0.5792),
+    ("Lille", 50.6292, 3.0573),
+]
+CITY_LIST = "array<struct<city: string, latitude: double, longitude: double>>"
+
+
+def city_list(rows: DataFrame, column: str) -> DataFrame:
+    """Cities of JSON array texts; an empty or unreadable text stands for the fixed list."""
+    listed = F.from_json(column, CITY_LIST)
+    fixed = F.array(
+        *[
+            F.struct(F.lit(city).alias("city"), F.lit(lat).alias("latitude"), F.lit(lon).alias("longitude"))
+            for city, lat, lon in DEFAULT_CITIES
+        ]
+    )
+    chosen = F.when(F.size(F.coalesce(listed, F.array().cast(CITY_LIST))) > 0, listed).otherwise(fixed)
+    return rows.select(F.inline(chosen))
+
+
+def flatten_record(calls: DataFrame) -> DataFrame:
+    """Service answers (city, coordinates, ``current`` struct) as feed fields."""
+    now = "current."
+    return calls.select(
+        "city", "latitude", "longitude",
+        F.col(now + "time").alias("timestamp"),
+        F.col(now + "temperature_2m").alias("temperature"),
+        F.col(now + "wind_speed_10m").alias("windspeed"),
+        F.col(now + "wind_direction_10m").alias("winddirection"),
+        F.col(now + "weather_code").alias("weathercode"),
+        F.col(now + "precipitation").alias("precipitation"),
+        F.lit("OPENMETEO").alias("source"),
+    )
