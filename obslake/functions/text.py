@@ -9,26 +9,42 @@ from pyspark.sql import functions as F
 PLACE_PREFIXES = ["SAINT", "SAINTE", "ST", "STE", "LE", "LA", "LES"]
 CITY_PATTERN = rf"^((?:(?:{'|'.join(PLACE_PREFIXES)})[- ])*[^- ]*)"
 
-NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-DATE_PATTERN = r"^(\d{4})(-?)(\d{2})\2(\d{2})$"
+DIGITS = "0123456789"
+BLANKS = " \t\n\r\f\x0b"
+
+
+def strip(text: Column) -> Column:
+    """Outer blanks of any kind removed."""
+    return F.btrim(text.cast("string"), F.lit(BLANKS))
+
+
+def only(text: Column, characters: str) -> Column:
+    """Whether the text is not empty and holds none but these characters.
+
+    Cheaper than a pattern, and a failing cast costs far more than this test.
+    """
+    return (text != "") & (F.translate(text, characters, "") == "")
 
 
 def squeeze(text: Column) -> Column:
     """Outer blanks removed, inner runs of blanks made one space."""
-    return F.trim(F.regexp_replace(text.cast("string"), r"\s+", " "))
+    return F.regexp_replace(strip(text), r"\s+", " ")
 
 
 def parse_number(value: Column) -> Column:
     """Text to double; decimal comma allowed; anything else, NaN included, is NULL."""
-    text = F.replace(squeeze(value), F.lit(","), F.lit("."))
-    return F.when(text.rlike(NUMBER_PATTERN), text).try_cast("double")
+    text = strip(F.translate(value.cast("string"), ",", "."))
+    return F.when(only(text, DIGITS + "+-.eE"), text).try_cast("double")
 
 
 def parse_date(value: Column) -> Column:
     """``YYYYMMDD`` or ``YYYY-MM-DD`` to date; an impossible day is NULL."""
-    text = squeeze(value)
-    dashed = F.regexp_replace(text, DATE_PATTERN, "$1-$3-$4")
-    return F.when(text.rlike(DATE_PATTERN), dashed).try_cast("date")
+    text = strip(value)
+    dashed = (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    digits = F.when(dashed, F.translate(text, "-", "")).otherwise(text)
+    parts = [F.substring(digits, start, size) for start, size in ((1, 4), (5, 2), (7, 2))]
+    whole = (F.length(digits) == 8) & only(digits, DIGITS)
+    return F.when(whole, F.concat_ws("-", *parts)).try_cast("date")
 
 
 def station_id(code: Column) -> Column:
@@ -37,19 +53,19 @@ def station_id(code: Column) -> Column:
     padded = F.lpad(text, F.greatest(F.lit(8), F.length(text)), F.lit("0"))
     return (
         F.when(F.coalesce(text, F.lit("")) == "", F.lit(""))
-        .when(text.rlike(r"^\d+$"), F.concat(F.lit("MF_"), padded))
+        .when(only(text, DIGITS), F.concat(F.lit("MF_"), padded))
         .otherwise(F.concat(F.lit("MF_"), text))
     )
 
 
 def city_name(station_name: Column) -> Column:
-    """The place in a station name, each word capitalised."""
+    """The place in a station name, each word capitalised.
+
+    ``initcap`` sees words only after a space, so hyphens get one for its sake.
+    """
     head = F.regexp_extract(F.upper(squeeze(station_name)), CITY_PATTERN, 1)
-    words = F.transform(
-        F.split(head, r"(?<=[- ])"),
-        lambda w: F.concat(F.substring(w, 1, 1), F.lower(F.substring(w, 2, 10_000))),
-    )
-    return F.coalesce(F.array_join(words, ""), F.lit(""))
+    spaced = F.initcap(F.replace(head, F.lit("-"), F.lit("- ")))
+    return F.coalesce(F.replace(spaced, F.lit("- "), F.lit("-")), F.lit(""))
 
 
 def same_text(left: Column, right: Column) -> Column:

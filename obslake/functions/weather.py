@@ -7,8 +7,6 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.functions.text import parse_number
-
 # Alert limits, with the environment variable that replaces each.
 THRESHOLDS = {
     "heatwave": ("THRESHOLD_HEATWAVE_C", 35.0),
@@ -72,9 +70,11 @@ def thresholds_frame(spark: SparkSession, overrides: dict[str, float] | None = N
 
 
 def mean_temperature(mean: Column, low: Column, high: Column) -> Column:
-    """The given mean, else half of low + high, else the one present (two decimals)."""
-    m, lo, hi = parse_number(mean), parse_number(low), parse_number(high)
-    return F.round(F.coalesce(m, (lo + hi) / 2, lo, hi), 2)
+    """The given mean, else half of low + high, else the one present (two decimals).
+
+    Takes numbers; texts are parsed first, in a projection of their own.
+    """
+    return F.round(F.coalesce(mean, (low + high) / 2, low, high), 2)
 
 
 def bounded(value: Column, low: float, high: float) -> Column:

@@ -8,6 +8,7 @@ bounded by the network, not by the history.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -93,34 +94,35 @@ def _lines(df: DataFrame, section: int, text: Column, by_day: bool = True) -> Da
     return df.select("report_dt", F.lit(section).alias("section"), place.alias("place"), text.alias("line"))
 
 
-def _fixed(days: DataFrame, section: int, lines: list[str | Column]) -> DataFrame:
-    """The same lines on every day."""
-    texts = [F.lit(t) if isinstance(t, str) else t for t in lines]
-    return days.select("report_dt", F.posexplode(F.array(*texts)).alias("_i", "line")).select(
-        "report_dt", F.lit(section).alias("section"), F.format_string("%03d", "_i").alias("place"), "line"
-    )
-
+def _framed(body: DataFrame, days: DataFrame, frame: Callable[[list[Column]], list[tuple]]) -> DataFrame:
+    """The rows of ``body`` on the given days together with their framing lines.
 
-def _section(
-    days: DataFrame, body: DataFrame, section: int, head: str, missing: str, always: bool
-) -> list[DataFrame]:
-    """Heading and rows of a section, or its placeholder on days without rows.
-
-    ``always`` keeps the heading above the placeholder.
+    ``frame`` gets, for each of the three sections, whether the day has rows
+    in it, and returns (section, lines) pairs. There is one day per row here,
+    so both joins are with a lookup that the calendar bounds.
     """
-    filled = days.join(body.select("report_dt").distinct(), "report_dt", "left_semi")
-    empty = days.join(body.select("report_dt").distinct(), "report_dt", "left_anti")
-    return [
-        _fixed(days if always else filled, section, [head]),
-        body.join(days, "report_dt", "left_semi"),
-        _fixed(empty, section + 1, [missing]),
-    ]
+    counts = body.groupBy("report_dt").agg(
+        *[F.count_if(F.col("section") == 100 * i + 10).alias(f"_n{i}") for i in (1, 2, 3)]
+    )
+    filled = [F.coalesce(f"_n{i}", F.lit(0)) > 0 for i in (1, 2, 3)]
+    lines = []
+    for section, texts in frame(filled):
+        for i, text in enumerate(texts):
+            line = F.lit(text) if isinstance(text, str) else text
+            lines.append(
+                F.struct(
+                    F.lit(section).alias("section"), F.lit(f"{i:03d}").alias("place"), line.alias("line")
+                )
+            )
+    fixed = days.join(counts, "report_dt", "left").select("report_dt", F.inline(F.array(*lines)))
+    kept = body.join(F.broadcast(days), "report_dt", "left_semi")
+    return fixed.where(F.col("line").isNotNull()).unionByName(kept)
 
 
 def _preferred_rows(daily: DataFrame) -> DataFrame:
     """The day's own rows where it has some, else those of the day before."""
     rows = two_days(daily)
-    own = daily.select(_day().alias("report_dt")).distinct()
+    own = F.broadcast(report_days(daily))
     return rows.where("own").unionByName(rows.where("NOT own").join(own, "report_dt", "left_anti"))
 
 
@@ -129,7 +131,6 @@ def bulletin_lines(
 ) -> DataFrame:
     """Lines of the rule-based bulletin of every day."""
     days = report_days(daily) if days is None else days
-    observed = _preferred_rows(daily)
     name = F.coalesce("city", F.lit("?"))
     figures = [number_text(F.col(c)) for c in ("temp_avg", "temp_min", "temp_max", "precip_sum", "wind_avg")]
     event = F.format_string(
@@ -139,18 +140,22 @@ def bulletin_lines(
     forecast = F.format_string(
         FORECAST_LINE, name, number_text(F.col("temp_predicted")), number_text(F.col("confidence"), 2)
     )
-    bodies = [
-        _lines(observed, 110, F.format_string(OBSERVED_LINE, name, *figures), by_day=False),
+    observed = F.format_string(OBSERVED_LINE, name, *figures)
+    body = [
+        _lines(_preferred_rows(daily), 110, observed, by_day=False),
         _lines(two_days(events), 210, F.rtrim(event)),
         _lines(two_days(forecasts), 310, forecast),
     ]
-    opening = F.format_string(BULLETIN_OPENING, F.date_format("report_dt", "yyyy-MM-dd"))
-    parts = [_fixed(days, 0, [BULLETIN_TITLE, "", opening])]
-    for number, (body, (head, missing)) in enumerate(zip(bodies, BULLETIN_SECTIONS), start=1):
-        start = 100 * number
-        parts += _section(days, body, start, head, missing, always=False)
-    parts.append(_fixed(days, 900, ["", BULLETIN_CLOSING]))
-    return reduce(DataFrame.unionByName, parts)
+
+    def frame(filled: list[Column]) -> list[tuple]:
+        opening = F.format_string(BULLETIN_OPENING, F.date_format("report_dt", "yyyy-MM-dd"))
+        heads = [
+            (100 * i, [F.when(has, head).otherwise(missing)])
+            for i, (has, (head, missing)) in enumerate(zip(filled, BULLETIN_SECTIONS), start=1)
+        ]
+        return [(0, [BULLETIN_TITLE, "", opening]), *heads, (900, ["", BULLETIN_CLOSING])]
+
+    return _framed(reduce(DataFrame.unionByName, body), days, frame)
 
 
 def context_lines(
@@ -158,20 +163,21 @@ def context_lines(
 ) -> DataFrame:
     """Lines of the context text of every day: figures with two, confidence with three decimals."""
     days = report_days(daily) if days is None else days
-    parts = [_fixed(days, 0, list(CONTEXT_OPENING))]
-    frames = zip((daily, events, forecasts), CONTEXT_SECTIONS, CONTEXT_COLUMNS)
-    for number, (df, (head, missing), names) in enumerate(frames, start=1):
-        start = 100 * number
+    body, titles = [], []
+    for number, (df, names) in enumerate(zip((daily, events, forecasts), CONTEXT_COLUMNS), start=1):
         shown = [c for c in names if c in df.columns]
-        cells = [_cell(df, c) for c in shown]
-        body = _lines(two_days(df), start + 20, F.concat_ws(" | ", *cells))
-        titled = body.unionByName(
-            _fixed(body.select("report_dt").distinct(), start + 10, [" | ".join(shown)])
-        )
-        parts += _section(days, titled, start, head, missing, always=True)
-        parts.append(_fixed(days, start + 90, [""]))
-    parts.append(_fixed(days, 900, list(CONTEXT_CLOSING)))
-    return reduce(DataFrame.unionByName, parts)
+        titles.append(" | ".join(shown))
+        cells = F.concat_ws(" | ", *[_cell(df, c) for c in shown])
+        body.append(_lines(two_days(df), 100 * number + 10, cells))
+
+    def frame(filled: list[Column]) -> list[tuple]:
+        out = [(0, CONTEXT_OPENING)]
+        for i, (has, title) in enumerate(zip(filled, titles), start=1):
+            head, missing = CONTEXT_SECTIONS[i - 1]
+            out += [(100 * i, [head, F.when(has, title).otherwise(missing)]), (100 * i + 90, [""])]
+        return [*out, (900, CONTEXT_CLOSING)]
+
+    return _framed(reduce(DataFrame.unionByName, body), days, frame)
 
 
 def _cell(df: DataFrame, name: str) -> Column:

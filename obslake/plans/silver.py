@@ -32,7 +32,6 @@ def unify(df: DataFrame, columns: dict) -> DataFrame:
 def normalise_archive(raw: DataFrame) -> DataFrame:
     """Archive rows, all text, as unified observations."""
     require_columns(raw, ARCHIVE_REQUIRED)
-    day = parse_date(F.col("AAAAMMJJ"))
     numbers = {
         "latitude": F.col("LAT"),
         "longitude": F.col("LON"),
@@ -40,19 +39,29 @@ def normalise_archive(raw: DataFrame) -> DataFrame:
         "precipitation": F.col("RR"),
         "wind_speed": optional(raw, "FFM"),
         "snow": optional(raw, "NEIGETOT"),
+        "mean": optional(raw, "TM"),
+        "low": F.col("TN"),
+        "high": F.col("TX"),
     }
+    parsed = raw.select(
+        "NUM_POSTE",
+        "NOM_USUEL",
+        parse_date(F.col("AAAAMMJJ")).alias("day"),
+        *[parse_number(col).alias(name) for name, col in numbers.items()],
+    )
+    measured = [n for n in numbers if n not in ("mean", "low", "high")]
     return unify(
-        raw,
+        parsed,
         {
             "station_id": station_id(F.col("NUM_POSTE")),
             "station_name": F.col("NOM_USUEL"),
             "city": city_name(F.col("NOM_USUEL")),
             "country": F.lit("FR"),
-            "timestamp": day,
-            "dt": day,
-            "temperature": mean_temperature(optional(raw, "TM"), F.col("TN"), F.col("TX")),
+            "timestamp": F.col("day"),
+            "dt": F.col("day"),
+            "temperature": mean_temperature(F.col("mean"), F.col("low"), F.col("high")),
             "source": F.lit("METEOFRANCE"),
-            **{name: parse_number(col) for name, col in numbers.items()},
+            **{name: F.col(name) for name in measured},
         },
     )
 

@@ -83,9 +83,9 @@ def city_name(spark, sf):
     {sql_number('tn')}, {sql_number('tx')}), 2) AS mean FROM raw""", RAW,
 )
 def mean_temperature(spark, sf):
-    return raw(spark, sf).select(
-        weather.mean_temperature(*[F.col(c) for c in ("TM", "TN", "TX")]).alias("mean")
-    )
+    texts = ("TM", "TN", "TX")
+    numbers = raw(spark, sf).select(*[text.parse_number(F.col(c)).alias(c) for c in texts])
+    return numbers.select(weather.mean_temperature(*[F.col(c) for c in texts]).alias("mean"))
 
 
 @query(

@@ -43,7 +43,7 @@ def scan_feed(spark, sf):
     path = scratch_path(spark, "hours")
     rows = live.by_hour(live.message_text(feed_json(spark, sf)))
     sinks.append_text(rows, path, live.HOUR_COLUMNS)
-    return readers.read_feed(spark, f"{path}/year=*/month=*/day=*/hour=*")
+    return readers.read_feed(spark, path)
 
 
 @query("s03_scan_partitioned_table", DAILY_SHAPE + " year:l", YEARLY, LI_DAILY)
@@ -95,24 +95,24 @@ def _message_files(spark, sf, files: int = 4, copies: int = 1):
     return path
 
 
-def _run_feed(spark, sf, source, runs: int = 1):
+def _run_feed(spark, sf, source, runs: int = 1, per_trigger: int | None = None):
     out, book, check = (scratch_path(spark, n) for n in ("tree", "ledger", "offsets"))
     for _ in range(runs):
-        messages = live.file_messages(spark, source, files_per_trigger=2)
+        messages = live.file_messages(spark, source, files_per_trigger=per_trigger)
         live.start_hourly(messages, out, book, check, trigger_seconds=None).awaitTermination()
     return out, book
 
 
 @query("s05_s08_r01_r06_feed_to_hours", HOUR_SHAPE, HOURLY, MESSAGES)
 def feed_to_hours(spark, sf):
-    """The feed job over files, two per micro-batch, until all are read."""
+    """The feed job over files until all are read."""
     return _hours(spark, _run_feed(spark, sf, _message_files(spark, sf))[0])
 
 
 @query("r07_r08_feed_restarted", HOUR_SHAPE, HOURLY, MESSAGES)
 def feed_restarted(spark, sf):
-    """A second start on the same checkpoint adds nothing."""
-    return _hours(spark, _run_feed(spark, sf, _message_files(spark, sf), runs=2)[0])
+    """Two files per micro-batch; a second start on the same checkpoint adds nothing."""
+    return _hours(spark, _run_feed(spark, sf, _message_files(spark, sf), runs=2, per_trigger=2)[0])
 
 
 @query(
@@ -298,11 +298,11 @@ UNION ALL SELECT day, 100, '', '- Conditions observées :' FROM {DAYS}
 UNION ALL SELECT day, 110, '', '  • ' || city || ' : ' || {_ONE['temp_avg']} || ' °C en moyenne (min ' || {_ONE['temp_min']}
   || ' / max ' || {_ONE['temp_max']} || '), précipitations ' || {_ONE['precip_sum']} || ' mm, vent moyen '
   || {_ONE['wind_avg']} || ' km/h.' FROM (SELECT *, dt AS day FROM daily) AS d
-UNION ALL SELECT day, CASE WHEN day IN (SELECT day FROM e2) THEN 200 ELSE 201 END, '', CASE WHEN day IN (SELECT day FROM e2)
+UNION ALL SELECT day, 200, '', CASE WHEN day IN (SELECT day FROM e2)
   THEN '- Événements notables :' ELSE '- Aucun événement météo notable signalé.' END FROM {DAYS}
 UNION ALL SELECT day, 210, CAST(dt AS VARCHAR), rtrim('  • ' || event_type || ' (' || severity || ') à ' || city || ' : ' || detail)
   FROM e2 WHERE day IN (SELECT dt FROM daily)
-UNION ALL SELECT day, CASE WHEN day IN (SELECT day FROM f2) THEN 300 ELSE 301 END, '', CASE WHEN day IN (SELECT day FROM f2)
+UNION ALL SELECT day, 300, '', CASE WHEN day IN (SELECT day FROM f2)
   THEN '- Prévisions 24h (modèle ML) :' ELSE '- Prévisions 24h : aucune prédiction ML disponible.' END FROM {DAYS}
 UNION ALL SELECT day, 310, CAST(dt AS VARCHAR), '  • ' || city || ' : température prévue ' || {_ONE['temp_predicted']}
   || ' °C (confiance ' || {sql_fixed('confidence', 2)} || ').' FROM f2 WHERE day IN (SELECT dt FROM daily)
@@ -317,7 +317,13 @@ DOCUMENT = """SELECT CAST(CAST(day AS DATE) AS VARCHAR) AS dt, string_agg(line,
 
 
 def _report_inputs(spark, sf):
-    return daily(spark, sf), found_events(spark, sf), forecasts(spark, sf)
+    """The three tables, written first as the job finds them."""
+    tables = []
+    for name, df in (("daily", daily), ("events", found_events), ("forecasts", forecasts)):
+        path = scratch_path(spark, name)
+        sinks.write_table(df(spark, sf), path)
+        tables.append(readers.read_table(spark, path))
+    return tables
 
 
 @query("b02_bulletin_text", "dt:s text:s", DOCUMENT, REPORT_CTES + "," + BULLETIN)
@@ -345,7 +351,7 @@ _FIXED_LINES = [
     (0, reports.CONTEXT_OPENING), (190, [""]), (290, [""]), (390, [""]), (900, reports.CONTEXT_CLOSING),
 ]
 _HEADS = [
-    (100 * n, 100 * n + 1, "d e f".split()[n - 1] + "2", head, missing)
+    (100 * n, "d e f".split()[n - 1] + "2", head, missing)
     for n, (head, missing) in enumerate(reports.CONTEXT_SECTIONS, start=1)
 ]
 
@@ -361,18 +367,18 @@ CONTEXT = "\nlines AS (\n" + "\nUNION ALL ".join(
         for i, line in enumerate(lines)
     ]
     + [
-        f"SELECT day, {section}, '', {_quoted(head)} FROM {DAYS} UNION ALL "
-        f"SELECT day, {empty}, '', {_quoted(missing)} FROM {DAYS} WHERE day NOT IN (SELECT day FROM {src}) UNION ALL "
-        f"SELECT DISTINCT day, {section + 10}, '', '{' | '.join(cols)}' FROM {src} WHERE day IN (SELECT dt FROM daily)"
-        for (section, empty, src, head, missing), cols in zip(_HEADS, reports.CONTEXT_COLUMNS)
+        f"SELECT day, {section}, '000', {_quoted(head)} FROM {DAYS} UNION ALL "
+        f"SELECT day, {section}, '001', CASE WHEN day IN (SELECT day FROM {src}) THEN '{' | '.join(cols)}' "
+        f"ELSE {_quoted(missing)} END FROM {DAYS}"
+        for (section, src, head, missing), cols in zip(_HEADS, reports.CONTEXT_COLUMNS)
     ]
     + [
-        "SELECT day, 120, CAST(dt AS VARCHAR), " + _row("dt", "city", *[_TWO[c] for c in reports.CONTEXT_COLUMNS[0][2:]])
+        "SELECT day, 110, CAST(dt AS VARCHAR), " + _row("dt", "city", *[_TWO[c] for c in reports.CONTEXT_COLUMNS[0][2:]])
         + " FROM d2 WHERE day IN (SELECT dt FROM daily)",
-        "SELECT day, 220, CAST(dt AS VARCHAR), "
+        "SELECT day, 210, CAST(dt AS VARCHAR), "
         + _row("dt", "city", "event_type", "severity", _TWO["value"], _TWO["threshold"], "detail")
         + " FROM e2 WHERE day IN (SELECT dt FROM daily)",
-        "SELECT day, 320, CAST(dt AS VARCHAR), "
+        "SELECT day, 310, CAST(dt AS VARCHAR), "
         + _row("dt", "city", _TWO["temp_predicted"], sql_fixed("confidence", 3), _TWO["temp_actual"])
         + " FROM f2 WHERE day IN (SELECT dt FROM daily)",
     ]

@@ -24,6 +24,8 @@ def build_session(app_name: str = "obslake", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # the JVM leaves larger methods uncompiled, so wide projections must not become one
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.streaming.schemaInference": "false",
     }
