@@ -109,11 +109,16 @@ def extreme_events(limits: dict[str, float]) -> Column:
     return F.array_compact(F.array(*found))
 
 
+def within(value: Column, low: float, high: float) -> Column:
+    """The value moved into ``[low, high]``; NULL stays NULL."""
+    return F.when(value.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), value)))
+
+
 def rain_day_ratio(rain_days: Column, days: Column) -> Column:
     """Share of rain days, kept within [0, 1]; 0.0 when it cannot be computed."""
     total = days.try_cast("double")
     share = F.try_divide(rain_days.try_cast("double"), F.when(total > 0, total))
-    return F.coalesce(F.round(F.greatest(F.lit(0.0), F.least(share, F.lit(1.0))), 3), F.lit(0.0))
+    return F.round(within(F.coalesce(share, F.lit(0.0)), 0.0, 1.0), 3)
 
 
 def weather_icon(snow: Column, precip: Column, wind: Column, temp: Column) -> Column:
@@ -173,4 +178,4 @@ def absolute_error(actual: Column, predicted: Column) -> Column:
 
 def confidence(error: Column, test_rmse: Column) -> Column:
     """``1 - error / 10`` within [0, 1]; from the model's test error when none is known."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.coalesce(error, test_rmse) / 10))
+    return within(1 - F.coalesce(error, test_rmse) / 10, 0.0, 1.0)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obslake.functions.calendar import iso_year, season_of_month
-from obslake.functions.weather import RAIN_DAY_MM, extreme_events, rain_day_ratio
+from obslake.functions.weather import RAIN_DAY_MM, extreme_events, rain_day_ratio, within
 
 SERIES_KEY = ["city", "source"]
 
@@ -218,7 +218,7 @@ def mean_confidence(forecasts: DataFrame) -> DataFrame:
     return (
         forecasts.where(F.col("city").isNotNull())
         .groupBy("city")
-        .agg(F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)).alias("confidence"))
+        .agg(within(share, 0.0, 1.0).alias("confidence"))
         .where(F.col("confidence").isNotNull())
     )
 
