@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from obslake.session import scratch_path
+from obslake.session import staged
 
 HOT_ROWS = 5_000_000
 CHUNKS = 256
@@ -120,10 +120,7 @@ def over_key(
     hot = count_hot(probe, key, hot_rows) if hot is None else hot
     if not hot:
         return build(rows, Window.partitionBy(key).orderBy(*order))
-    spark = rows.sparkSession
-    path = scratch_path(spark, "chunks")
-    _with_chunks(rows, probe, key, ts, hot_rows, hot, chunks).write.parquet(path)
-    tagged = spark.read.parquet(path)
+    tagged = staged(_with_chunks(rows, probe, key, ts, hot_rows, hot, chunks), "chunks")
     parts = tagged.withColumn(_GUEST, F.lit(False))
     for reach, outward in ((before, [c.desc_nulls_last() for c in order]), (after, order)):
         if reach:

@@ -22,7 +22,7 @@ from obslake.operators.skew import HOT_ROWS
 from obslake.operators.views import top_locations
 from obslake.operators.windows import series_features
 from obslake.schemas import FEATURE_INPUT, NOT_FEATURES
-from obslake.session import scratch_path
+from obslake.session import staged
 from obslake.sources.readers import read_table
 from obslake.sources.sinks import append_rows, write_partitions, write_table
 
@@ -135,7 +135,6 @@ def train_model(
     Returns the model, the encoders, the scores and the best parameters. The
     prepared rows are written once, since every fold reads them again.
     """
-    spark = features.sparkSession
     prepared = with_split(features, test_size)
     ranks = encoders(prepared.where("split = 'train'"))
     names = [c for c in feature_names(features) if c not in _empty_columns(prepared)]
@@ -144,9 +143,7 @@ def train_model(
         *[F.col(c).cast("double").alias(c) for c in names],
         F.pmod(F.xxhash64("location", "timestamp", "station_id", "source"), F.lit(folds)).cast("int").alias("fold"),
     )
-    path = scratch_path(spark, "training")
-    numeric.write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = staged(numeric, "training")
 
     filled = [f"{c}_filled" for c in names]
     trees = GBTRegressor(
@@ -175,6 +172,11 @@ def train_model(
     return model, ranks, split_scores(model.transform(rows)), best
 
 
+def model_features(model: PipelineModel) -> list[str]:
+    """The feature columns a trained model reads."""
+    return list(model.stages[0].getInputCols())
+
+
 def _empty_columns(df: DataFrame) -> list[str]:
     """Feature columns without any value, which no model can use."""
     seen = df.agg(*[F.count(c).alias(c) for c in feature_names(df)]).first()

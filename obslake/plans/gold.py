@@ -48,21 +48,24 @@ def write_gold(
     start: str | None = None,
     end: str | None = None,
     only_new: bool = False,
-    changed_at: DataFrame | None = None,
     limits: dict[str, float] | None = None,
     week_year: str = "calendar",
 ) -> dict[str, str]:
     """Writes the four tables; the daily one is computed once and read back by the others.
 
     Weeks and months always see the full daily history. An incremental run
-    rewrites the years (weeks, events) and months (climate) it touches.
+    rewrites the years (weeks, events) and months (climate) it touches: those
+    without a ledger row and those whose observations were written after it.
     """
     paths = {name: f"{root}/{name}" for name in (DAILY, WEEKLY, EVENTS, CLIMATE)}
     rows = date_range(silver, start, end)
     years = rows.select(F.year("dt").cast("string").alias("year")).distinct()
     keys = years.withColumn("key", ledger.work_key(DAILY, F.col("year")))
     if only_new:
-        keys = ledger.pending(keys, ledger.read_ledger(spark, ledger_path), "gold", changed_at)
+        done = ledger.read_ledger(spark, ledger_path)
+        source = ledger.changes(done, "silver")
+        moved = source.withColumn("key", ledger.work_key(DAILY, F.col("key")))
+        keys = ledger.pending(keys, done, "gold", moved)
     keys = settle(keys)
     wanted = keys.select(F.col("year").cast("int").alias("year"))
     if "year" not in rows.columns:

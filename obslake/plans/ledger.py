@@ -90,6 +90,11 @@ def pending(
     return keys.join(done.select("key"), "key", "left_anti")
 
 
+def changes(ledger: DataFrame, stage: str) -> DataFrame:
+    """When each key of a stage was last done: what its next stage has to follow."""
+    return done_keys(ledger, stage).select("key", F.col("at").alias("changed_at"))
+
+
 def work_key(table: str, partition: Column) -> Column:
     """Key of a partition within a table."""
     return F.concat_ws(":", F.lit(table), partition.cast("string"))

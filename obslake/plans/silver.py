@@ -16,7 +16,7 @@ from obslake.plans import ledger
 from obslake.schemas import (
     ARCHIVE_REQUIRED, FEED_REQUIRED, INDICATORS, OBSERVATION, OBSERVATION_COLUMNS,
 )
-from obslake.session import settle
+from obslake.session import settle, staged
 from obslake.sources.readers import read_archives, read_feed
 from obslake.sources.sinks import write_partitions
 
@@ -138,21 +138,23 @@ def write_silver(
 ) -> DataFrame | None:
     """Builds and writes the table by year and marks the years in the ledger.
 
-    The years come from the days of the inputs, a narrow scan, so the plan
-    runs once. With ``only_new`` a year is written when it has no ledger row
-    or when ``changed_at`` (key, changed_at) is newer than that row.
+    The unified rows are staged first, so compressed archives are parsed once;
+    the list of years and the search for hot stations are then narrow scans.
+    With ``only_new`` a year is written when it has no ledger row or when
+    ``changed_at`` (key, changed_at) is newer than that row.
     """
     union = union_all(frames)
     if union is None:
         return None
-    days = date_range(with_time(union).select("dt"), start, end)
+    rows = staged(with_time(union), "unified")
+    days = date_range(rows.select("dt"), start, end)
     years = days.select(F.year("dt").cast("string").alias("key")).distinct()
     if only_new:
         years = ledger.pending(
             years, ledger.read_ledger(spark, ledger_path), "silver", changed_at
         )
     years = settle(years)
-    silver = build_silver(frames, start, end).withColumn("year", F.year("dt"))
+    silver = build_silver([rows], start, end).withColumn("year", F.year("dt"))
     if only_new:
         silver = partitions(silver, "year", years.select(F.col("key").cast("int").alias("year")))
     write_partitions(silver.select(*OBSERVATION_COLUMNS, *INDICATORS, "year"), path, ["year"])

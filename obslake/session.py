@@ -56,6 +56,17 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Writes the rows as a Parquet table in the shared folder and reads them back.
+
+    For rows that several branches read: the source is parsed once, and each
+    branch then reads only its own columns.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from obslake.functions.text import parse_date
 from obslake.operators.filters import date_range, present
 from obslake.schemas import FEED_MESSAGE, MEASURES
 
@@ -34,6 +35,18 @@ def read_archives(spark: SparkSession, path: str, spread: bool = True) -> DataFr
     return rows.hint("rebalance") if spread else rows
 
 
+def archive_changes(spark: SparkSession, path: str) -> DataFrame | None:
+    """When the archive files of each year last changed: ``key`` (the year), ``changed_at``."""
+    raw = read_archives(spark, path, spread=False)
+    if raw is None:
+        return None
+    rows = raw.select(
+        F.year(parse_date(F.col("AAAAMMJJ"))).cast("string").alias("key"),
+        F.col("_metadata.file_modification_time").alias("at"),
+    )
+    return rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("at").alias("changed_at"))
+
+
 def read_feed(spark: SparkSession, path: str) -> DataFrame | None:
     """Feed messages, one JSON object per line, below an hour tree; None if there are none.
 

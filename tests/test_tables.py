@@ -393,3 +393,24 @@ def test_filters(spark):
     assert filters.day_and_before(df, "2025-01-05").count() == 2
     assert filters.date_range(df, "2025-01-03", None).count() == 8
     assert filters.missing_columns(["a"], ["b", "a", "c"]) == ["b", "c"]
+
+
+def test_changed_archives_reach_gold(spark, tmp_path):
+    """A rewritten file makes its year pending again, in both stages."""
+    header = ";".join(ARCHIVE_REQUIRED) + "\n"
+    line = "75114001;PARIS-MONTSOURIS;48.8;2.3;77;2025010{};0;5;15\n"
+    file = tmp_path / "Q_75.csv"
+    path, root, book = (scratch_path(spark, n) for n in ("silver", "gold", "ledger"))
+
+    def run():
+        frames = silver.read_inputs(spark, f"{tmp_path}/*.csv", None)
+        changed = readers.archive_changes(spark, f"{tmp_path}/*.csv")
+        silver.write_silver(spark, frames, path, book, only_new=True, changed_at=changed)
+        paths = gold.write_gold(spark, readers.read_table(spark, path), root, book, only_new=True)
+        return readers.read_table(spark, paths[gold.DAILY]).count()
+
+    file.write_text(header + line.format(1))
+    assert run() == 1
+    assert run() == 1
+    file.write_text(header + line.format(1) + line.format(2))
+    assert run() == 2
