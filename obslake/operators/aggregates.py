@@ -42,20 +42,24 @@ def weekly_trends(daily: DataFrame, week_year: str = "calendar", slope: str = "r
     ``week_year``: ``calendar`` pairs the ISO week with the calendar year, as
     the tables in use do; ``iso`` uses the year the week belongs to.
     ``slope``: ``rows`` counts every day in n and x, ``pairs`` only days with a
-    mean. Both take one aggregation: x is the day number within the year, and
-    the sums are then moved to the first day of the week.
+    mean. Both take one aggregation and one shuffle: x is the day number within
+    the year, and the sums are then moved to the first day of the week. Distinct
+    days are bits: a group holds days of one ISO week at either end of a year,
+    so weekday and half-year tell them apart.
     """
     year = F.year("dt") if week_year == "calendar" else iso_year(F.col("dt"))
     keyed = daily.withColumns({"year": year, "week": F.weekofyear("dt")}).withColumn(
         "_d", F.datediff("dt", F.make_date("year", F.lit(1), F.lit(1))).cast("long")
     )
     d, y = F.col("_d"), F.col("temp_avg")
+    late = F.when(F.month("dt") > 6, 7).otherwise(0)
+    day_bit = F.call_function("shiftleft", F.lit(1), F.weekday("dt") + late)
     weekly = keyed.groupBy("year", "week", *SERIES_KEY).agg(
         F.avg(y).alias("temp_avg"),
         F.min("temp_min").alias("temp_min"),
         F.max("temp_max").alias("temp_max"),
         F.sum("precip_sum").alias("precip_sum"),
-        F.countDistinct("dt").alias("n_days"),
+        F.coalesce(F.bit_count(F.bit_or(day_bit)), F.lit(0)).cast("long").alias("n_days"),
         F.count("dt").alias("_n"),
         F.min(d).alias("_d0"),
         F.sum(d).alias("_sd"),
@@ -228,14 +232,17 @@ def count_by(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def station_catalog(obs: DataFrame) -> DataFrame:
-    """Coordinates of each city from its earliest located observation."""
+    """Coordinates of each city from its earliest located observation.
+
+    The places of a city are first reduced to one row each, by hash.
+    """
     located = obs.where(
         F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
         & F.col("city").isNotNull() & (F.col("city") != "")
     )
-    first = F.min(F.struct("timestamp", "station_id", "latitude", "longitude"))
+    places = located.groupBy("city", "latitude", "longitude").agg(F.min("timestamp").alias("seen"))
     return (
-        located.groupBy("city").agg(first.alias("f"))
+        places.groupBy("city").agg(F.min(F.struct("seen", "latitude", "longitude")).alias("f"))
         .select("city", F.col("f.latitude").alias("lat"), F.col("f.longitude").alias("lon"))
     )
 

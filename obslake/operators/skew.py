@@ -47,28 +47,39 @@ def _match(rows: DataFrame, found: DataFrame, key: str, how: str) -> DataFrame:
 def _with_chunks(
     rows: DataFrame, probe: DataFrame, key: str, ts: str, hot_rows: int, hot: int, chunks: int
 ) -> DataFrame:
-    """``rows`` with a chunk number: equal-depth in time for hot keys, 0 for the others.
+    """``rows`` with a chunk number: growing with time for hot keys, 0 for the others.
 
-    The cut points come from ``probe``, one array of up to ``chunks`` numbers
-    per hot key; they are broadcast only for a counted, small number of keys.
+    The cut points come from ``probe``: at most ``chunks`` parts of equal depth
+    per hot key, and within each part as many equal spans of time as bring a
+    chunk near ``hot_rows`` rows. Cut points are broadcast only for a counted,
+    small number of keys. The chunk grows with time, which is all that the
+    windows rely on.
     """
 
     def sized(found: DataFrame) -> DataFrame:
         return F.broadcast(found) if hot <= BROADCAST_KEYS else found
 
-    cuts = [i / chunks for i in range(1, chunks)]
-    points = F.percentile_approx(F.unix_micros(ts), cuts, 100 * chunks)
-    found = sized(hot_keys(probe, key, hot_rows))
-    edges = _match(probe, found, key, "left_semi").groupBy(key).agg(
-        F.array_distinct(points).alias("_edges")
+    points = F.percentile_approx(F.unix_micros(ts), [i / chunks for i in range(chunks + 1)], 100 * chunks)
+    edges = (
+        _match(probe, sized(hot_keys(probe, key, hot_rows)), key, "left_semi")
+        .groupBy(key)
+        .agg(
+            F.array_distinct(points).alias("_edges"),
+            F.ceil(F.count(F.lit(1)) / float(chunks * hot_rows)).alias("_spans"),
+        )
     )
-    micros = F.unix_micros(F.col(ts))
+    micros, spans = F.unix_micros(F.col(ts)), F.col("_spans")
     passed = F.size(F.filter("_edges", lambda edge: edge < micros))
+    part = F.greatest(F.lit(1), F.least(passed, F.size("_edges") - 1))
+    low, high = F.get("_edges", F.col("_part") - 1), F.get("_edges", F.col("_part"))
+    span = F.floor(F.try_divide((micros - low).cast("double"), (high - low) / spans))
+    inner = F.coalesce(F.greatest(F.lit(0), F.least(span, spans - 1)), F.lit(0))
     return (
         _match(rows, sized(edges), key, "left")
         .withColumn(_HOT, F.col("_edges").isNotNull())
-        .withColumn(_CHUNK, F.when(F.col(_HOT), passed).otherwise(0))
-        .drop("_edges")
+        .withColumn("_part", F.when(F.col(_HOT), part))
+        .withColumn(_CHUNK, F.when(F.col(_HOT), F.col("_part") * spans + inner).otherwise(F.lit(0)))
+        .drop("_edges", "_spans", "_part")
     )
 
 
@@ -77,7 +88,7 @@ def _guests(hot: DataFrame, key: str, outward: list[Column], reach: int) -> Data
 
     ``outward`` is time order seen from the chunk that needs the rows: newest
     first for rows before it. Only the ``reach`` rows nearest to each cut
-    matter, at most chunks x reach per key. Among those alone, a row is in
+    matter, ``reach`` per chunk. Among those alone, a row is in
     the frame of another chunk exactly when that chunk has one of the
     ``reach`` rows next to it.
     """

@@ -187,9 +187,9 @@ def rows_per_location(spark, sf):
     return aggregates.count_by(ev(spark, sf).withColumnRenamed("city", "location"), "location")
 
 
-CATALOG = """SELECT city, arg_min(latitude, ts_station) AS lat, arg_min(longitude, ts_station) AS lon
-  FROM (SELECT *, strftime("timestamp", '%Y%m%d%H%M%S%f') || station_id AS ts_station FROM ev) AS e
-  WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY city"""
+CATALOG = """SELECT city, latitude AS lat, longitude AS lon FROM (SELECT *, row_number() OVER (PARTITION BY city
+  ORDER BY "timestamp", latitude, longitude) AS n FROM ev WHERE latitude IS NOT NULL AND longitude IS NOT NULL) AS e
+  WHERE n = 1"""
 
 
 @query("a17_station_catalog", "city:s lat:f lon:f", CATALOG, EV)
