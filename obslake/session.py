@@ -39,15 +39,13 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     Only a session without the setting (a test on one machine) gets a
-    temporary folder of its own, which is then remembered in the session.
+    temporary folder of its own.
     """
+    context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_CONF, None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="obslake-")
-        spark.conf.set(CHECKPOINT_CONF, folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="obslake-"))
+    return (folder or context.getCheckpointDir()).rstrip("/")
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -72,12 +72,18 @@ def checked_fields(messages: DataFrame) -> DataFrame:
     return usable(within_bounds(fields, FEED_BOUNDS))
 
 
-def write_hours(batch: DataFrame, epoch: int, path: str, ledger_path: str, name: str = "feed") -> None:
+def write_hours(
+    batch: DataFrame, epoch: int, path: str, ledger_path: str, name: str | None = None
+) -> None:
     """Writes one micro-batch below its hours and marks the hours.
 
-    The batch is parsed once and an hour's rows go to one file. The files lie in a folder of the stream and the
-    epoch, so a replayed epoch replaces its own files and nothing is doubled.
+    The batch is parsed once and an hour's rows go to one file. The files lie
+    in a folder of the stream and the epoch, so a replayed epoch replaces its
+    own files and nothing is doubled. The stream's own id, which belongs to
+    its checkpoint, is the default name.
     """
+    context = batch.sparkSession.sparkContext
+    name = name or context.getLocalProperty("sql.streaming.queryId") or "batch"
     rows = by_hour(batch).withColumn("epoch", F.lit(f"{name}-{epoch}")).persist()
     try:
         hours = rows.groupBy(*HOUR_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
@@ -96,7 +102,7 @@ def write_hours(batch: DataFrame, epoch: int, path: str, ledger_path: str, name:
 
 
 def start_hourly(
-    messages: DataFrame, path: str, ledger_path: str, checkpoint: str, name: str = "feed",
+    messages: DataFrame, path: str, ledger_path: str, checkpoint: str, name: str | None = None,
     trigger_seconds: int | None = TRIGGER_SECONDS,
 ) -> StreamingQuery:
     """Starts the feed job; without a trigger time it stops when all input is read."""

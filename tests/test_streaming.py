@@ -82,3 +82,11 @@ def test_city_list(spark):
     for bad in ("[]", "{", None):
         rows = spark.createDataFrame([(bad,)], "c string")
         assert feed.city_list(rows, "c").count() == 5
+
+
+def test_two_checkpoints_do_not_overwrite_each_other(spark, messages):
+    out, book = scratch_path(spark, "tree"), scratch_path(spark, "ledger")
+    for _ in range(2):
+        stream = feed.file_messages(spark, messages)
+        feed.start_hourly(stream, out, book, scratch_path(spark, "offsets"), trigger_seconds=None).awaitTermination()
+    assert len(lines_of(spark, out)) == 2 * 9
