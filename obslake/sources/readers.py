@@ -47,14 +47,20 @@ def archive_changes(spark: SparkSession, path: str) -> DataFrame | None:
     return rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("at").alias("changed_at"))
 
 
-def read_feed(spark: SparkSession, path: str) -> DataFrame | None:
+def read_feed(spark: SparkSession, path: str, complete: DataFrame | None = None) -> DataFrame | None:
     """Feed messages, one JSON object per line, below an hour tree; None if there are none.
 
-    The tree is read whatever the extension of its files.
+    The tree is read whatever the extension of its files. With ``complete``
+    (ledger keys ``year/month/day/hour``) only those hours are read.
     """
     if not path_exists(spark, path):
         return None
     lines = spark.read.text(path)
+    if complete is not None:
+        parts = [F.col(name).cast("int") for name in ("year", "month", "day", "hour")]
+        hours = F.broadcast(complete.select("key").distinct())  # bounded by the calendar
+        keyed = lines.withColumn("key", F.format_string("%04d/%02d/%02d/%02d", *parts))
+        lines = keyed.join(hours, "key", "left_semi")
     return lines.select(F.from_json("value", FEED_MESSAGE).alias("m")).select("m.*")
 
 

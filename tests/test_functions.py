@@ -201,3 +201,56 @@ def test_calendar(spark):
 def test_same_text(spark):
     given = [(" Paris", "PARIS "), ("Lyon", "Lille")]
     assert apply(spark, given, "a string, b string", text.same_text(F.col("a"), F.col("b"))) == [True, False]
+
+
+def random_texts(letters, size, seed, most):
+    import random
+
+    rng = random.Random(seed)
+    return ["".join(rng.choice(letters) for _ in range(rng.randint(0, most))) for _ in range(size)]
+
+
+def test_parse_number_against_python(spark):
+    texts = random_texts("0123456789.,-+eE \tx", 3000, 1, 6) + random_texts("0123456789,", 1000, 2, 8)
+
+    def expected(text):
+        try:
+            return float(text.strip().replace(",", "."))
+        except ValueError:
+            return None
+
+    assert apply(spark, texts, "v string", text.parse_number(F.col("v"))) == [expected(t) for t in texts]
+
+
+def test_parse_date_against_python(spark):
+    texts = random_texts("0123", 4000, 3, 8) + [f"2024{m:02d}{d:02d}" for m in range(14) for d in range(33)]
+    texts += [f"{y}-02-{d:02d}" for y in (1999, 2000, 2100) for d in range(27, 31)]
+
+    def expected(text):
+        digits = text.replace("-", "") if len(text) == 10 else text
+        try:
+            return dt.date(int(digits[:4]), int(digits[4:6]), int(digits[6:])) if len(digits) == 8 else None
+        except ValueError:
+            return None
+
+    assert apply(spark, texts, "v string", text.parse_date(F.col("v"))) == [expected(t) for t in texts]
+
+
+def test_city_name_against_python(spark):
+    import random
+
+    rng = random.Random(5)
+    words = ["SAINT", "LE", "LA", "LES", "STE", "ST", "BRIEUC", "havre", "Lys", "SUR", "É"]
+    names = ["".join(rng.choice(words) + rng.choice(["-", " ", "  "]) for _ in range(rng.randint(1, 5))) for _ in range(500)]
+
+    def expected(name):
+        rest, out = " ".join(name.split()).upper(), ""
+        while True:
+            cut = min([i for i in (rest.find("-"), rest.find(" ")) if i >= 0], default=len(rest))
+            word = rest[:cut]
+            out += word.capitalize()
+            if word not in text.PLACE_PREFIXES or cut == len(rest):
+                return out
+            out, rest = out + rest[cut], rest[cut + 1:]
+
+    assert apply(spark, names, "v string", text.city_name(F.col("v"))) == [expected(n) for n in names]

@@ -43,6 +43,8 @@ def test_feed_to_hours(spark, messages):
     assert hours == ["2026/08/27/09", "2026/08/27/10", "2026/08/27/11"]
     rows = silver.build_silver([silver.normalise_feed(readers.read_feed(spark, out))])
     assert rows.count() == 7
+    nine = ledger.done_keys(ledger.read_ledger(spark, book), "stream").where("key LIKE '%/09'")
+    assert readers.read_feed(spark, out, complete=nine).count() == 5
 
 
 def test_replayed_epoch(spark, messages):
