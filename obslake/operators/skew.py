@@ -19,6 +19,7 @@ from obslake.session import staged
 HOT_ROWS = 5_000_000
 CHUNKS = 256
 BROADCAST_KEYS = 5_000
+STEP = 16
 _CHUNK, _HOT, _GUEST = "_chunk", "_hot", "_guest"
 
 
@@ -67,9 +68,14 @@ def _with_chunks(
             F.array_distinct(points).alias("_edges"),
             F.ceil(F.count(F.lit(1)) / float(chunks * hot_rows)).alias("_spans"),
         )
+        .withColumn("_coarse", F.filter("_edges", lambda _, i: i % STEP == 0))
     )
     micros, spans = F.unix_micros(F.col(ts)), F.col("_spans")
-    passed = F.size(F.filter("_edges", lambda edge: edge < micros))
+    # look among every 16th cut point first, then within the 16 there
+    before = F.size(F.filter("_coarse", lambda edge: edge < micros))
+    first = F.greatest(before - 1, F.lit(0)) * STEP
+    near = F.slice("_edges", first + 1, F.lit(STEP))
+    passed = first + F.size(F.filter(near, lambda edge: edge < micros))
     part = F.greatest(F.lit(1), F.least(passed, F.size("_edges") - 1))
     low, high = F.get("_edges", F.col("_part") - 1), F.get("_edges", F.col("_part"))
     span = F.floor(F.try_divide((micros - low).cast("double"), (high - low) / spans))
@@ -79,7 +85,7 @@ def _with_chunks(
         .withColumn(_HOT, F.col("_edges").isNotNull())
         .withColumn("_part", F.when(F.col(_HOT), part))
         .withColumn(_CHUNK, F.when(F.col(_HOT), F.col("_part") * spans + inner).otherwise(F.lit(0)))
-        .drop("_edges", "_spans", "_part")
+        .drop("_edges", "_coarse", "_spans", "_part")
     )
 
 
