@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from obslake.functions.text import contains_text
 from obslake.functions.weather import day_symbol, event_group, temperature_band, weather_icon
 from obslake.operators.dedup import keep_first, preferred_source
-from obslake.operators.filters import last_days, newest_day, of_city, of_source
+from obslake.operators.filters import last_days, newest_day, of_source
 from obslake.operators.joins import with_coordinates
 
 
@@ -99,7 +99,3 @@ def forecast_series(forecasts: DataFrame) -> DataFrame:
         ["dt", "city", "source"], ["temp_actual", "temp_predicted"], "series", "value"
     )
     return long.where(F.col("value").isNotNull()).orderBy("city", "series", "dt")
-
-
-def city_rows(daily: DataFrame, city: str) -> DataFrame:
-    return of_city(daily, city)

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from obslake.functions import calendar, formats, text, weather
 from obslake.operators import filters
 from obslake.registry.adapters import (
-    EVENT_LIMITS, ctes, daily, ev, feed, forecasts, found_events, raw, sql_city, sql_day, sql_fixed,
+    EVENT_LIMITS, ctes, daily, ev, feed, feed_json, forecasts, found_events, raw, sql_city, sql_day, sql_fixed,
     sql_number, table,
 )
 from obslake.registry.base import query
+from obslake.schemas import FEED_MESSAGE
 from obslake.sources import storage
+from obslake.streaming import feed as live
 
 RAW, EV, DAILY, FOUND = ctes("raw"), ctes("ev"), ctes("daily"), ctes("found")
 
@@ -118,8 +120,6 @@ def usable_records(spark, sf):
     ctes("messages"),
 )
 def record_flatten(spark, sf):
-    from obslake.streaming.feed import flatten_record
-
     current = F.struct(
         F.col("timestamp").alias("time"),
         F.col("temperature").alias("temperature_2m"),
@@ -129,7 +129,7 @@ def record_flatten(spark, sf):
         "precipitation",
     )
     calls = feed(spark, sf).select("city", "latitude", "longitude", current.alias("current"))
-    return flatten_record(calls)
+    return live.flatten_record(calls)
 
 
 @query(
@@ -418,9 +418,6 @@ def error_and_confidence(spark, sf):
     "SELECT city, temperature, windspeed, weathercode, 'OPENMETEO' AS source FROM messages", ctes("messages"),
 )
 def json_parse(spark, sf):
-    from obslake.registry.adapters import feed_json
-    from obslake.schemas import FEED_MESSAGE
-
     return feed_json(spark, sf).select(F.from_json("value", FEED_MESSAGE).alias("m")).select("m.*")
 
 
@@ -455,12 +452,10 @@ def thresholds_applied(spark, sf):
     """SELECT 'CITY ' || n_nationkey AS city, n_nationkey / 2.0 AS latitude, n_regionkey * 1.5 AS longitude FROM nation""",
 )
 def city_list(spark, sf):
-    from obslake.streaming.feed import city_list as parse_cities
-
     item = F.struct(
         F.concat(F.lit("CITY "), "n_nationkey").alias("city"),
         (F.col("n_nationkey") / 2.0).alias("latitude"),
         (F.col("n_regionkey") * 1.5).alias("longitude"),
     )
     rows = table(spark, sf, "nation").select(F.to_json(F.array(item)).alias("cities"))
-    return parse_cities(rows, "cities")
+    return live.city_list(rows, "cities")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from obslake.operators import aggregates, dedup, filters, joins, views
+from obslake.functions.text import department_code
+from obslake.operators import aggregates, dedup, joins, views
+from obslake.plans import reports, snapshot
 from obslake.registry.adapters import (
     EVENT_LIMITS, ctes, daily, ev, forecasts, found_events, li, li_daily, table,
 )
 from obslake.registry.base import query
+from obslake.sources.storage import periods_for_years
 
 EV, LI, DAILY, LI_DAILY = ctes("ev"), ctes("li"), ctes("daily"), ctes("li_daily")
 WEEKLY, FOUND, FORECASTS = ctes("weekly"), ctes("found"), ctes("forecasts")
@@ -199,9 +203,7 @@ def station_catalog(spark, sf):
 
 @query("a18_exported_cities", "city:s", "SELECT DISTINCT city FROM daily", DAILY)
 def exported_cities(spark, sf):
-    from obslake.plans.snapshot import exported_cities as cities
-
-    return cities(daily(spark, sf))
+    return snapshot.exported_cities(daily(spark, sf))
 
 
 @query(
@@ -389,8 +391,6 @@ def forecast_series(spark, sf):
     FROM (SELECT *, year(dt) AS year, week(dt) AS week FROM li_daily) AS d""", LI_DAILY,
 )
 def first_day_of_week(spark, sf):
-    from pyspark.sql import Window
-
     keyed = li_daily(spark, sf).withColumns({"year": F.year("dt"), "week": F.weekofyear("dt")})
     group = Window.partitionBy("year", "week", "city", "source")
     return keyed.withColumn("day_in_week", F.datediff("dt", F.min("dt").over(group)))
@@ -403,9 +403,6 @@ UNITS = """SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS department, p AS
 
 def units(spark, sf):
     """Departments from the nations, and the periods of all order years moved by 27."""
-    from obslake.functions.text import department_code
-    from obslake.sources.storage import periods_for_years
-
     departments = table(spark, sf, "nation").select(
         department_code(F.col("n_nationkey")).alias("department")
     )
@@ -514,9 +511,7 @@ def climate_matrix(spark, sf):
     ctes("found", "forecasts"),
 )
 def day_context(spark, sf):
-    from obslake.plans.reports import day_context as context
-
-    return context(daily(spark, sf), found_events(spark, sf), forecasts(spark, sf))
+    return reports.day_context(daily(spark, sf), found_events(spark, sf), forecasts(spark, sf))
 
 
 @query(

@@ -11,7 +11,7 @@ from obslake.registry.adapters import (
 )
 from obslake.registry.base import query
 from obslake.registry.derived import CLIMATE, CLIMATE_SHAPE, DAILY_SHAPE, EVENT_SHAPE, PREVIOUS, RATIO, WEEKLY_SHAPE
-from obslake.registry.observations import UNIFIED
+from obslake.registry.observations import UNIFIED, unified_frames
 from obslake.session import scratch_path
 from obslake.sources import readers, sinks, storage
 from obslake.streaming import feed as live
@@ -553,8 +553,6 @@ def gold_events_table(spark, sf):
 )
 def silver_written(spark, sf):
     """The written table after a full run and an incremental one that finds nothing new."""
-    from obslake.registry.observations import unified_frames
-
     path, book = scratch_path(spark, "silver"), scratch_path(spark, "ledger")
     for only_new in (False, True):
         silver.write_silver(spark, unified_frames(spark, sf), path, book, only_new=only_new)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from obslake.functions.text import parse_date
 from obslake.operators.filters import date_range, present
-from obslake.schemas import FEED_MESSAGE, MEASURES
+from obslake.schemas import FEED_MESSAGE
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -92,16 +92,23 @@ def read_gold(
     if table is None:
         return None
     if "dt" in table.columns and (date_from or date_to):
-        if isinstance(table.schema["dt"].dataType, T.StringType):
-            table = table.withColumn("dt", F.col("dt").try_cast("date"))
-        table = date_range(table.where(F.col("dt").isNotNull()), date_from, date_to)
+        table = date_range(_with_days(table), date_from, date_to)
     return table if columns is None else present(table, columns)
 
 
+def _with_days(table: DataFrame) -> DataFrame:
+    """Rows with a readable day, as a date."""
+    if isinstance(table.schema["dt"].dataType, T.StringType):
+        table = table.withColumn("dt", F.col("dt").try_cast("date"))
+    return table.where(F.col("dt").isNotNull())
+
+
 def recent_table(spark: SparkSession, path: str, days: int) -> DataFrame | None:
     """The last ``days`` days before today of a derived table."""
-    today = spark.range(1).select(F.date_format(F.date_sub(F.current_date(), days), "yyyy-MM-dd").alias("d"))
-    return read_gold(spark, path, date_from=today.first()["d"])
+    table = read_table(spark, path)
+    if table is None or "dt" not in table.columns:
+        return table
+    return _with_days(table).where(F.col("dt") >= F.date_sub(F.current_date(), days))
 
 
 def read_partitioned(
@@ -116,7 +123,3 @@ def latest_document(documents: DataFrame) -> DataFrame:
     """The document of the newest day."""
     newest = documents.agg(F.max_by(F.struct(*documents.columns), "dt").alias("d"))
     return newest.select("d.*").where(F.col("dt").isNotNull())
-
-
-def measure_columns(df: DataFrame) -> list[str]:
-    return [c for c in MEASURES if c in df.columns]
