@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from obslake.session import settle, staged
 
-__all__ = ["Cache", "SPACES", "documents", "int64", "mix", "read", "settle", "staged", "taken", "word_hashes"]
+__all__ = ["Cache", "SPACES", "documents", "int64", "mix", "read", "settle", "sliced", "staged", "taken", "word_hashes"]
 
 #: bytes that separate words where a contract spells out its white space
 SPACES = b" \t\n\x0b\x0c\r"

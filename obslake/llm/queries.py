@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from obslake.llm import packing
+from obslake.llm import language, packing
 from obslake.llm.common import read
 
 
+def op1_cross_parsing_language(spark, sf_dir):
+    return language.identified(read(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark, sf_dir):
     return packing.packed_documents(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_cross_parsing_language": op1_cross_parsing_language,
     "op3_best_fit_packing": op3_best_fit_packing,
 }
 SQL: dict[str, str] = {}
