@@ -7,15 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from obslake.llm.common import staged
+from obslake.llm.language import known_language
 from obslake.llm.packing import packed_documents
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents written in one of the languages that labelled documents teach."""
+    return known_language(docs)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every kept document in sequences of the packing operator's capacity."""
     return packed_documents(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
     ("packing", packing),
 ]
 
