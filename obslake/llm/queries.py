@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from obslake.llm import language, packing
+from obslake.llm import language, packing, simhash
 from obslake.llm.common import read
 
 
@@ -14,8 +14,13 @@ def op3_best_fit_packing(spark, sf_dir):
     return packing.packed_documents(read(spark, sf_dir, "documents"))
 
 
+def op7_simhash_fingerprints(spark, sf_dir):
+    return simhash.fingerprinted(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_cross_parsing_language": op1_cross_parsing_language,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op7_simhash_fingerprints": op7_simhash_fingerprints,
 }
 SQL: dict[str, str] = {}
