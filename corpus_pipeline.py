@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from obslake.llm.common import staged
 from obslake.llm.language import known_language
 from obslake.llm.packing import packed_documents
+from obslake.llm.quality import good_documents
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that classifiers learned from `labels` take for good ones."""
+    return good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +28,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
     ("language_id", language_id),
     ("packing", packing),
 ]
