@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from obslake.llm.common import staged
 from obslake.llm.language import known_language
+from obslake.llm.neardup import deduplicated
 from obslake.llm.packing import packed_documents
 from obslake.llm.quality import good_documents
 
@@ -22,6 +23,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return known_language(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return deduplicated(docs)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every kept document in sequences of the packing operator's capacity."""
     return packed_documents(docs)
@@ -30,6 +36,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", quality),
     ("language_id", language_id),
+    ("near_dedup", near_dedup),
     ("packing", packing),
 ]
 
