@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from obslake.llm import language, neardup, packing, quality, simhash
+from obslake.llm import html, language, neardup, packing, quality, simhash
 from obslake.llm.common import read
 
 
@@ -18,6 +18,10 @@ def op7_simhash_fingerprints(spark, sf_dir):
     return simhash.fingerprinted(read(spark, sf_dir, "documents"))
 
 
+def op8_host_suffix_array_text(spark, sf_dir):
+    return html.main_text(read(spark, sf_dir, "pages"))
+
+
 def op9_order_minhash_near_duplicates(spark, sf_dir):
     return neardup.near_classes(read(spark, sf_dir, "documents"))
 
@@ -30,6 +34,7 @@ QUERIES = {
     "op1_cross_parsing_language": op1_cross_parsing_language,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op7_simhash_fingerprints": op7_simhash_fingerprints,
+    "op8_host_suffix_array_text": op8_host_suffix_array_text,
     "op9_order_minhash_near_duplicates": op9_order_minhash_near_duplicates,
     "op10_co_training_quality": op10_co_training_quality,
 }
