@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from obslake.llm import html, language, neardup, packing, quality, simhash
+from obslake.llm import html, language, neardup, packing, quality, search, simhash
 from obslake.llm.common import read
 
 
@@ -10,6 +10,10 @@ def op1_cross_parsing_language(spark, sf_dir):
     return language.identified(read(spark, sf_dir, "documents"))
 
 
+def op2_pivot_distance_search(spark, sf_dir):
+    return search.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op3_best_fit_packing(spark, sf_dir):
     return packing.packed_documents(read(spark, sf_dir, "documents"))
 
@@ -32,10 +36,25 @@ def op10_co_training_quality(spark, sf_dir):
 
 QUERIES = {
     "op1_cross_parsing_language": op1_cross_parsing_language,
+    "op2_pivot_distance_search": op2_pivot_distance_search,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op7_simhash_fingerprints": op7_simhash_fingerprints,
     "op8_host_suffix_array_text": op8_host_suffix_array_text,
     "op9_order_minhash_near_duplicates": op9_order_minhash_near_duplicates,
     "op10_co_training_quality": op10_co_training_quality,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_pivot_distance_search": """
+        WITH v AS (
+            SELECT CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 5
+    """,
+}
