@@ -16,7 +16,9 @@ occur; a null doc_id is kept; an empty table gives no row; other columns are ign
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
@@ -41,38 +43,63 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+#: runs of white space that the vocabulary's pre-tokeniser may join across a space or a line end
+_RUNS = re.compile(r"\s{3}|\s\s(?:\Z|<)")
+#: white space other than single spaces and line ends, without which few strings can begin such a run
+_ODD = re.compile(r"[^\S \n]")
+_PAIRS = ("  ", "\n\n", " \n", "\n ")
+
+
 class Encoder:
-    """Token ids of a text as little-endian 32-bit numbers.
+    """Token ids of a text as 32-bit numbers.
 
-    The vocabulary's pre-tokeniser never joins characters across a single space, which it puts
-    at the start of what follows; so a text is encoded as its parts between spaces, and each part
-    only once while the cache holds it. Texts with double spaces are encoded whole.
+    The vocabulary's pre-tokeniser joins characters across a space or a line end only in runs of
+    white space, and puts a space at the start of what follows. So a text is encoded as its lines and their
+    parts between spaces, each part once while the cache holds it; texts with such runs are
+    encoded whole. A part of letters is one pre-token, and a mark after it is another one. The
+    ids of this vocabulary are its merge order, so its words can be merged by rank, which is quicker.
     """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts = Cache(lambda part: self._ids(" " + part), 700_000)
+        byte_of = {chr(mark): code for code, mark in enumerate(self._marks())}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        ranks = {bytes(map(byte_of.__getitem__, token)): rank for token, rank in vocabulary.items() if byte_of.keys() >= set(token)}
+        self.words = tiktoken.Encoding("words", pat_str=r" ?\p{L}+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.parts = Cache(lambda part: self._part(" ", part), 700_000)
+        self.heads = Cache(lambda part: self._part("", part), 100_000)
+        self.line_end = self._ids("\n")
+        self.marks = {mark: self._ids(mark) for mark in ".,;:!?"}
+
+    @staticmethod
+    def _marks() -> list[int]:
+        """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves."""
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = iter(range(256, 512))
+        return [code if code in shown else next(hidden) for code in range(256)]
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, texts: list[str]) -> None:
-        """Encodes the parts the cache lacks in one batch."""
-        new = list({part for text in texts for part in text.split(" ")} - self.parts.keys())
-        if len(self.parts) + len(new) > self.parts.limit:
-            self.parts.clear()
-        for at in range(0, min(len(new), self.parts.limit // 2), 20_000):
-            some = new[at : at + 20_000]
-            codes = self.tokenizer.encode_batch_fast([" " + part for part in some], add_special_tokens=False)
-            self.parts.update((part, np.array(code.ids, "<u4").tobytes()) for part, code in zip(some, codes, strict=True))
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _part(self, before: str, part: str) -> bytes:
+        if part.isalpha():
+            return array("I", self.words(before + part)).tobytes()
+        word, mark = part[:-1], part[-1:]
+        if mark in self.marks and word.isalpha():
+            return (self.parts if before else self.heads)[word] + self.marks[mark]
+        return self._ids(before + part)
+
+    def _line(self, line: str) -> bytes:
+        first, *rest = line.split(" ")
+        return self.heads[first] + b"".join(map(self.parts.__getitem__, rest))
 
     def encode(self, text: str) -> bytes:
-        if "  " in text:
+        if (any(pair in text for pair in _PAIRS) or _ODD.search(text)) and _RUNS.search(text):
             return self._ids(text)
-        first, *rest = text.split(" ")
-        return self._ids(first) + b"".join(map(self.parts.__getitem__, rest))
+        return self.line_end.join(map(self._line, text.split("\n")))
 
 
 _ENCODERS = Cache(Encoder, 4)
@@ -98,10 +125,9 @@ def tokenised(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None
         for whole in batches:
             for batch in (whole.slice(at, 1000) for at in range(0, whole.num_rows, 1000)):
                 texts = [text or "" for text in batch.column("text").to_pylist()]
-                encoder.learn(texts)
                 rows, columns, ids = [], ([], [], [], []), []
                 for row, text in enumerate(texts):
-                    code = encoder.encode(text) + END_ID.to_bytes(4, "little")
+                    code = encoder.encode(text) + bytes(4)  # END_ID
                     for piece, (start, end) in enumerate(_cut(len(code) // 4, capacity)):
                         part = code[4 * start : 4 * end]
                         rows.append(row)
