@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from obslake.llm import html, language, neardup, packing, quality, search, simhash
+from pyspark.sql import functions as F
+
+from obslake.llm import chat, html, language, neardup, packing, quality, search, simhash
 from obslake.llm.common import read
 
 
@@ -18,6 +20,15 @@ def op3_best_fit_packing(spark, sf_dir):
     return packing.packed_documents(read(spark, sf_dir, "documents"))
 
 
+def op6_preference_formatting(spark, sf_dir):
+    found = chat.preferences(*chat.swapped_answers(read(spark, sf_dir, "conversations")))
+
+    def shown(spans):
+        return F.array_join(F.transform(spans, lambda span: F.concat_ws("-", span["start"], span["end"])), ",")
+
+    return found.withColumns({name: shown(name) for name in ("chosen_spans", "rejected_spans")})
+
+
 def op7_simhash_fingerprints(spark, sf_dir):
     return simhash.fingerprinted(read(spark, sf_dir, "documents"))
 
@@ -38,6 +49,7 @@ QUERIES = {
     "op1_cross_parsing_language": op1_cross_parsing_language,
     "op2_pivot_distance_search": op2_pivot_distance_search,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_preference_formatting": op6_preference_formatting,
     "op7_simhash_fingerprints": op7_simhash_fingerprints,
     "op8_host_suffix_array_text": op8_host_suffix_array_text,
     "op9_order_minhash_near_duplicates": op9_order_minhash_near_duplicates,
@@ -57,4 +69,42 @@ SQL: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM scored QUALIFY rank <= 5
     """,
+    "op6_preference_formatting": """
+        WITH said AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+        ), last AS (
+            SELECT conv_id, turn AS last, text FROM said WHERE role = 'assistant'
+            QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) = 1
+        ), paired AS (
+            SELECT a.conv_id, a.last, b.text AS other FROM last a JOIN last b ON xor(a.conv_id, 1) = b.conv_id
+        ), sides AS (
+            SELECT conv_id AS pair_id, 0 AS side, turn, role, text FROM said JOIN paired USING (conv_id)
+            UNION ALL
+            SELECT conv_id, 1, turn, role, CASE WHEN turn = last AND role = 'assistant' THEN other ELSE text END
+            FROM said JOIN paired USING (conv_id)
+        ), rendered AS (
+            SELECT pair_id, side, role, text, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered,
+                row_number() OVER (PARTITION BY pair_id, side ORDER BY turn, role, text) AS place
+            FROM sides
+        ), placed AS (
+            SELECT *, sum(length(rendered)) OVER (PARTITION BY pair_id, side ORDER BY place) AS upto FROM rendered
+        ), compared AS (
+            SELECT coalesce(a.pair_id, b.pair_id) AS pair_id,
+                coalesce(min(coalesce(a.place, b.place)) FILTER (a.rendered IS DISTINCT FROM b.rendered) - 1, count(*)) AS prompt_turns
+            FROM (SELECT * FROM placed WHERE side = 0) a
+            FULL JOIN (SELECT * FROM placed WHERE side = 1) b ON a.pair_id = b.pair_id AND a.place = b.place
+            GROUP BY ALL
+        )
+        SELECT pair_id,
+            coalesce(string_agg(rendered, '' ORDER BY place) FILTER (side = 0 AND place <= prompt_turns), '') AS prompt,
+            CAST(any_value(prompt_turns) AS INTEGER) AS prompt_turns,
+            coalesce(string_agg(rendered, '' ORDER BY place) FILTER (side = 0 AND place > prompt_turns), '') AS chosen,
+            coalesce(string_agg(rendered, '' ORDER BY place) FILTER (side = 1 AND place > prompt_turns), '') AS rejected,
+            coalesce(string_agg((upto - length(text) - 11) || '-' || (upto - 1), ',' ORDER BY place)
+                FILTER (side = 0 AND place > prompt_turns AND role = 'assistant'), '') AS chosen_spans,
+            coalesce(string_agg((upto - length(text) - 11) || '-' || (upto - 1), ',' ORDER BY place)
+                FILTER (side = 1 AND place > prompt_turns AND role = 'assistant'), '') AS rejected_spans
+        FROM placed JOIN compared USING (pair_id) GROUP BY pair_id
+    """,
 }
