@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ ALPHA = 1.0
 MARK = "▁"
 #: code of a mark that stands in the text itself
 LITERAL = 0x110000
-WORDS = 300_000
+WORDS = 400_000
 _GOLD, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -44,8 +45,37 @@ def model_path() -> str:
     return public_tokenizers.path(MODEL)
 
 
+class Table:
+    """Numbers of 64-bit hashes; a hash that finds its slot taken goes to the next array of slots."""
+
+    def __init__(self, numbers: dict[int, int], bits: int = 18):
+        keys, values = np.array(list(numbers), np.uint64), np.array(list(numbers.values()), np.int32)
+        self.bits, self.layers = bits, []
+        while len(keys):
+            slots = self._slots(keys, len(self.layers))
+            _, first = np.unique(slots, return_index=True)
+            layer = np.zeros(2**bits, np.uint64), np.full(2**bits, -2, np.int32)
+            layer[0][slots[first]], layer[1][slots[first]] = keys[first], values[first]
+            self.layers.append(layer)
+            keys, values = np.delete(keys, first), np.delete(values, first)
+
+    def _slots(self, hashes: np.ndarray, layer: int) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits - layer)).astype(np.int64) & (2**self.bits - 1)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -2 where it has none."""
+        out = np.full(len(hashes), -2, np.int32)
+        left = np.arange(len(hashes))
+        for number, (keys, values) in enumerate(self.layers):
+            slots = self._slots(hashes[left], number)
+            hit = keys[slots] == hashes[left]
+            out[left[hit]] = values[slots[hit]]
+            left = left[~hit & (values[slots] != -2)]
+        return out
+
+
 class Vocabulary:
-    """Pieces by length, with the logs of their weights."""
+    """Pieces, the logs of their weights, and the beginnings of pieces."""
 
     def __init__(self, path: str, alpha: float = ALPHA):
         from sentencepiece import SentencePieceProcessor
@@ -75,15 +105,20 @@ class Vocabulary:
         else:
             self.words = re.compile(r" *(?:[^\W\d_]+|(?:[\d_]|[^\w \n])+)| +|\n")
         self.longest = max(map(len, self.pieces))
-        self.tables: list[tuple[np.ndarray, np.ndarray]] = []
+        self.beginnings = Table(self._beginnings())
+
+    def _beginnings(self) -> dict[int, int]:
+        """Hash of each beginning of a piece, to the piece itself or to -1."""
+        known: dict[str, int] = {piece[:size]: -1 for piece in self.pieces for size in range(1, len(piece))} | self.pieces
+        found = {}
         for length in range(1, self.longest + 1):
-            some = [piece for piece in self.pieces if len(piece) == length]
-            codes = np.array([[ord(c) for c in piece] for piece in some], np.uint64).reshape(len(some), length)
+            some = [text for text in known if len(text) == length]
+            codes = np.array([[ord(c) for c in text] for text in some], np.uint64).reshape(len(some), length)
             hashes = np.zeros(len(some), np.uint64)
             for column in codes.T:
                 hashes = self.extended(hashes, column)
-            order = np.argsort(hashes)
-            self.tables.append((hashes[order], np.array([self.pieces[p] for p in some], np.int32)[order]))
+            found.update(zip(hashes.tolist(), map(known.__getitem__, some), strict=True))
+        return found
 
     @staticmethod
     def extended(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -108,9 +143,12 @@ class Lattices:
         """The last node of each word's lattice."""
         if len(self.ends) > WORDS:
             self.clear()
-        if new := list(set(words) - self.ends.keys()):
-            self.add(new)
-        return np.fromiter(map(self.ends.__getitem__, words), np.int64, len(words))
+        nodes = np.fromiter(map(self.ends.get, words, repeat(-1)), np.int64, len(words))
+        if (unknown := np.flatnonzero(nodes < 0)).size:
+            new = [words[i] for i in unknown.tolist()]
+            self.add(list(dict.fromkeys(new)))
+            nodes[unknown] = np.fromiter(map(self.ends.__getitem__, new), np.int64, len(new))
+        return nodes
 
     def add(self, words: list[str]) -> None:
         vocabulary = self.vocabulary
@@ -124,19 +162,17 @@ class Lattices:
         starts, ends, ids = [], [], []
         at = np.arange(len(codes))
         hashes = np.zeros(len(codes), np.uint64)
-        for length, (table, piece) in enumerate(vocabulary.tables, 1):
-            inside = left[at] >= length
-            at, hashes = at[inside], hashes[inside]
-            if not len(at):
-                break
+        for length in range(1, vocabulary.longest + 1):
             hashes = vocabulary.extended(hashes, codes[at + length - 1])
-            if not len(table):
-                continue
-            found = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
-            hit = table[found] == hashes
+            piece = vocabulary.beginnings.find(hashes)
+            hit = piece >= 0
             starts.append(at[hit])
             ends.append(at[hit] + length - 1)
-            ids.append(piece[found[hit]].astype(np.int64))
+            ids.append(piece[hit].astype(np.int64))
+            on = (piece >= -1) & (left[at] > length)
+            at, hashes = at[on], hashes[on]
+            if not len(at):
+                break
         single = np.zeros(len(codes), bool)
         single[starts[0]] = True
         rest = np.flatnonzero(~single)
