@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from obslake.llm import chat, html, language, neardup, packing, pieces, quality, search, simhash
+from obslake.llm import chat, html, language, lm, neardup, packing, pieces, quality, search, simhash
 from obslake.llm.common import read
 
 
@@ -20,6 +20,10 @@ def op3_best_fit_packing(spark, sf_dir):
     return packing.packed_documents(read(spark, sf_dir, "documents"))
 
 
+def op4_pitman_yor_scores(spark, sf_dir):
+    return lm.scored(read(spark, sf_dir, "documents"))
+
+
 def op5_sampled_pieces(spark, sf_dir):
     return pieces.encoded(read(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op1_cross_parsing_language": op1_cross_parsing_language,
     "op2_pivot_distance_search": op2_pivot_distance_search,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_pitman_yor_scores": op4_pitman_yor_scores,
     "op5_sampled_pieces": op5_sampled_pieces,
     "op6_preference_formatting": op6_preference_formatting,
     "op7_simhash_fingerprints": op7_simhash_fingerprints,
