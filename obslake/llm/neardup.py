@@ -12,7 +12,7 @@ transform of the insertion-deletion distance), which lets graph.bucket_links con
 its pairs. Equal texts are one node from the start.
 
 Defined cases: a null text is an empty one; words are lower-case and white space separates them; a text with
-fewer words than K is one shingle, a text without words is near to other such texts only; a class is named by its
+fewer words than K is one shingle, texts without words are one class; a class is named by its
 smallest doc_id (null if it has none), ties between equal texts go to the smaller doc_id; repeated rows are in one class and
 deduplicated() keeps one of them; an empty table gives no row; other columns pass through deduplicated() unread.
 Texts are told apart by a 64-bit hash.
@@ -33,6 +33,8 @@ from obslake.llm.graph import bucket_links, components
 
 K, SIMILARITY = 5, 0.8
 BANDS, ROWS, MINIMA = 20, 3, 2
+#: the only key of a text without words
+WORDLESS = np.array([-1], np.int64)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: labelled shingles that are hashed at once, which bounds a task's memory whatever a text's length
 BLOCK = 50_000
@@ -130,7 +132,7 @@ def sketched(docs: DataFrame) -> DataFrame:
             keys, words = [], []
             for text in batch.column("text").to_pylist():
                 hashes = word_hashes(text.lower().split()).astype(np.uint32)
-                keys.append(int64(bands(labelled_shingles(hashes.astype(np.uint64)))) if len(hashes) else np.zeros(0, np.int64))
+                keys.append(int64(bands(labelled_shingles(hashes.astype(np.uint64)))) if len(hashes) else WORDLESS)
                 words.append(hashes.tobytes())
             columns = [batch.column("doc_id"), batch.column("id"), pa.array(keys, pa.list_(pa.int64())), pa.array(words, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "id", "bands", "words"])
