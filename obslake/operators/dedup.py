@@ -28,6 +28,17 @@ def fullest_first(columns: list[str]) -> list[Column]:
     return [filled.desc(), *[F.asc_nulls_last(c) for c in ["source", *rest]]]
 
 
+def known_stations(rows: DataFrame) -> DataFrame:
+    """Rows that name their station."""
+    return rows.where(F.trim("station_id") != "")
+
+
+def unknown_stations(rows: DataFrame) -> DataFrame:
+    """The other rows, with a reason: they share no key, so none of them is a copy of another."""
+    unnamed = rows.where(F.col("station_id").isNull() | (F.trim("station_id") == ""))
+    return unnamed.withColumn("reason", F.lit("station unknown"))
+
+
 def dedup_observations(rows: DataFrame) -> DataFrame:
     """One row per station and time; the survivor does not depend on input order."""
     return keep_first(rows, OBSERVATION_KEY, fullest_first(rows.columns))

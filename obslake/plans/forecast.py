@@ -32,8 +32,8 @@ FOLDS, SEED, SUBSAMPLE, RMSE_GOAL = 3, 42, 0.9, 2.0
 HISTORY_DAYS, SCORING_DAYS, MAX_LOCATIONS = 730, 30, 200
 
 
-def history(obs: DataFrame, days: int = HISTORY_DAYS, locations: int | None = MAX_LOCATIONS) -> DataFrame:
-    """The last ``days`` of the locations with most observations."""
+def history(obs: DataFrame, days: int = HISTORY_DAYS, locations: int | None = None) -> DataFrame:
+    """The last ``days`` of all locations, or of the ``locations`` with most observations."""
     recent = last_days(obs, days).withColumn("location", F.col("city").cast("string"))
     return recent if locations is None else semi(recent, F.broadcast(top_locations(recent, locations)), "location")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from obslake.functions.formats import byte_size
 from obslake.schemas import HEALTH
 from obslake.sources.readers import path_exists
-from obslake.sources.storage import storage_size
+from obslake.sources.storage import has_marker, storage_size
 
 # Verdict texts.
 OK, EMPTY, ABSENT, UNMARKED, IGNORED = "OK", "VIDE", "ABSENT", "SANS _SUCCESS", "IGNORÉ"
@@ -61,8 +61,7 @@ def table_health(spark: SparkSession, expected: DataFrame) -> DataFrame:
     paths = [row["path"] for row in expected.select("path").collect()]
     marked = []
     for path in paths:
-        places = [f"{path}{'/*' * depth}/_SUCCESS" for depth in range(4)]
-        marked.append((path, path_exists(spark, path), any(path_exists(spark, p) for p in places)))
+        marked.append((path, path_exists(spark, path), has_marker(spark, path)))
     found = spark.createDataFrame(marked, "path string, exists boolean, has_success boolean")
     sizes = storage_size(spark, paths)
     joined = expected.join(found, "path", "left").join(sizes, "path", "left")

@@ -1,11 +1,15 @@
 """Work ledger and run journal: two append-only tables.
 
 Every action is an appended row and the newest action of a key counts, so
-concurrent runs never rewrite each other's state.
+concurrent runs never rewrite each other's state. An action has two times: ``at``, when it was
+appended and its output could be read, and ``seen``, when its run began to read. A source that changed
+after ``seen`` is not in the output, even if it changed before ``at``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,7 +30,17 @@ def run_id(prefix: str = "run") -> str:
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     found = read_table(spark, path)
-    return spark.createDataFrame([], LEDGER) if found is None else found
+    return spark.createDataFrame([], LEDGER) if found is None else with_seen(found)
+
+
+def with_seen(ledger: DataFrame) -> DataFrame:
+    """Rows without a start of their run count as read when they were appended."""
+    seen = F.coalesce("seen", "at") if "seen" in ledger.columns else F.col("at")
+    return ledger.withColumn("seen", seen)
+
+
+def now() -> datetime:
+    return datetime.now(timezone.utc)
 
 
 def read_journal(spark: SparkSession, path: str) -> DataFrame:
@@ -40,17 +54,24 @@ def clean_keys(keys: DataFrame) -> DataFrame:
     return text.where(F.trim("key") != "").distinct()
 
 
-def _log(spark: SparkSession, path: str, stage: str, keys: DataFrame, action: str, run: str) -> None:
+def _log(
+    spark: SparkSession, path: str, stage: str, keys: DataFrame, action: str, run: str,
+    seen: datetime | None = None,
+) -> None:
     rows = clean_keys(keys).select(
         F.lit(stage).alias("stage"), "key", F.lit(action).alias("action"),
         F.current_timestamp().alias("at"), F.lit(run).alias("run_id"),
+        F.coalesce(F.lit(seen).cast("timestamp"), F.current_timestamp()).alias("seen"),
     )
     append_rows(rows, path)
 
 
-def mark(spark: SparkSession, path: str, stage: str, keys: DataFrame, run: str | None = None) -> None:
-    """Marks many keys done in one write."""
-    _log(spark, path, stage, keys, DONE, run or run_id(stage))
+def mark(
+    spark: SparkSession, path: str, stage: str, keys: DataFrame, run: str | None = None,
+    seen: datetime | None = None,
+) -> None:
+    """Marks many keys done in one write; ``seen`` is when their run began to read."""
+    _log(spark, path, stage, keys, DONE, run or run_id(stage), seen)
 
 
 def forget(spark: SparkSession, path: str, stage: str, keys: DataFrame) -> None:
@@ -65,14 +86,27 @@ def reset(spark: SparkSession, path: str, stage: str) -> None:
 
 def state(ledger: DataFrame) -> DataFrame:
     """Newest action of each key."""
-    newest = F.max(F.struct("at", "action", "run_id"))
-    latest = ledger.groupBy("stage", "key").agg(newest.alias("s"))
-    return latest.select("stage", "key", "s.action", "s.at", "s.run_id")
+    return _newest(ledger).drop("seen")
 
 
-def done_keys(ledger: DataFrame, stage: str | None = None) -> DataFrame:
+def _newest(ledger: DataFrame) -> DataFrame:
+    newest = F.max(F.struct("at", "action", "run_id", "seen"))
+    latest = with_seen(ledger).groupBy("stage", "key").agg(newest.alias("s"))
+    return latest.select("stage", "key", "s.action", "s.at", "s.run_id", "s.seen")
+
+
+def _done(ledger: DataFrame, stage: str | None) -> DataFrame:
     rows = ledger if stage is None else ledger.where(F.col("stage") == stage)
-    return state(rows).where(F.col("action") == DONE)
+    return _newest(rows).where(F.col("action") == DONE)
+
+
+def done_keys(ledger: DataFrame, stage: str | None = None) -> DataFrame:
+    return _done(ledger, stage).drop("seen")
+
+
+def compacted(ledger: DataFrame) -> DataFrame:
+    """The ledger with the newest action of each key only; its state is the same."""
+    return _newest(ledger).select(*LEDGER.fieldNames())
 
 
 def is_done(ledger: DataFrame, stage: str, key: str) -> bool:
@@ -82,11 +116,11 @@ def is_done(ledger: DataFrame, stage: str, key: str) -> bool:
 def pending(
     keys: DataFrame, ledger: DataFrame, stage: str, changed_at: DataFrame | None = None
 ) -> DataFrame:
-    """Keys without a ledger row, or whose source changed after it."""
-    done = done_keys(ledger, stage).select("key", "at")
+    """Keys without a ledger row, or whose source changed after that row's run began to read."""
+    done = _done(ledger, stage).select("key", "seen")
     if changed_at is not None:
         fresh = done.join(changed_at, "key", "left")
-        done = fresh.where(F.col("changed_at").isNull() | (F.col("changed_at") <= F.col("at")))
+        done = fresh.where(F.col("changed_at").isNull() | (F.col("changed_at") <= F.col("seen")))
     return keys.join(done.select("key"), "key", "left_anti")
 
 
@@ -95,6 +129,12 @@ def changes(ledger: DataFrame, stage: str) -> DataFrame:
     return done_keys(ledger, stage).select("key", F.col("at").alias("changed_at"))
 
 
+def feed_changes(ledger: DataFrame) -> DataFrame:
+    """When an hour (``year/month/day/hour``) of each year last arrived from the live feed."""
+    hours = changes(ledger, "stream").withColumn("key", F.regexp_extract("key", r"^(\d{4})/", 1))
+    return hours.where("key <> ''").groupBy("key").agg(F.max("changed_at").alias("changed_at"))
+
+
 def work_key(table: str, partition: Column) -> Column:
     """Key of a partition within a table."""
     return F.concat_ws(":", F.lit(table), partition.cast("string"))
@@ -108,6 +148,20 @@ def record_run(
     append_rows(spark.createDataFrame(row, JOURNAL), path)
 
 
+@contextmanager
+def journaled(spark: SparkSession, path: str | None, stage: str) -> Iterator[dict[str, int]]:
+    """Records the run of a job, failed or not, with the counters that it fills in."""
+    run, counters = run_id(stage), {}
+    try:
+        yield counters
+    except BaseException:
+        if path:
+            record_run(spark, path, stage, run, "failed", counters)
+        raise
+    if path:
+        record_run(spark, path, stage, run, "success", counters)
+
+
 def recent_runs(journal: DataFrame, runs: int = JOURNAL_RUNS) -> DataFrame:
     """The newest runs of each stage; Spark prunes the rest before the shuffle."""
     newest = Window.partitionBy("stage").orderBy(F.desc("at"), F.desc("run_id"))
@@ -150,4 +204,5 @@ def import_legacy(ledger: DataFrame, legacy: DataFrame, stage: str = "bronze") -
     return clean_keys(keys).where(known.scalar() == 0).select(
         F.lit(stage).alias("stage"), "key", F.lit(DONE).alias("action"),
         F.current_timestamp().alias("at"), F.lit("import").alias("run_id"),
+        F.current_timestamp().alias("seen"),
     )

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obslake.functions.text import city_name, parse_date, parse_number, station_id
 from obslake.functions.weather import mean_temperature
-from obslake.operators.dedup import dedup_observations
+from obslake.operators.dedup import dedup_observations, known_stations, unknown_stations
 from obslake.operators.filters import date_range, optional, partitions, require_columns, with_time
 from obslake.operators.joins import union_all
 from obslake.operators.skew import HOT_ROWS, count_hot
@@ -18,7 +18,7 @@ from obslake.schemas import (
 )
 from obslake.session import settle, staged
 from obslake.sources.readers import read_archives, read_feed
-from obslake.sources.sinks import write_partitions
+from obslake.sources.sinks import write_partitions, write_table
 
 
 def unify(df: DataFrame, columns: dict) -> DataFrame:
@@ -106,7 +106,7 @@ def build_silver(
     union = union_all(frames)
     if union is None:
         return None
-    rows = with_time(union)
+    rows = known_stations(with_time(union))
     hot = count_hot(rows, "station_id", hot_rows)
     unique = dedup_observations(rows if hot else rows.repartition("station_id"))
     return date_range(
@@ -126,6 +126,25 @@ def read_inputs(
     ]
 
 
+#: rows before a row that its indicators look at
+LOOK_BACK = 6
+
+
+def years_in_reach(rows: DataFrame, years: DataFrame, look_back: int = LOOK_BACK) -> DataFrame:
+    """``key`` of the years after the given ones whose indicators look back into them.
+
+    A year is in reach where a station has fewer than ``look_back`` rows between the two. Counts per
+    station and year decide it; the given years are bounded by the calendar.
+    """
+    counts = rows.groupBy("station_id", F.year("dt").alias("year")).agg(F.count("*").alias("n"))
+    given = F.broadcast(years.select(F.col("key").cast("int").alias("given")))
+    later = counts.join(given, F.col("year") > F.col("given"))
+    order = Window.partitionBy("station_id", "given").orderBy("year")
+    between = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    near = later.withColumn("between", between).where(F.col("between") < look_back)
+    return near.select(F.col("year").cast("string").alias("key")).distinct()
+
+
 def write_silver(
     spark: SparkSession,
     frames: list[DataFrame | None],
@@ -135,28 +154,48 @@ def write_silver(
     end: str | None = None,
     only_new: bool = False,
     changed_at: DataFrame | None = None,
+    quarantine_path: str | None = None,
+    journal_path: str | None = None,
 ) -> DataFrame | None:
     """Builds and writes the table by year and marks the years in the ledger.
 
-    The unified rows are staged first, so compressed archives are parsed once;
-    the list of years and the search for hot stations are then narrow scans.
-    With ``only_new`` a year is written when it has no ledger row or when
-    ``changed_at`` (key, changed_at) is newer than that row.
+    The unified rows are staged first, so compressed archives are parsed once; the list of years is then a
+    narrow scan. ``start`` and ``end`` choose years, which are always written whole. With ``only_new`` a
+    year is written when it has no ledger row, when ``changed_at`` (key, changed_at) or the live feed's hours in
+    the same ledger are newer than the start of the run that wrote it, or when its indicators look back
+    into such a year. Rows without a station go to ``quarantine_path`` with a reason.
     """
+    seen = ledger.now()
     union = union_all(frames)
     if union is None:
         return None
-    rows = staged(with_time(union), "unified")
-    days = date_range(rows.select("dt"), start, end)
-    years = days.select(F.year("dt").cast("string").alias("key")).distinct()
-    if only_new:
-        years = ledger.pending(
-            years, ledger.read_ledger(spark, ledger_path), "silver", changed_at
-        )
-    years = settle(years)
-    silver = build_silver([rows], start, end).withColumn("year", F.year("dt"))
-    if only_new:
-        silver = partitions(silver, "year", years.select(F.col("key").cast("int").alias("year")))
-    write_partitions(silver.select(*OBSERVATION_COLUMNS, *INDICATORS, "year"), path, ["year"])
-    ledger.mark(spark, ledger_path, "silver", years)
-    return years
+    with ledger.journaled(spark, journal_path, "silver") as counters:
+        everything = staged(with_time(union), "unified")
+        rows = known_stations(everything)
+        bounds = [F.year(F.lit(day).cast("date")) for day in (start, end)]
+        wanted = rows.select("dt")
+        if start:
+            wanted = wanted.where(F.year("dt") >= bounds[0])
+        if end:
+            wanted = wanted.where(F.year("dt") <= bounds[1])
+        years = wanted.select(F.year("dt").cast("string").alias("key")).where("key IS NOT NULL").distinct()
+        written = years
+        if only_new:
+            book = ledger.read_ledger(spark, ledger_path)
+            moved = ledger.feed_changes(book)
+            if changed_at is not None:
+                moved = moved.unionByName(changed_at.select(F.col("key").cast("string").alias("key"), "changed_at"))
+            moved = moved.groupBy("key").agg(F.max("changed_at").alias("changed_at"))
+            years = settle(ledger.pending(years, book, "silver", moved))
+            known = ledger.done_keys(book, "silver").select("key")
+            reached = years_in_reach(rows, years).join(known, "key", "left_semi")
+            written = years.unionByName(reached).distinct()
+        written = settle(written)
+        silver = build_silver([rows]).withColumn("year", F.year("dt"))
+        silver = partitions(silver, "year", written.select(F.col("key").cast("int").alias("year")))
+        write_partitions(silver.select(*OBSERVATION_COLUMNS, *INDICATORS, "year"), path, ["year"])
+        if quarantine_path:
+            write_table(unknown_stations(everything), quarantine_path)
+        ledger.mark(spark, ledger_path, "silver", written, seen=seen)
+        counters["years"] = written.count()
+    return written

@@ -559,6 +559,106 @@ def silver_written(spark, sf):
     return readers.read_table(spark, path)
 
 
+SILVER = UNIFIED + " temp_ma3:f temp_ma7:f temp_std7:f temp_anomaly:f year:l"
+WHOLE = "SELECT *, year(dt) AS year FROM silver"
+
+
+@query("l06_bounded_run", SILVER, WHOLE, ctes("silver"))
+def bounded_run(spark, sf):
+    """A bound inside a year chooses the whole year."""
+    path, book = scratch_path(spark, "silver"), scratch_path(spark, "ledger")
+    frames = unified_frames(spark, sf)
+    silver.write_silver(spark, frames, path, book)
+    silver.write_silver(spark, frames, path, book, start="2024-01-20")
+    return readers.read_table(spark, path)
+
+
+@query("l06_live_rows", SILVER, WHOLE, ctes("silver"))
+def live_rows(spark, sf):
+    """Hours that the feed job marks after the first run bring their year back."""
+    path, book = scratch_path(spark, "silver"), scratch_path(spark, "ledger")
+    archive, messages = unified_frames(spark, sf)
+    silver.write_silver(spark, [archive], path, book)
+    hours = messages.select(F.concat(F.year("dt").cast("string"), F.lit("/01/01/00")).alias("key")).distinct()
+    ledger.mark(spark, book, "stream", hours)
+    silver.write_silver(spark, [archive, messages], path, book, only_new=True)
+    return readers.read_table(spark, path)
+
+
+@query("l06_file_during_run", SILVER, WHOLE, ctes("silver"))
+def file_during_run(spark, sf):
+    """A file that lands after the run began to read, and before it marked its years, is read by the next one."""
+    path, book = scratch_path(spark, "silver"), scratch_path(spark, "ledger")
+    archive, messages = unified_frames(spark, sf)
+    silver.write_silver(spark, [archive], path, book)
+    landed = ledger.read_ledger(spark, book).select("key", F.expr("seen + INTERVAL 1 MILLISECOND").alias("changed_at"))
+    silver.write_silver(spark, [archive, messages], path, book, only_new=True, changed_at=landed)
+    return readers.read_table(spark, path)
+
+
+@query("l07_earlier_year_refreshed", WEEKLY_SHAPE, PREVIOUS, ctes("weekly"))
+def earlier_year_refreshed(spark, sf):
+    """The next year's first week follows an earlier year that is written again."""
+    root, book = scratch_path(spark, "gold"), scratch_path(spark, "ledger")
+    rows = li(spark, sf)
+    before = F.when(F.year("dt") == 1994, F.col("temperature") + 5).otherwise(F.col("temperature"))
+    gold.write_gold(spark, rows.withColumn("temperature", before), root, book, limits=EVENT_LIMITS)
+    ledger.mark(spark, book, "silver", table(spark, sf, "region").select(F.lit("1994").alias("key")))
+    return readers.read_table(
+        spark, gold.write_gold(spark, rows, root, book, only_new=True, limits=EVENT_LIMITS)[gold.WEEKLY]
+    )
+
+
+@query("l07_events_vanish", EVENT_SHAPE, "SELECT * FROM found", ctes("found"))
+def events_vanish(spark, sf):
+    """A year without events any more leaves none behind."""
+    root, book = scratch_path(spark, "gold"), scratch_path(spark, "ledger")
+    rows = ev(spark, sf)
+    later = rows.withColumn("timestamp", F.expr("timestamp + INTERVAL 366 DAY")).withColumn("dt", F.date_add("dt", 366))
+    gold.write_gold(spark, rows.unionByName(later), root, book, limits=EVENT_LIMITS)
+    ledger.mark(spark, book, "silver", table(spark, sf, "region").select(F.lit("2025").alias("key")))
+    calm = later.withColumns({c: F.lit(None).cast("double") for c in ("temperature", "precipitation", "wind_speed")})
+    paths = gold.write_gold(spark, rows.unionByName(calm), root, book, only_new=True, limits=EVENT_LIMITS)
+    return readers.read_table(spark, paths[gold.EVENTS])
+
+
+@query(
+    "l04_journal_of_jobs", "stage:s status:s years:l",
+    """SELECT 'silver' AS stage, 'success' AS status, count(DISTINCT year(dt)) AS years FROM silver
+    UNION ALL SELECT 'gold', 'success', count(DISTINCT year(dt)) FROM silver UNION ALL SELECT 'gold', 'failed', NULL""",
+    ctes("silver"),
+)
+def journal_of_jobs(spark, sf):
+    """Silver and Gold record their runs, one of them failed."""
+    path, root, book, runs = (scratch_path(spark, name) for name in ("silver", "gold", "ledger", "journal"))
+    silver.write_silver(spark, unified_frames(spark, sf), path, book, journal_path=runs)
+    rows = readers.read_table(spark, path)
+    gold.write_gold(spark, rows, root, book, journal_path=runs)
+    try:
+        gold.write_gold(spark, rows.select(F.raise_error(F.lit("broken input")).cast("double").alias("temperature"), *[c for c in rows.columns if c != "temperature"]), root, book, journal_path=runs)
+    except Exception as error:
+        if "broken input" not in str(error):
+            raise
+    journal = ledger.read_journal(spark, runs)
+    years = F.when(F.col("status") == "success", F.col("counters")["years"])
+    return journal.select("stage", "status", years.alias("years"))
+
+
+@query(
+    "w01_quarantine", UNIFIED + " reason:s",
+    """SELECT *, 'station unknown' AS reason FROM (SELECT * REPLACE (NULL AS station_id) FROM ev WHERE day("timestamp") % 5 = 0)""",
+    ctes("ev"),
+)
+def quarantine(spark, sf):
+    """Rows without a station are set aside whole; the table has the others."""
+    path, aside, book = (scratch_path(spark, name) for name in ("silver", "aside", "ledger"))
+    rows = ev(spark, sf)
+    station = F.when(F.dayofmonth("timestamp") % 5 != 0, F.col("station_id"))
+    rows = rows.withColumn("station_id", station)
+    silver.write_silver(spark, [rows], path, book, quarantine_path=aside)
+    return readers.read_table(spark, aside)
+
+
 # ---- health --------------------------------------------------------------------------------
 
 CHECKS = """WITH checks AS (SELECT o_orderkey AS path, o_orderkey % 2 = 0 AS required, o_orderkey % 3 = 0 AS expect_success,

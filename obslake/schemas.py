@@ -35,7 +35,7 @@ FEATURE_INPUT = [
 NOT_FEATURES = [
     "target", "timestamp", "dt", "location", "city", "station_id", "station_name", "source",
 ]
-LEDGER = _struct(stage=_S, key=_S, action=_S, at=T.TimestampType(), run_id=_S)
+LEDGER = _struct(stage=_S, key=_S, action=_S, at=T.TimestampType(), run_id=_S, seen=T.TimestampType())
 JOURNAL = _struct(
     stage=_S, run_id=_S, status=_S, at=T.TimestampType(),
     counters=T.MapType(T.StringType(), T.LongType()),

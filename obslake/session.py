@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,12 +39,14 @@ def build_session(app_name: str = "obslake", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a session without the setting (a test on one machine) gets a
-    temporary folder of its own.
+    Only a session on one machine without the setting (a test) gets a temporary folder of its
+    own; on a cluster, executors would write to their own disks, so it has to be set there.
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if context.getCheckpointDir() is None:
+        if not folder and not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is unset: name a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="obslake-"))
     return (folder or context.getCheckpointDir()).rstrip("/")
 

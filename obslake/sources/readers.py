@@ -72,8 +72,10 @@ def read_table(
         return None
     try:
         table = spark.read.parquet(path)
-    except AnalysisException:  # a folder without any data file yet
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without any data file yet
+            return None
+        raise
     return table if columns is None else present(table, columns)
 
 

@@ -32,6 +32,13 @@ def write_partitions(
     )
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values: list) -> None:
+    """Removes whole partitions, as those that no row is left for."""
+    for value in values:
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Replaces a table that has no partitions."""
     df.hint("rebalance").write.mode("overwrite").option("compression", "zstd").parquet(path)

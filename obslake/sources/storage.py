@@ -105,3 +105,16 @@ def complete_partitions(spark: SparkSession, path: str, column: str) -> DataFram
     return marks.select(path_value(F.col("path"), column).alias(column)).where(
         F.col(column).isNotNull()
     )
+
+
+def has_marker(spark: SparkSession, path: str, name: str = "_SUCCESS") -> bool:
+    """Whether a marker file lies anywhere below a path."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(top):
+        return False
+    files = system.listFiles(top, True)
+    while files.hasNext():
+        if files.next().getPath().getName() == name:
+            return True
+    return False

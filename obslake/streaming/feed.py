@@ -19,21 +19,27 @@ TRIGGER_SECONDS = 30
 HOUR_COLUMNS = ["year", "month", "day", "hour"]
 
 
-def kafka_messages(
-    spark: SparkSession, servers: str, topic: str, from_earliest: bool = False,
-    per_trigger: int = OFFSETS_PER_TRIGGER,
-) -> DataFrame:
-    """Message texts of a topic (needs the Kafka connector on the class path)."""
-    source = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", "earliest" if from_earliest else "latest")
-        .option("failOnDataLoss", "false")
-        .option("maxOffsetsPerTrigger", per_trigger)
-        .load()
-    )
-    return message_text(source)
+def kafka_options(
+    servers: str, topic: str, from_earliest: bool = False, per_trigger: int | None = None,
+    allow_loss: bool = False,
+) -> dict[str, str]:
+    """Options of the topic reader.
+
+    Without ``per_trigger`` (OFFSETS_PER_TRIGGER is the usual limit) a backlog is read as fast as it can be;
+    messages that the topic no longer holds fail the job unless ``allow_loss`` says otherwise.
+    """
+    options = {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": "earliest" if from_earliest else "latest",
+        "failOnDataLoss": "false" if allow_loss else "true",
+    }
+    return options | ({"maxOffsetsPerTrigger": str(per_trigger)} if per_trigger else {})
+
+
+def kafka_messages(spark: SparkSession, servers: str, topic: str, **choices) -> DataFrame:
+    """Message texts of a topic (needs the Kafka connector on the class path); see kafka_options."""
+    return message_text(spark.readStream.format("kafka").options(**kafka_options(servers, topic, **choices)).load())
 
 
 def file_messages(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:

@@ -262,14 +262,93 @@ def test_incremental_silver_refreshes_changed_years(spark, year):
     path, book = scratch_path(spark, "silver"), scratch_path(spark, "ledger")
     january = year.where("month(dt) = 1")
     silver.write_silver(spark, [january], path, book)
-    silver.write_silver(spark, [year], path, book, only_new=True)
     assert readers.read_table(spark, path).count() == 62
-    later = dt.datetime.now() + dt.timedelta(hours=1)
+    # the file landed while the run was under way: after its start, before its mark
+    later = ledger.read_ledger(spark, book).first()["seen"] + dt.timedelta(milliseconds=1)
     changed = spark.createDataFrame([("2025", later)], "key string, changed_at timestamp")
     silver.write_silver(spark, [year], path, book, only_new=True, changed_at=changed)
     assert readers.read_table(spark, path).count() == 730
 
 
+def test_live_hours_bring_their_year_back(spark, year):
+    path, book = scratch_path(spark, "silver"), scratch_path(spark, "ledger")
+    silver.write_silver(spark, [year.where("month(dt) = 1")], path, book)
+    ledger.mark(spark, book, "stream", spark.createDataFrame([("2025/03/01/07",)], "key string"))
+    silver.write_silver(spark, [year], path, book, only_new=True)
+    assert readers.read_table(spark, path).count() == 730
+    written = silver.write_silver(spark, [year], path, book, only_new=True)
+    assert written.isEmpty()
+
+
+def test_bounds_choose_whole_years(spark, year):
+    path, book = scratch_path(spark, "silver"), scratch_path(spark, "ledger")
+    for bounds in ({"end": "2025-06-30"}, {"start": "2025-12-01"}):
+        silver.write_silver(spark, [year], path, book, **bounds)
+        assert readers.read_table(spark, path).count() == 730
+    assert silver.write_silver(spark, [year], path, book, start="2026-01-01").isEmpty()
+    assert readers.read_table(spark, path).count() == 730
+
+
+def test_indicators_of_the_next_years_are_refreshed(spark, year):
+    """Years whose windows look back into a refreshed one follow it, also over a gap."""
+    later = year.withColumn("timestamp", F.expr("timestamp + INTERVAL 1096 DAY")).withColumn("dt", F.col("timestamp").cast("date"))
+    before = year.withColumn("temperature", F.col("temperature") + 7)
+    path, book = scratch_path(spark, "silver"), scratch_path(spark, "ledger")
+    silver.write_silver(spark, [before.unionByName(later)], path, book)
+    changed = spark.createDataFrame([("2025", dt.datetime.now() + dt.timedelta(hours=1))], "key string, changed_at timestamp")
+    silver.write_silver(spark, [year.unionByName(later)], path, book, only_new=True, changed_at=changed)
+    whole = scratch_path(spark, "silver")
+    silver.write_silver(spark, [year.unionByName(later)], whole, scratch_path(spark, "ledger"))
+    assert same(readers.read_table(spark, path), readers.read_table(spark, whole))
+
+
+def test_unknown_stations_go_to_quarantine(spark, year):
+    path, aside, book = (scratch_path(spark, n) for n in ("silver", "aside", "ledger"))
+    unknown = year.limit(3).withColumn("station_id", F.when(F.col("temperature") > 0, ""))
+    silver.write_silver(spark, [year.unionByName(unknown)], path, book, quarantine_path=aside)
+    assert readers.read_table(spark, path).count() == 730
+    rows = readers.read_table(spark, aside).collect()
+    assert len(rows) == 3 and {r["reason"] for r in rows} == {"station unknown"}
+
+
+def test_jobs_record_their_runs(spark, year):
+    path, book, runs = (scratch_path(spark, n) for n in ("silver", "ledger", "journal"))
+    silver.write_silver(spark, [year], path, book, journal_path=runs)
+    broken = year.withColumn("temperature", F.raise_error(F.lit("no")).cast("double"))
+    with pytest.raises(Exception, match="no"):
+        silver.write_silver(spark, [broken], path, book, journal_path=runs)
+    found = [(r["stage"], r["status"], r["counters"].get("years")) for r in ledger.read_journal(spark, runs).orderBy("at").collect()]
+    assert found == [("silver", "success", 1), ("silver", "failed", None)]
+    state = ledger.state(ledger.read_ledger(spark, book))
+    assert same(state, ledger.state(ledger.compacted(ledger.read_ledger(spark, book))))
+
+
+def test_kafka_options():
+    from obslake.streaming.feed import kafka_options
+
+    plain = kafka_options("b:9092", "t")
+    assert plain["failOnDataLoss"] == "true" and plain["startingOffsets"] == "latest" and "maxOffsetsPerTrigger" not in plain
+    chosen = kafka_options("b:9092", "t", from_earliest=True, per_trigger=20_000, allow_loss=True)
+    assert (chosen["startingOffsets"], chosen["maxOffsetsPerTrigger"], chosen["failOnDataLoss"]) == ("earliest", "20000", "false")
+
+
+def test_markers_are_found_at_any_depth(spark, tmp_path):
+    deep = tmp_path / "a" / "b" / "c" / "d" / "e" / "f"
+    deep.mkdir(parents=True)
+    assert not storage.has_marker(spark, str(tmp_path))
+    (deep / "_SUCCESS").write_bytes(b"")
+    assert storage.has_marker(spark, str(tmp_path)) and not storage.has_marker(spark, str(tmp_path / "none"))
+
+
+def test_only_an_empty_folder_counts_as_absent(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"not a table")
+    assert readers.read_table(spark, str(tmp_path / "empty")) is None
+    with pytest.raises(Exception):
+        readers.read_table(spark, str(tmp_path / "broken")).count()
+
+
 def test_gold_weeks_see_the_year_before(spark, year):
     """An incremental run gives the same tables as one full run."""
     more = year.withColumns({c: F.col(c) + F.expr("INTERVAL 365 DAY") for c in ("timestamp",)}).withColumn("dt", F.col("timestamp").cast("date"))
