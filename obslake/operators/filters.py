@@ -50,9 +50,9 @@ def date_range(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
 def partitions(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
     """Rows whose partition is listed; Spark prunes the scan by the join.
 
-    Partitions are years, months or days, so the calendar bounds the list.
+    Lists of any column are allowed, so Spark's own size check chooses between a broadcast and a shuffle.
     """
-    return df.join(F.broadcast(values.select(column).distinct()), column, "left_semi")
+    return df.join(values.select(column).distinct(), column, "left_semi")
 
 
 def last_days(df: DataFrame, days: int, column: str = "dt") -> DataFrame:

@@ -72,11 +72,18 @@ def encode(df: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame
 def dense_index(df: DataFrame, column: str, name: str = "idx") -> DataFrame:
     """The distinct values of a column with their rank from 0.
 
-    Only the distinct values (cities, days, seasons), never the rows, are
-    brought into one order.
+    The values are range-partitioned, ranked within their part, and each part's
+    offset is the number of values in the parts before it: one row per part is all that is brought together.
     """
     values = df.where(F.col(column).isNotNull()).select(column).distinct()
-    return values.withColumn(name, F.row_number().over(Window.orderBy(column)) - 1)
+    # fixed, so that both uses see the same parts
+    placed = settle(values.repartitionByRange(column).withColumn("_part", F.spark_partition_id()))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(column))
+    ranked = placed.withColumn("_row", inside).join(F.broadcast(offsets), "_part")
+    return ranked.select(column, (F.col("_before") + F.col("_row") - 1).cast("int").alias(name))
 
 
 def label_index(df: DataFrame, column: str) -> DataFrame:

@@ -1,10 +1,8 @@
 """Row windows over a key that may hold a large share of all rows.
 
-A window partitioned by station sends each station to one task. That is the
-cheapest plan while every station is small. For a station above ``HOT_ROWS``
-the series is cut into time chunks of about equal size and each chunk is
-given the few rows before and after it which its frames reach into. The
-result is the same as that of the plain window.
+A window partitioned by station sends each station to one task. Here every series is cut at calendar
+buckets, whatever its size, and each bucket is given the few rows before and after it which its frames
+reach into. The result is that of the plain window, and a task holds one bucket of a key at most.
 """
 
 from __future__ import annotations
@@ -14,99 +12,30 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from obslake.session import staged
+BUCKET_DAYS = 32
+_BUCKET, _GUEST = "_bucket", "_guest"
+#: bucket of rows without a time, which come first
+_NO_TIME = -(2**63)
 
-HOT_ROWS = 5_000_000
-CHUNKS = 256
-BROADCAST_KEYS = 5_000
-STEP = 16
-_CHUNK, _HOT, _GUEST = "_chunk", "_hot", "_guest"
 
+def _guests(rows: DataFrame, key: str, outward: list[Column], reach: int) -> DataFrame:
+    """The rows that other buckets' frames reach into, once for each such bucket.
 
-def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows.
-
-    The count is combined before its shuffle, and there can be no more such
-    keys than all rows / ``hot_rows``.
-    """
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.where(F.col("_rows") > hot_rows).select(key)
-
-
-def count_hot(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> int:
-    """Number of hot keys: a scan of the key column alone."""
-    return hot_keys(rows, key, hot_rows).count()
-
-
-def _match(rows: DataFrame, found: DataFrame, key: str, how: str) -> DataFrame:
-    """Join on the key, where a NULL key (unknown station) equals a NULL key."""
-    right = found.withColumnRenamed(key, "_key")
-    out = rows.join(right, F.col(key).eqNullSafe(F.col("_key")), how)
-    return out if how == "left_semi" else out.drop("_key")
-
-
-def _with_chunks(
-    rows: DataFrame, probe: DataFrame, key: str, ts: str, hot_rows: int, hot: int, chunks: int
-) -> DataFrame:
-    """``rows`` with a chunk number: growing with time for hot keys, 0 for the others.
-
-    The cut points come from ``probe``: at most ``chunks`` parts of equal depth
-    per hot key, and within each part as many equal spans of time as bring a
-    chunk near ``hot_rows`` rows. Cut points are broadcast only for a counted,
-    small number of keys. The chunk grows with time, which is all that the
-    windows rely on.
-    """
-
-    def sized(found: DataFrame) -> DataFrame:
-        return F.broadcast(found) if hot <= BROADCAST_KEYS else found
-
-    points = F.percentile_approx(F.unix_micros(ts), [i / chunks for i in range(chunks + 1)], 100 * chunks)
-    edges = (
-        _match(probe, sized(hot_keys(probe, key, hot_rows)), key, "left_semi")
-        .groupBy(key)
-        .agg(
-            F.array_distinct(points).alias("_edges"),
-            F.ceil(F.count(F.lit(1)) / float(chunks * hot_rows)).alias("_spans"),
-        )
-        .withColumn("_coarse", F.filter("_edges", lambda _, i: i % STEP == 0))
-    )
-    micros, spans = F.unix_micros(F.col(ts)), F.col("_spans")
-    # look among every 16th cut point first, then within the 16 there
-    before = F.size(F.filter("_coarse", lambda edge: edge < micros))
-    first = F.greatest(before - 1, F.lit(0)) * STEP
-    near = F.slice("_edges", first + 1, F.lit(STEP))
-    passed = first + F.size(F.filter(near, lambda edge: edge < micros))
-    part = F.greatest(F.lit(1), F.least(passed, F.size("_edges") - 1))
-    low, high = F.get("_edges", F.col("_part") - 1), F.get("_edges", F.col("_part"))
-    span = F.floor(F.try_divide((micros - low).cast("double"), (high - low) / spans))
-    inner = F.coalesce(F.greatest(F.lit(0), F.least(span, spans - 1)), F.lit(0))
-    return (
-        _match(rows, sized(edges), key, "left")
-        .withColumn(_HOT, F.col("_edges").isNotNull())
-        .withColumn("_part", F.when(F.col(_HOT), part))
-        .withColumn(_CHUNK, F.when(F.col(_HOT), F.col("_part") * spans + inner).otherwise(F.lit(0)))
-        .drop("_edges", "_coarse", "_spans", "_part")
-    )
-
-
-def _guests(hot: DataFrame, key: str, outward: list[Column], reach: int) -> DataFrame:
-    """The rows that other chunks' frames reach into, once for each such chunk.
-
-    ``outward`` is time order seen from the chunk that needs the rows: newest
+    ``outward`` is time order seen from the bucket that needs the rows: newest
     first for rows before it. Only the ``reach`` rows nearest to each cut
-    matter, ``reach`` per chunk. Among those alone, a row is in
-    the frame of another chunk exactly when that chunk has one of the
+    matter, so a key has ``reach`` rows per bucket of the calendar here. Among those alone, a row is in
+    the frame of another bucket exactly when that bucket has one of the
     ``reach`` rows next to it.
     """
-    edge = Window.partitionBy(key, _CHUNK).orderBy(*outward)
+    edge = Window.partitionBy(key, _BUCKET).orderBy(*outward)
     near = Window.partitionBy(key).orderBy(*outward).rowsBetween(-reach, -1)
-    others = F.array_except(F.collect_set(_CHUNK).over(near), F.array(_CHUNK))
+    others = F.array_except(F.collect_set(_BUCKET).over(near), F.array(_BUCKET))
     return (
-        hot.withColumn("_pos", F.row_number().over(edge))
+        rows.withColumn("_pos", F.row_number().over(edge))
         .where(F.col("_pos") <= reach)
         .drop("_pos")
         .withColumn("_others", others)
-        .withColumn(_CHUNK, F.explode("_others"))
+        .withColumn(_BUCKET, F.explode("_others"))
         .drop("_others")
     )
 
@@ -119,29 +48,21 @@ def over_key(
     build: Callable[[DataFrame, WindowSpec], DataFrame],
     before: int = 0,
     after: int = 0,
-    hot_rows: int = HOT_ROWS,
-    probe: DataFrame | None = None,
-    hot: int | None = None,
-    chunks: int = CHUNKS,
+    days: float = BUCKET_DAYS,
 ) -> DataFrame:
     """``build(frame, window)`` over each key's rows in time order.
 
     ``build`` adds columns whose frames reach at most ``before`` rows back and
-    ``after`` rows ahead of a row. ``probe`` is a cheaper frame (such as the
-    input before deduplication) whose key counts bound those of ``rows``;
-    ``hot`` is the number of hot keys where the caller has counted them already. Cut rows
-    are written once to the shared folder, since three branches read them.
+    ``after`` rows ahead of a row. Rows are spread by key and bucket once; the branches that look for
+    guests read the same shuffle.
     """
-    probe = (rows if probe is None else probe).select(key, ts)
     order = [F.col(c) for c in [ts, *ties]]
-    hot = count_hot(probe, key, hot_rows) if hot is None else hot
-    if not hot:
-        return build(rows, Window.partitionBy(key).orderBy(*order))
-    tagged = staged(_with_chunks(rows, probe, key, ts, hot_rows, hot, chunks), "chunks")
-    parts = tagged.withColumn(_GUEST, F.lit(False))
+    bucket = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(int(days * 86_400_000_000))).cast("long")
+    spread = rows.withColumn(_BUCKET, F.coalesce(bucket, F.lit(_NO_TIME))).repartition(key, _BUCKET)
+    parts = spread.withColumn(_GUEST, F.lit(False))
     for reach, outward in ((before, [c.desc_nulls_last() for c in order]), (after, order)):
         if reach:
-            guests = _guests(tagged.where(_HOT), key, outward, reach)
+            guests = _guests(spread, key, outward, reach)
             parts = parts.unionByName(guests.withColumn(_GUEST, F.lit(True)))
-    window = Window.partitionBy(key, _CHUNK).orderBy(*order)
-    return build(parts, window).where(~F.col(_GUEST)).drop(_GUEST, _HOT, _CHUNK)
+    window = Window.partitionBy(key, _BUCKET).orderBy(*order)
+    return build(parts, window).where(~F.col(_GUEST)).drop(_GUEST, _BUCKET)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from obslake.operators.skew import HOT_ROWS, over_key
+from obslake.operators.skew import BUCKET_DAYS, over_key
 
 
 def full_frame(aggregate: Column, value: str, window: WindowSpec, size: int) -> Column:
@@ -25,17 +25,10 @@ def _trailing(rows: DataFrame, window: WindowSpec) -> DataFrame:
 
 
 def trailing_indicators(
-    rows: DataFrame,
-    probe: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-    hot: int | None = None,
-    ties: list[str] | None = None,
+    rows: DataFrame, ties: list[str] | None = None, days: float = BUCKET_DAYS
 ) -> DataFrame:
     """Means of the last 3 and 7 rows of a station, deviation of 7, and the anomaly."""
-    return over_key(
-        rows, "station_id", "timestamp", ties or [], _trailing, before=6,
-        hot_rows=hot_rows, probe=probe, hot=hot,
-    )
+    return over_key(rows, "station_id", "timestamp", ties or [], _trailing, before=6, days=days)
 
 
 def trailing_days(rows: DataFrame) -> DataFrame:
@@ -44,15 +37,22 @@ def trailing_days(rows: DataFrame) -> DataFrame:
     Days are pre-aggregated per station, so the window sees one row per
     station and day however many observations the day holds.
     """
+    value = F.col("temperature")
     moments = rows.groupBy("station_id", "dt").agg(
-        F.count("temperature").alias("_n"),
-        F.sum("temperature").alias("_s"),
-        F.sum(F.col("temperature") * F.col("temperature")).alias("_q"),
+        F.count(value).alias("_n"), F.sum(value).alias("_s"), F.avg(value).alias("_m"),
+        F.coalesce(F.var_pop(value) * F.count(value), F.lit(0.0)).alias("_q"),
     )
     days = Window.partitionBy("station_id").orderBy(F.unix_date("dt"))
     week, three = days.rangeBetween(-6, 0), days.rangeBetween(-2, 0)
-    n, s, q = (F.sum(c).over(week) for c in ("_n", "_s", "_q"))
-    spread = F.try_divide(q - s * s / F.nullif(n, F.lit(0)), F.nullif(n - 1, F.lit(0)))
+    n, s = (F.sum(c).over(week) for c in ("_n", "_s"))
+    # squares within each day plus those of the day's mean around the week's mean, so that no digits cancel
+    parts = F.collect_list(F.struct("_n", "_m", "_q")).over(week)
+    mean = F.try_divide(s, n)
+    square = F.aggregate(
+        parts, F.lit(0.0),
+        lambda total, day: total + day["_q"] + F.coalesce(day["_n"] * (day["_m"] - mean) * (day["_m"] - mean), F.lit(0.0)),
+    )
+    spread = F.when(n > 1, square / (n - 1))
     daily = moments.select(
         "station_id",
         "dt",
@@ -70,8 +70,7 @@ def series_features(
     key: str = "location",
     ties: list[str] | None = None,
     centered: bool = False,
-    probe: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    days: float = BUCKET_DAYS,
 ) -> DataFrame:
     """Lags, rolling values and the next value of each series.
 
@@ -105,6 +104,5 @@ def series_features(
         ).withColumn("temp_anomaly", temp - F.col("temp_ma7"))
 
     return over_key(
-        rows, key, "timestamp", ties or [], build, before=7, after=3 if centered else 1,
-        hot_rows=hot_rows, probe=probe,
+        rows, key, "timestamp", ties or [], build, before=7, after=3 if centered else 1, days=days
     )

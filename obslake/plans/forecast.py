@@ -18,7 +18,7 @@ from obslake.functions.weather import absolute_error, confidence
 from obslake.operators.aggregates import split_scores
 from obslake.operators.filters import last_days, missing_columns, require_columns
 from obslake.operators.joins import counted, dense_index, encode, label_index, semi
-from obslake.operators.skew import HOT_ROWS
+from obslake.operators.skew import BUCKET_DAYS
 from obslake.operators.views import top_locations
 from obslake.operators.windows import series_features
 from obslake.schemas import FEATURE_INPUT, NOT_FEATURES
@@ -43,7 +43,7 @@ def build_features(
     drop_missing_target: bool = True,
     centered: bool = False,
     key: str = "location",
-    hot_rows: int = HOT_ROWS,
+    days: float = BUCKET_DAYS,
 ) -> DataFrame:
     """The feature table.
 
@@ -56,7 +56,7 @@ def build_features(
         {"location": F.col("city").cast("string"), "source": F.upper(F.col("source").cast("string"))}
     )
     ties = [c for c in ("station_id", "source") if c != key]
-    series = series_features(rows, key, ties, centered, probe=rows, hot_rows=hot_rows)
+    series = series_features(rows, key, ties, centered, days=days)
     parts = calendar_parts(F.col("timestamp"))
     featured = series.withColumns(
         {name: parts[name] for name in ("month", "dayofyear", "dayofweek", "is_weekend", "year")}

@@ -10,7 +10,7 @@ from obslake.functions.weather import mean_temperature
 from obslake.operators.dedup import dedup_observations, known_stations, unknown_stations
 from obslake.operators.filters import date_range, optional, partitions, require_columns, with_time
 from obslake.operators.joins import union_all
-from obslake.operators.skew import HOT_ROWS, count_hot
+from obslake.operators.skew import BUCKET_DAYS
 from obslake.operators.windows import trailing_indicators
 from obslake.plans import ledger
 from obslake.schemas import (
@@ -93,25 +93,18 @@ def build_silver(
     frames: list[DataFrame | None],
     start: str | None = None,
     end: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    days: float = BUCKET_DAYS,
 ) -> DataFrame | None:
     """Unified frames to deduplicated observations with indicators.
 
-    The days are limited last, so that the windows of the first days still
-    see the rows before them. While no station is hot the rows are spread by
-    station once, and both the deduplication and the windows use that one
-    shuffle; otherwise copies are removed before their shuffle and hot
-    stations are cut into chunks.
+    Copies are removed within each task before they travel. The days are limited last, so that the windows of
+    the first days still see the rows before them.
     """
     union = union_all(frames)
     if union is None:
         return None
     rows = known_stations(with_time(union))
-    hot = count_hot(rows, "station_id", hot_rows)
-    unique = dedup_observations(rows if hot else rows.repartition("station_id"))
-    return date_range(
-        trailing_indicators(unique, probe=rows, hot_rows=hot_rows, hot=hot), start, end
-    )
+    return date_range(trailing_indicators(dedup_observations(rows), days=days), start, end)
 
 
 def read_inputs(

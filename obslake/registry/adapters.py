@@ -140,7 +140,7 @@ def found_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast rows of a stand-in predictor: the value before is the forecast."""
     rows = ev(spark, sf_dir).withColumn("location", F.col("station_id"))
-    lagged = series_features(rows, "station_id", ["source"], probe=rows)
+    lagged = series_features(rows, "station_id", ["source"])
     return forecast_table(lagged.withColumn("temp_predicted", F.col("temp_lag1")), 3)
 
 

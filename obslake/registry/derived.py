@@ -516,8 +516,9 @@ def day_context(spark, sf):
 
 @query(
     "u04_keys_minus_done", "o_custkey:l",
-    "SELECT c_custkey AS o_custkey FROM customer EXCEPT SELECT o_custkey FROM orders",
+    "SELECT c_custkey AS o_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000",
 )
 def keys_minus_done(spark, sf):
     keys = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
-    return joins.pending(keys, table(spark, sf, "orders").select("o_custkey").distinct(), "o_custkey")
+    done = table(spark, sf, "orders").where("o_orderstatus = 'F' AND o_totalprice > 300000")
+    return joins.pending(keys, done.select("o_custkey").distinct(), "o_custkey")

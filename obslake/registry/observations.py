@@ -92,8 +92,8 @@ def indicators(spark, sf):
 
 @query("w02_w05_indicators_hot_station", INDICATORS, TRAILING, EV)
 def indicators_hot_station(spark, sf):
-    """The same with every station treated as hot, which cuts its series into chunks."""
-    return windows.trailing_indicators(ev(spark, sf), hot_rows=50)
+    """The same with series cut every half day."""
+    return windows.trailing_indicators(ev(spark, sf), days=0.5)
 
 
 @query(
@@ -121,5 +121,5 @@ def silver_table(spark, sf):
     "SELECT * FROM silver", ctes("silver"),
 )
 def silver_table_hot_station(spark, sf):
-    """The whole job on the plan for hot stations."""
-    return silver.build_silver(unified_frames(spark, sf), hot_rows=100)
+    """The whole job with series cut every second day."""
+    return silver.build_silver(unified_frames(spark, sf), days=2)

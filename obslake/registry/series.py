@@ -48,7 +48,7 @@ FEATURES = (
 
 def _series(spark, sf, centered=False):
     rows = ev(spark, sf)
-    return windows.series_features(rows, "station_id", ["source"], centered, probe=rows)
+    return windows.series_features(rows, "station_id", ["source"], centered)
 
 
 @query("w07_lags", LAGS, _features_sql(*BY_STATION, False, "true"), EV)
@@ -94,7 +94,7 @@ def features_scoring(spark, sf):
 @query("m01_features_hot_city", FEATURES, _features_sql(*BY_CITY, True, TRAIN), EV)
 def features_hot_city(spark, sf):
     """Centred features with every city treated as hot."""
-    return forecast.build_features(ev(spark, sf), centered=True, hot_rows=500)
+    return forecast.build_features(ev(spark, sf), centered=True, days=1)
 
 
 @query(

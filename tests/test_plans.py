@@ -24,9 +24,17 @@ def shuffles(df) -> int:
     return len(re.findall(r"\bExchange\b", tree))
 
 
-def test_silver_shuffles_once(spark):
+def test_silver_is_one_plan_whatever_the_stations(spark):
+    """No job runs while the plan is built, copies go before rows travel, and no task needs a whole station."""
     frames = [silver.normalise_archive(raw(spark, SF)), silver.normalise_feed(feed(spark, SF))]
-    assert shuffles(silver.build_silver(frames)) == 1
+    spark.sparkContext.setJobGroup("building", "silver")
+    built = silver.build_silver(frames)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    text = plan(built)
+    assert "WindowGroupLimit" in text and "Partial" in text
+    keyed = re.findall(r"Arguments: hashpartitioning\((.*?), \d+\)", text)
+    assert sum("_bucket" in keys for keys in keyed) >= 2 and sum("timestamp" in keys for keys in keyed) >= 1
 
 
 def test_copies_are_removed_before_the_shuffle(spark):

@@ -85,8 +85,22 @@ def test_silver_range_keeps_history(year, year_silver):
     assert same(part, year_silver.where("dt BETWEEN '2025-03-01' AND '2025-03-31'"))
 
 
-def test_hot_plan_gives_the_same_rows(year, year_silver):
-    assert same(year_silver, silver.build_silver([year], hot_rows=100))
+@pytest.mark.parametrize("days", [0.5, 3, 10_000])
+def test_bucket_size_does_not_change_rows(year, year_silver, days):
+    assert same(year_silver, silver.build_silver([year], days=days))
+
+
+def test_one_station_spans_several_tasks(spark, year):
+    """A station's series is spread by calendar bucket, and no task holds the whole of it."""
+    one = year.where(F.col("station_id") == year.select(F.min("station_id")).scalar())
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merge)
+    spark.conf.set(merge, "false")
+    try:
+        tasks = windows.trailing_indicators(one, days=8).withColumn("task", F.spark_partition_id())
+        assert tasks.select("task").distinct().count() > 1
+    finally:
+        spark.conf.set(merge, before)
 
 
 def test_dedup_prefers_full_rows(spark):
@@ -102,12 +116,12 @@ def brute_windows(values, key, before, after):
     return [values[max(0, i - before): i + after + 1] for i in range(len(values))]
 
 
-@pytest.mark.parametrize("chunks", [2, 7, 40])
-def test_chunked_windows_match_brute_force(spark, chunks):
-    """Random gaps, ties in time and NULL keys; frames reach over several chunks."""
+@pytest.mark.parametrize("days", [0.001, 0.5, 30])
+def test_bucketed_windows_match_brute_force(spark, days):
+    """Random gaps, ties in time and NULL keys; frames reach over several buckets."""
     from obslake.operators.skew import over_key
 
-    rng = random.Random(chunks)
+    rng = random.Random(7)
     rows = []
     for key, size in (("hot", 300), ("warm", 60), (None, 90), ("cold", 5)):
         at = 0
@@ -126,7 +140,7 @@ def test_chunked_windows_match_brute_force(spark, chunks):
             }
         )
 
-    out = over_key(df, "k", "ts", ["i"], build, before=7, after=3, hot_rows=50, chunks=chunks)
+    out = over_key(df, "k", "ts", ["i"], build, before=7, after=3, days=days)
     got = {(r["k"], r["i"]): (r["seen"], r["lag7"], r["lead3"]) for r in out.collect()}
     assert len(got) == len(rows) == out.count()
     for key in ("hot", "warm", None, "cold"):
