@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obslake.functions.formats import number_text
@@ -58,6 +58,10 @@ FORECAST_LINE = "  • %s : température prévue %s °C (confiance %s)."
 BULLETIN_CLOSING = "(Bulletin généré automatiquement sans modèle de langage.)"
 
 
+#: lines of a part of a report
+PART_LINES = 1000
+
+
 def _day(column: str = "dt") -> Column:
     return F.col(column).cast("date")
 
@@ -188,19 +192,33 @@ def _cell(df: DataFrame, name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("None"))
 
 
-def documents(lines: DataFrame) -> DataFrame:
-    """The joined text of each day."""
-    ordered = F.array_sort(F.collect_list(F.struct("section", "place", "line")))
+def documents(lines: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
+    """The text of each day in ordered parts of at most ``part_lines`` lines: ``dt``, ``part``, ``text``.
+
+    The lines of all days are brought into one order by ranges, and counted by range, so a day with many
+    lines spans many tasks and none holds more than a part's lines as one text.
+    """
+    order = ["report_dt", "section", "place", "line"]
+    # fixed, so that the counts and the rows see the same ranges
+    placed = settle(lines.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    counts = placed.groupBy("report_dt", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("report_dt").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("report_dt", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("report_dt", "_range").orderBy(*order[1:]))
+    numbered = placed.withColumn("_row", inside).join(starts, ["report_dt", "_range"])
+    numbered = numbered.withColumn("_row", F.col("_before") + F.col("_row") - 1)
+    part = F.floor(F.col("_row") / part_lines).cast("int").alias("part")
+    ordered = F.array_sort(F.collect_list(F.struct("_row", "line")))
     text = F.array_join(F.transform(ordered, lambda x: x["line"]), "\n")
-    return lines.groupBy("report_dt").agg(text.alias("text")).select(
-        F.date_format("report_dt", "yyyy-MM-dd").alias("dt"), "text"
+    return numbered.groupBy("report_dt", part).agg(text.alias("text")).select(
+        F.date_format("report_dt", "yyyy-MM-dd").alias("dt"), "part", "text"
     )
 
 
 def bulletin_records(texts: DataFrame, model: str = "fallback", source: str = "rules") -> DataFrame:
     """The stored form of the bulletins."""
     return texts.select(
-        "dt", F.col("text").alias("bulletin"), F.lit(model).alias("model"), F.lit(source).alias("source"),
+        "dt", "part", F.col("text").alias("bulletin"), F.lit(model).alias("model"), F.lit(source).alias("source"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("generated_at"),
     )
 

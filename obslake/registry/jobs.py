@@ -157,10 +157,10 @@ CHECKED = """SELECT 'OPENMETEO_' || upper(city) AS station_id, "timestamp",
     "r09_r10_unique_stream", "station_id:s timestamp:t temperature:f wind_speed:f precipitation:f", CHECKED, MESSAGES
 )
 def unique_stream(spark, sf):
-    """Doubled messages through the checked stream, each observation once."""
-    source = _message_files(spark, sf, files=1, copies=2)
+    """Doubled messages through the checked stream in several micro-batches, each observation once, however late."""
+    source = _message_files(spark, sf, files=3, copies=2)
     out, check = scratch_path(spark, "unique"), scratch_path(spark, "offsets")
-    live.start_unique(live.file_messages(spark, source), out, check, delay="60 days").awaitTermination()
+    live.start_unique(live.file_messages(spark, source, files_per_trigger=1), out, check).awaitTermination()
     return spark.read.parquet(out)
 
 
@@ -312,8 +312,9 @@ REPORT_CTES = (
     ctes("found", "forecasts")
     + f",\ne2 AS ({SPREAD.format('found')}),\nf2 AS ({SPREAD.format('forecasts')})"
 )
-DOCUMENT = """SELECT CAST(CAST(day AS DATE) AS VARCHAR) AS dt, string_agg(line, chr(10) ORDER BY section, place, line) AS text
-  FROM lines GROUP BY day"""
+DOCUMENT = f"""SELECT CAST(CAST(day AS DATE) AS VARCHAR) AS dt, part, string_agg(line, chr(10) ORDER BY section, place, line) AS text
+  FROM (SELECT *, (row_number() OVER (PARTITION BY day ORDER BY section, place, line) - 1) // {reports.PART_LINES} AS part FROM lines)
+  GROUP BY day, part"""
 
 
 def _report_inputs(spark, sf):
@@ -326,7 +327,7 @@ def _report_inputs(spark, sf):
     return tables
 
 
-@query("b02_bulletin_text", "dt:s text:s", DOCUMENT, REPORT_CTES + "," + BULLETIN)
+@query("b02_bulletin_text", "dt:s part:l text:s", DOCUMENT, REPORT_CTES + "," + BULLETIN)
 def bulletin_text(spark, sf):
     return reports.documents(reports.bulletin_lines(*_report_inputs(spark, sf)))
 
@@ -386,15 +387,15 @@ CONTEXT = "\nlines AS (\n" + "\nUNION ALL ".join(
 
 
 @query(
-    "b01_context_text", "dt:s text:s", DOCUMENT,
+    "b01_context_text", "dt:s part:l text:s", DOCUMENT,
     REPORT_CTES + f",\nd2 AS ({SPREAD.format('daily')})," + CONTEXT,
 )
 def context_text(spark, sf):
     return reports.documents(reports.context_lines(*_report_inputs(spark, sf)))
 
 
-@query("b03_s22_latest_bulletin", "dt:s bulletin:s model:s source:s", f"""SELECT dt, text AS bulletin, 'fallback' AS model,
-    'rules' AS source FROM ({DOCUMENT}) AS d ORDER BY dt DESC LIMIT 1""", REPORT_CTES + "," + BULLETIN)
+@query("b03_s22_latest_bulletin", "dt:s part:l bulletin:s model:s source:s", f"""SELECT dt, part, text AS bulletin, 'fallback' AS model,
+    'rules' AS source FROM ({DOCUMENT}) AS d QUALIFY dt = max(dt) OVER ()""", REPORT_CTES + "," + BULLETIN)
 def latest_bulletin(spark, sf):
     """Two runs; the second finds every day done and adds nothing."""
     path, book = scratch_path(spark, "bulletins"), scratch_path(spark, "ledger")

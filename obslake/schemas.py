@@ -40,7 +40,7 @@ JOURNAL = _struct(
     stage=_S, run_id=_S, status=_S, at=T.TimestampType(),
     counters=T.MapType(T.StringType(), T.LongType()),
 )
-BULLETIN = _struct(dt=_S, bulletin=_S, model=_S, source=_S, generated_at=_S)
+BULLETIN = _struct(dt=_S, part=T.IntegerType(), bulletin=_S, model=_S, source=_S, generated_at=_S)
 HEALTH = _struct(
     layer=_S, path=_S, required=T.BooleanType(), expect_success=T.BooleanType(),
     expect_data=T.BooleanType(),

@@ -122,6 +122,5 @@ def read_partitioned(
 
 
 def latest_document(documents: DataFrame) -> DataFrame:
-    """The document of the newest day."""
-    newest = documents.agg(F.max_by(F.struct(*documents.columns), "dt").alias("d"))
-    return newest.select("d.*").where(F.col("dt").isNotNull())
+    """The document of the newest day, all parts of it."""
+    return documents.where(F.col("dt") == documents.select(F.max("dt")).scalar())

@@ -12,10 +12,14 @@ from obslake.operators.filters import usable, within_bounds
 from obslake.plans import ledger
 from obslake.plans.silver import normalise_feed
 from obslake.schemas import FEED_MESSAGE, OBSERVATION_COLUMNS
+from obslake.session import settle
+from obslake.sources.readers import read_table
+from obslake.sources.sinks import write_partitions
 
 # Rate limit and trigger of the feed job.
 OFFSETS_PER_TRIGGER = 20_000
 TRIGGER_SECONDS = 30
+UNIQUE_KEY = ["station_id", "timestamp"]
 HOUR_COLUMNS = ["year", "month", "day", "hour"]
 
 
@@ -139,22 +143,41 @@ def run_for(query: StreamingQuery, seconds: float) -> bool:
 def unique_messages(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Checked observations once per station and time, in streams with bounded state.
 
-    Copies are found while they arrive within ``delay`` of each other; the
-    batch job removes any later ones.
+    A stream forgets what is older than ``delay`` and drops rows that come later; ``start_unique`` loses none.
     """
     rows = normalise_feed(checked_fields(messages))
-    key = ["station_id", "timestamp"]
     if not rows.isStreaming:
-        return rows.dropDuplicates(key)
-    return rows.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(key)
+        return rows.dropDuplicates(UNIQUE_KEY)
+    return rows.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(UNIQUE_KEY)
 
 
-def start_unique(messages: DataFrame, path: str, checkpoint: str, delay: str = "1 hour") -> StreamingQuery:
-    """Writes the unique observations of all input that is there."""
+def write_unique(batch: DataFrame, epoch: int, path: str, name: str | None = None) -> None:
+    """Adds those observations of a micro-batch that its days do not hold yet, however late they are.
+
+    Rows lie below their day and the epoch, so a replayed epoch replaces its own rows; only the days that the
+    batch touches are read.
+    """
+    spark = batch.sparkSession
+    name = name or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+    rows = batch.dropDuplicates(UNIQUE_KEY).withColumn("epoch", F.lit(f"{name}-{epoch}")).persist()
+    try:
+        stored = read_table(spark, path)
+        new = rows
+        if stored is not None:
+            days = rows.select("dt").distinct()
+            known = stored.where(F.col("epoch") != f"{name}-{epoch}").join(days, "dt", "left_semi")
+            new = rows.join(known.select(*UNIQUE_KEY), UNIQUE_KEY, "left_anti")
+        write_partitions(settle(new), path, ["dt", "epoch"])
+    finally:
+        rows.unpersist()
+
+
+def start_unique(messages: DataFrame, path: str, checkpoint: str, name: str | None = None) -> StreamingQuery:
+    """Writes the unique observations of all input that is there; late ones go to their day like any others."""
+    rows = normalise_feed(checked_fields(messages)).select(*OBSERVATION_COLUMNS)
     return (
-        unique_messages(messages, delay).select(*OBSERVATION_COLUMNS)
-        .writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint).option("path", path)
+        rows.writeStream.foreachBatch(lambda batch, epoch: write_unique(batch, epoch, path, name))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
 
