@@ -22,13 +22,14 @@ from obslake.operators.skew import BUCKET_DAYS
 from obslake.operators.views import top_locations
 from obslake.operators.windows import series_features
 from obslake.schemas import FEATURE_INPUT, NOT_FEATURES
-from obslake.session import staged
+from obslake.session import settle, staged_for
 from obslake.sources.readers import read_table
 from obslake.sources.sinks import append_rows, write_partitions, write_table
 
 # Search grid, folds and quality goal of the model.
 GRID = {"maxIter": [100, 200], "maxDepth": [4, 6], "stepSize": [0.05, 0.1]}
-FOLDS, SEED, SUBSAMPLE, RMSE_GOAL = 3, 42, 0.9, 2.0
+FOLDS, SEED, SUBSAMPLE, COLUMN_SAMPLE, RMSE_GOAL = 3, 42, 0.9, 0.9, 2.0
+PARALLEL_FITS = 4
 HISTORY_DAYS, SCORING_DAYS, MAX_LOCATIONS = 730, 30, 200
 
 
@@ -143,33 +144,34 @@ def train_model(
         *[F.col(c).cast("double").alias(c) for c in names],
         F.pmod(F.xxhash64("location", "timestamp", "station_id", "source"), F.lit(folds)).cast("int").alias("fold"),
     )
-    rows = staged(numeric, "training")
-
-    filled = [f"{c}_filled" for c in names]
-    trees = GBTRegressor(
-        featuresCol="features", labelCol="target", subsamplingRate=SUBSAMPLE, seed=SEED
-    )
-    prepare = Pipeline(
-        stages=[
-            Imputer(inputCols=names, outputCols=filled, strategy="mean"),
-            VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="keep"),
-        ]
-    ).fit(rows.where("split = 'train'"))
-    builder = ParamGridBuilder()
-    for name, values in (grid or GRID).items():
-        builder = builder.addGrid(trees.getParam(name), values)
-    search = CrossValidator(
-        estimator=trees,
-        estimatorParamMaps=builder.build(),
-        evaluator=RegressionEvaluator(labelCol="target", metricName="rmse"),
-        numFolds=folds,
-        foldCol="fold",
-        seed=SEED,
-    )
-    found = search.fit(prepare.transform(rows.where("split != 'test'")))
-    model = PipelineModel(stages=[*prepare.stages, found.bestModel])
-    best = {name: found.bestModel.getOrDefault(name) for name in (grid or GRID)}
-    return model, ranks, split_scores(model.transform(rows)), best
+    with staged_for(numeric, "training") as rows:
+        filled = [f"{c}_filled" for c in names]
+        trees = GBTRegressor(
+            featuresCol="features", labelCol="target", subsamplingRate=SUBSAMPLE,
+            featureSubsetStrategy=str(COLUMN_SAMPLE), seed=SEED
+        )
+        prepare = Pipeline(
+            stages=[
+                Imputer(inputCols=names, outputCols=filled, strategy="mean"),
+                VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="keep"),
+            ]
+        ).fit(rows.where("split = 'train'"))
+        builder = ParamGridBuilder()
+        for name, values in (grid or GRID).items():
+            builder = builder.addGrid(trees.getParam(name), values)
+        search = CrossValidator(
+            estimator=trees,
+            estimatorParamMaps=builder.build(),
+            evaluator=RegressionEvaluator(labelCol="target", metricName="rmse"),
+            numFolds=folds,
+            foldCol="fold",
+            seed=SEED,
+            parallelism=PARALLEL_FITS,
+        )
+        found = search.fit(prepare.transform(rows.where("split != 'test'")))
+        model = PipelineModel(stages=[*prepare.stages, found.bestModel])
+        best = {name: found.bestModel.getOrDefault(name) for name in (grid or GRID)}
+        return model, ranks, settle(split_scores(model.transform(rows))), best
 
 
 def model_features(model: PipelineModel) -> list[str]:
@@ -220,10 +222,11 @@ def latest_version(spark: SparkSession, base: str) -> int | None:
 
 
 def publish_model(
-    spark: SparkSession, base: str, model: PipelineModel, ranks: DataFrame, metrics: DataFrame
+    spark: SparkSession, base: str, model: PipelineModel, ranks: DataFrame, metrics: DataFrame,
+    version: int | None = None,
 ) -> int:
-    """Saves model, encoders and metrics as the next version; the registry row comes last."""
-    version = (latest_version(spark, base) or 0) + 1
+    """Saves model, encoders and metrics as the next or the given version; the registry row comes last."""
+    version = version or (latest_version(spark, base) or 0) + 1
     home = f"{base}/v{version}"
     model.write().overwrite().save(f"{home}/model")
     write_table(ranks, f"{home}/encoders")

@@ -16,7 +16,7 @@ from obslake.plans import ledger
 from obslake.schemas import (
     ARCHIVE_REQUIRED, FEED_REQUIRED, INDICATORS, OBSERVATION, OBSERVATION_COLUMNS,
 )
-from obslake.session import settle, staged
+from obslake.session import settle, staged_for
 from obslake.sources.readers import read_archives, read_feed
 from obslake.sources.sinks import write_partitions, write_table
 
@@ -162,8 +162,10 @@ def write_silver(
     union = union_all(frames)
     if union is None:
         return None
-    with ledger.journaled(spark, journal_path, "silver") as counters:
-        everything = staged(with_time(union), "unified")
+    with (
+        ledger.journaled(spark, journal_path, "silver") as counters,
+        staged_for(with_time(union), "unified") as everything,
+    ):
         rows = known_stations(everything)
         bounds = [F.year(F.lit(day).cast("date")) for day in (start, end)]
         wanted = rows.select("dt")

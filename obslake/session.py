@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +70,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def staged_for(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A staged table that is removed when the job that reads it is over, failed or not."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
