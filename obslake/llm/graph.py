@@ -5,46 +5,75 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.llm.common import staged
 
-#: rounds with one pivot per bucket before what is left of a bucket is compared pair by pair
-PIVOT_ROUNDS = 3
+#: rounds in which every bucket measures its members against one pivot
+PIVOT_ROUNDS = 2
 
 
 def bucket_links(
-    members: DataFrame, distance: Callable[[DataFrame], DataFrame], radius: float, rounds: int = PIVOT_ROUNDS
+    members: DataFrame,
+    distance: Callable[[DataFrame], DataFrame],
+    radius: float,
+    hints: DataFrame | None = None,
+    possible: Callable[[str, str], Column] | None = None,
 ) -> DataFrame:
     """Links (a, b) that connect exactly the ids that the links of all pairs within a bucket connect.
 
     members: key, id. distance: adds `d`, a metric, to distinct pairs (a, b). A link has d <= radius.
+    possible: from the hints (id and more) of two aliases, false only where no link can be.
 
-    Each round measures every member against its bucket's smallest id only. A member b farther than
-    2 * radius from that pivot cannot be linked to a member a the pivot is linked to, and one at d
-    only to an a with d(a) >= d(b) - radius (triangle inequality). So a bucket goes on without its
-    pivot and without those linked members that no other member can reach through. The few
-    members that are left after the rounds are compared pair by pair.
+    In the first rounds a bucket measures its members against one pivot: its smallest id, then the member
+    nearest to that, which is the middle of a group of copies. By the triangle inequality, a member
+    farther than 2 * radius from the pivot cannot be linked to one that the pivot is linked to, and one at d
+    only to those at d - radius or more; so the pivot and the linked members out of all others' reach are done. The
+    members left may still be linked where their components differ: those outside their bucket's largest component
+    are measured against the bucket's other components, as far as all pivots and the hints allow it.
     """
-    links: list[DataFrame] = []
     live = staged(members.select("key", "id").distinct(), "members")
-    for number in range(rounds + 1):
-        buckets = live.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("pivot")).where("n > 1")
-        if number == rounds:
-            left = live.withColumnRenamed("id", "a").join(live.withColumnRenamed("id", "b"), "key").where("a < b")
-            links.append(distance(left.select("a", "b").distinct()).where(F.col("d") <= radius).select("a", "b"))
-            break
-        dealt = live.join(buckets.select("key", "pivot"), "key").where("id <> pivot")
-        measured = staged(distance(dealt.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()), "measured")
-        links.append(measured.where(F.col("d") <= radius).select("a", "b"))
-        told = dealt.join(measured, (F.col("a") == F.col("pivot")) & (F.col("b") == F.col("id")))
+    links: list[DataFrame] = []
+    seen: list[str] = []
+
+    def measure(pairs: DataFrame) -> DataFrame:
+        ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        found = staged(distance(ordered), "measured")
+        links.append(found.where(F.col("d") <= radius).select("a", "b"))
+        return found
+
+    for number in range(PIVOT_ROUNDS):
+        middle = F.min(F.struct(*seen[-1:], "id"))["id"]
+        pivots = live.groupBy("key").agg(F.count("*").alias("n"), middle.alias("pivot")).where("n > 1")
+        dealt = live.join(pivots.select("key", "pivot"), "key").where("id <> pivot")
+        measured = measure(dealt.select(F.col("pivot").alias("a"), F.col("id").alias("b")))
+        dealt = dealt.withColumns({"a": F.least("id", "pivot"), "b": F.greatest("id", "pivot")})
+        told = dealt.join(measured, ["a", "b"]).select("key", "id", *seen, "d")
         far = F.min(F.when((F.col("d") > radius) & (F.col("d") <= 2 * radius), F.col("d")))
-        nearest_far = told.groupBy("key").agg(far.alias("far"), F.max("d").alias("most")).where(F.col("most") > radius)
-        reach = (F.col("d") > radius) | (F.col("d") >= F.col("far") - radius)
-        live = staged(told.join(nearest_far.select("key", "far"), "key").where(reach).select("key", "id"), "members")
+        reach = told.groupBy("key").agg(far.alias("far"), F.max("d").alias("most")).where(F.col("most") > radius)
+        kept = (F.col("d") > radius) | (F.col("d") >= F.col("far") - radius)
+        seen.append(f"d{number}")
+        live = told.join(reach.select("key", "far"), "key").where(kept).withColumnRenamed("d", seen[-1])
+        live = staged(live.select("key", "id", *seen), "members")
         if live.isEmpty():
-            break
+            return staged(reduce(DataFrame.unionByName, links).distinct(), "links")
+
+    found = components(reduce(DataFrame.unionByName, links))
+    live = live.join(found, live["id"] == found["node"], "left")
+    live = live.select("key", "id", *seen, F.coalesce("class", "id").alias("class"))
+    parts = live.groupBy("key", "class").agg(F.count("*").alias("n"))
+    largest = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "class"))["class"].alias("largest"))
+    live = staged(live.join(largest.where("parts > 1").select("key", "largest"), "key"), "members")
+    if hints is not None:
+        live = live.join(hints, "id")
+    one, other = live.where(F.col("class") != F.col("largest")).alias("x"), live.alias("y")
+    apart = F.expr("x.key = y.key AND x.class <> y.class AND (y.class = y.largest OR x.id < y.id)")
+    for name in seen:
+        apart &= F.abs(F.col(f"x.{name}") - F.col(f"y.{name}")) <= radius
+    if possible is not None:
+        apart &= possible("x", "y")
+    measure(one.join(other, apart).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
     return staged(reduce(DataFrame.unionByName, links).distinct(), "links")
 
 

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.llm.common import int64, mix, sliced, staged, word_hashes
@@ -39,6 +39,10 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: labelled shingles that are hashed at once, which bounds a task's memory whatever a text's length
 BLOCK = 50_000
 
+#: 64-bit words of a text's parities
+PARITIES = 8
+
+_PARITIES = [f"p{i}" for i in range(PARITIES)]
 _DRAWS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * _GOLD)
 _FACTORS, _SHIFTS = _DRAWS[::2, None] | np.uint64(1), _DRAWS[1::2, None]
 
@@ -87,6 +91,16 @@ def bands(shingles: np.ndarray) -> np.ndarray:
     return keys
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """For each of 64 * PARITIES bins whether an odd number of the labelled shingles falls into it.
+
+    Each shingle that only one of two texts has changes one bin, so they differ in as many at least as the bins do.
+    """
+    bins = (shingles >> np.uint64(55)).astype(np.int64) % (64 * PARITIES)
+    odd = np.bincount(bins, minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
     """Aligned similarity of two labelled sequences; below `least` only an upper bound of it.
 
@@ -125,19 +139,24 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, id of the text, its band keys and its words as 32-bit hashes."""
+    """doc_id, id of the text, its band keys, its words as 32-bit hashes, and its shingles' number and parities."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 2_000_000):
-            keys, words = [], []
+            keys, words, sizes, odd = [], [], [], []
             for text in batch.column("text").to_pylist():
                 hashes = word_hashes(text.lower().split()).astype(np.uint32)
-                keys.append(int64(bands(labelled_shingles(hashes.astype(np.uint64)))) if len(hashes) else WORDLESS)
+                shingles = labelled_shingles(hashes.astype(np.uint64))
+                keys.append(int64(bands(shingles)) if len(hashes) else WORDLESS)
+                sizes.append(len(shingles))
+                odd.append(parities(shingles))
                 words.append(hashes.tobytes())
             columns = [batch.column("doc_id"), batch.column("id"), pa.array(keys, pa.list_(pa.int64())), pa.array(words, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "id", "bands", "words"])
+            columns += [pa.array(sizes, pa.int32()), *map(pa.array, np.array(odd).reshape(-1, PARITIES).T)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "id", "bands", "words", "shingles", *_PARITIES])
 
-    return _texts(docs).mapInArrow(sketch, "doc_id long, id long, bands array<long>, words binary")
+    more = ", ".join(f"{name} long" for name in _PARITIES)
+    return _texts(docs).mapInArrow(sketch, f"doc_id long, id long, bands array<long>, words binary, shingles int, {more}")
 
 
 def _measured(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
@@ -170,11 +189,20 @@ def near_links(sketches: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     members = staged(sketches.select("id", F.explode("bands").alias("key")).distinct(), "bands")
     shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     candidates = staged(members.join(shared, "key"), "candidates")
-    texts = sketches.select("id", "words").join(candidates.select("id").distinct(), "id", "left_semi")
+    texts = sketches.select("id", "words", "shingles", *_PARITIES).join(candidates.select("id").distinct(), "id", "left_semi")
     words = staged(texts.dropDuplicates(["id"]), "words")
     # the round-off of a distance must not part a pair at the threshold
     radius = 1 - similar + 1e-9
-    return bucket_links(candidates, lambda pairs: _measured(pairs, words, 1 - 2 * radius), radius)
+
+    def possible(x: str, y: str) -> Column:
+        """At the threshold, texts of n and m shingles differ in at most (n + m) * radius / (2 - radius) of them."""
+        unlike = [F.bit_count(F.col(f"{x}.{name}").bitwiseXOR(F.col(f"{y}.{name}"))) for name in _PARITIES]
+        return sum(unlike[1:], unlike[0]) <= (F.col(f"{x}.shingles") + F.col(f"{y}.shingles")) * (radius / (2 - radius)) + 1e-6
+
+    def distance(pairs: DataFrame) -> DataFrame:
+        return _measured(pairs, words, 1 - 2 * radius)
+
+    return bucket_links(candidates, distance, radius, words.select("id", "shingles", *_PARITIES), possible)
 
 
 def _classes(sketches: DataFrame, similar: float) -> DataFrame:

@@ -107,3 +107,12 @@ def test_one_of_each_class_is_kept(corpus, nothing):
     assert len(rows) == classes.class_id.nunique(dropna=False)
     assert set(rows.doc_id.dropna()) == set(classes.class_id.dropna())
     assert neardup.near_classes(nothing).count() == 0 and neardup.deduplicated(nothing).count() == 0
+
+
+def test_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    for _ in range(100):
+        a = rng.integers(0, 2**63, rng.integers(0, 300)).astype(np.uint64)
+        b = np.concatenate([a[rng.random(len(a)) > 0.2], rng.integers(0, 2**63, rng.integers(0, 40)).astype(np.uint64)])
+        bits = np.unpackbits((neardup.parities(a) ^ neardup.parities(b)).view(np.uint8)).sum()
+        assert bits <= len(set(a.tolist()) ^ set(b.tolist()))
