@@ -32,6 +32,8 @@ from obslake.llm.common import documents, sliced
 #: the learning sample's bounds: texts per language, characters of each, distinct letters
 DOCUMENTS, CHARS_EACH, ALPHABET = 64, 400, 255
 LANE = 2048
+#: characters that a task walks at once
+CHARS = 3_000_000
 UNKNOWN = "und"
 SEPARATOR, OTHER = 0, 1
 
@@ -190,7 +192,7 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
+        for batch in sliced(batches, CHARS):
             found, score, rate = shared.value.predict([text or "" for text in batch.column("text").to_pylist()])
             columns = [batch.column("doc_id"), pa.array(found, pa.string()), pa.array(score), pa.array(rate)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "bits"])
@@ -217,7 +219,7 @@ def known_language(docs: DataFrame, most_bits: float = MOST_BITS) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
+        for batch in sliced(batches, CHARS):
             found, _, rate = shared.value.predict([text or "" for text in batch.column("text").to_pylist()])
             yield batch.filter(pa.array((np.array(found, object) != UNKNOWN) & (rate <= most_bits), pa.bool_()))
 
