@@ -10,12 +10,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.session import settle, staged
+from obslake.session import staged
 
-__all__ = ["Cache", "SPACES", "documents", "int64", "mix", "read", "settle", "sliced", "staged", "taken", "word_hashes"]
-
-#: bytes that separate words where a contract spells out its white space
-SPACES = b" \t\n\x0b\x0c\r"
+__all__ = ["Cache", "documents", "int64", "mix", "read", "sliced", "staged", "word_hashes"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -27,11 +24,6 @@ def documents(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
-def taken(column: pa.Array | pa.ChunkedArray, at: np.ndarray) -> pa.Array:
-    """Rows `at` of an Arrow column."""
-    return column.take(pa.array(at, pa.int64()))
-
-
 def int64(values: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit hashes as the signed numbers of a Spark long."""
     return values.view(np.int64)
