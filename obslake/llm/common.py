@@ -6,13 +6,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake.session import staged
 
-__all__ = ["Cache", "documents", "int64", "mix", "read", "sliced", "staged", "word_hashes"]
+__all__ = ["Cache", "documents", "int64", "mix", "portions", "read", "sliced", "staged", "word_hashes"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -68,3 +69,15 @@ def sliced(batches: Iterator[pa.RecordBatch], chars: int = 8_000_000, column: st
             end = max(start + 1, int(np.searchsorted(sizes, sizes[start] + chars, "right")) - 1)
             yield batch.slice(start, end - start)
             start = end
+
+
+def portions(batches: Iterator[pa.RecordBatch], size: int = 8_000_000, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `size` bytes of a text column, at least one row each, without decoding them."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        start = 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(sizes, sizes[start] + size, "right")) - 1)
+            yield batch.slice(start, end - start)
+            start = end

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from obslake.llm import chat, html, language, lm, neardup, packing, pieces, quality, search, simhash
+from obslake.llm import chat, html, language, lm, neardup, packing, pieces, quality, resample, search, simhash
 from obslake.llm.common import read
 
 
@@ -53,6 +53,10 @@ def op10_co_training_quality(spark, sf_dir):
     return quality.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_segment_resampling(spark, sf_dir):
+    return resample.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_cross_parsing_language": op1_cross_parsing_language,
     "op2_pivot_distance_search": op2_pivot_distance_search,
@@ -64,7 +68,25 @@ QUERIES = {
     "op8_host_suffix_array_text": op8_host_suffix_array_text,
     "op9_order_minhash_near_duplicates": op9_order_minhash_near_duplicates,
     "op10_co_training_quality": op10_co_training_quality,
+    "op11_segment_resampling": op11_segment_resampling,
 }
+
+#: a part of a WITH clause: the 256 codes of CRC-32
+_CODES = """
+        codes AS (
+            SELECT list(code ORDER BY n) AS codes FROM (
+                SELECT n, list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) AS code
+                FROM (SELECT unnest(range(256)) AS n)
+            )
+        )"""
+
+
+def _crc32(text: str) -> str:
+    """SQL for the CRC-32 of a text's UTF-8 bytes where `codes` is in scope."""
+    numbers = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda d: CAST('0x' || d AS BIGINT))"
+    return f"xor(4294967295, list_reduce({numbers}, lambda c, b: xor(c >> 8, codes[xor(c & 255, b) + 1]), 4294967295))"
+
+
 SQL: dict[str, str] = {
     "op2_pivot_distance_search": """
         WITH v AS (
@@ -117,4 +139,39 @@ SQL: dict[str, str] = {
                 FILTER (side = 1 AND place > prompt_turns AND role = 'assistant'), '') AS rejected_spans
         FROM placed JOIN compared USING (pair_id) GROUP BY pair_id
     """,
+    "op11_segment_resampling": f"""
+        WITH {_CODES}, texts AS (
+            SELECT 0 AS side, row_number() OVER () AS row, doc_id, text FROM documents
+            UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark
+        ), words AS (
+            SELECT side, row, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+            FROM texts
+        ), features AS (
+            SELECT side, row, unnest(words || list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS feature
+            FROM words
+        ), hashed AS (
+            SELECT feature, {_crc32("feature")} % 10000 AS bucket FROM (SELECT DISTINCT feature FROM features), codes
+        ), counted AS (
+            SELECT bucket, CAST(count(*) FILTER (side = 0) AS DOUBLE) AS s, CAST(count(*) FILTER (side = 1) AS DOUBLE) AS t
+            FROM features JOIN hashed USING (feature) GROUP BY bucket
+        ), totals AS (
+            SELECT sum(s) AS corpus, sum(t) AS target FROM counted
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln((t + 1) * (corpus + 10000) / ((s + 1) * (target + 10000)))) AS gain FROM counted, totals
+        ), weights AS (
+            SELECT row, count(*) AS n_features, floor(sum(gain) / count(*)) AS weight
+            FROM features JOIN hashed USING (feature) JOIN gains USING (bucket) WHERE side = 0 GROUP BY row
+        ), scored AS (
+            SELECT row, doc_id, len(words) >= 20 AND doc_id IS NOT NULL AS may,
+                coalesce(n_features, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+                CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                    / 4294967296))) AS BIGINT) AS score
+            FROM words LEFT JOIN weights USING (row) WHERE side = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY may ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY may) AS n FROM scored
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN may AND place <= 25 * n // 100 THEN place END AS rank FROM ranked
+    """,
 }

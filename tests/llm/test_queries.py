@@ -1,17 +1,15 @@
-import duckdb
+from types import SimpleNamespace
+
 import pytest
 
 from obslake.llm import queries
+from tests.oracle import compare, connect
 
 DATA = "/root/testdata/sf0.01"
-TABLES = {"op2_pivot_distance_search": "embeddings", "op6_preference_formatting": "conversations"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_equals_its_sql(spark, name):
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW {TABLES[name]} AS SELECT * FROM '{DATA}/{TABLES[name]}.parquet'")
-    expected = con.execute(queries.SQL[name]).fetchdf()
-    found = queries.QUERIES[name](spark, DATA).toPandas()[list(expected.columns)]
-    order = list(expected.columns[:2])
-    assert found.sort_values(order).reset_index(drop=True).astype(str).equals(expected.sort_values(order).reset_index(drop=True).astype(str))
+    query = SimpleNamespace(run=queries.QUERIES[name], sql=queries.SQL[name])
+    verdict, _, _ = compare(spark, connect(DATA), query, DATA)
+    assert verdict.startswith("ok"), verdict
