@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from obslake.llm import chat, html, language, lm, neardup, packing, pieces, quality, resample, search, simhash
+from obslake.llm import chat, html, language, lm, neardup, packing, pieces, quality, resample, search, simhash, tokenfile, trie
 from obslake.llm.common import read
 
 
@@ -57,6 +57,14 @@ def op11_segment_resampling(spark, sf_dir):
     return resample.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_arrow_token_files(spark, sf_dir):
+    return tokenfile.placed(read(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark, sf_dir):
+    return trie.prefix_trie(read(spark, sf_dir, "conversations"), block=trie.BLOCK)
+
+
 QUERIES = {
     "op1_cross_parsing_language": op1_cross_parsing_language,
     "op2_pivot_distance_search": op2_pivot_distance_search,
@@ -69,6 +77,8 @@ QUERIES = {
     "op9_order_minhash_near_duplicates": op9_order_minhash_near_duplicates,
     "op10_co_training_quality": op10_co_training_quality,
     "op11_segment_resampling": op11_segment_resampling,
+    "op12_arrow_token_files": op12_arrow_token_files,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 #: a part of a WITH clause: the 256 codes of CRC-32
@@ -174,4 +184,38 @@ SQL: dict[str, str] = {
         )
         SELECT doc_id, n_features, weight, score, CASE WHEN may AND place <= 25 * n // 100 THEN place END AS rank FROM ranked
     """,
+    "op13_conversation_trie": f"""
+        WITH {_CODES}, digests AS (
+            SELECT conv_id, turn, coalesce(text, '') AS text,
+                sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), turns AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place FROM digests
+        ), convs AS (
+            SELECT c, c - c % 5 AS base, {_crc32("CAST(c AS VARCHAR)")} % 9 AS h FROM (SELECT DISTINCT conv_id AS c FROM digests), codes
+        ), rebuilt AS (
+            SELECT c, 0 AS part, place, digest, text FROM convs JOIN turns ON conv_id = base WHERE c <> base AND place <= h
+            UNION ALL
+            SELECT c, 1, place, digest, text FROM convs JOIN turns ON conv_id = c WHERE c = base OR place > h
+        ), paths AS (
+            SELECT c, coalesce(list(digest ORDER BY part, place) FILTER (digest IS NOT NULL), []) AS path,
+                coalesce(list(octet_length(encode(text)) ORDER BY part, place) FILTER (digest IS NOT NULL), []) AS sizes
+            FROM convs LEFT JOIN rebuilt USING (c) GROUP BY c
+        ), prefixes AS (
+            SELECT c, unnest(range(0, len(path) + 1)) AS depth, path, sizes FROM paths
+        ), nodes AS (
+            SELECT path[1:depth] AS node, CAST(depth AS BIGINT) AS depth, min(c) AS conv_id, count(*) AS n_convs,
+                (count(*) - 1) * coalesce(any_value(sizes[depth]), 0) AS saved,
+                sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(path) = depth), '')) AS ends_sha256
+            FROM prefixes GROUP BY node, prefixes.depth
+        ), parents AS (
+            SELECT a.*, b.conv_id AS parent_conv_id FROM nodes a LEFT JOIN nodes b ON a.depth = b.depth + 1 AND a.node[1:b.depth] = b.node
+        ), counted AS (
+            SELECT a.*, (SELECT count(*) FROM nodes b WHERE b.depth = a.depth + 1 AND b.node[1:a.depth] = a.node) AS n_children FROM parents a
+        )
+        SELECT a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children,
+            CAST(count(*) FILTER (b.n_children = 0) AS BIGINT) AS n_leaves, CAST(sum(b.saved) AS BIGINT) AS saved_tokens, a.ends_sha256
+        FROM counted a JOIN counted b ON b.depth >= a.depth AND b.node[1:a.depth] = a.node
+        GROUP BY a.node, a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children, a.ends_sha256
+    """,
 }
