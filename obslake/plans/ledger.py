@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from obslake.schemas import JOURNAL, LEDGER
 from obslake.session import settle
+from obslake.sources import versions
 from obslake.sources.readers import read_table
 from obslake.sources.sinks import append_rows
 
@@ -109,6 +110,11 @@ def compacted(ledger: DataFrame) -> DataFrame:
     return _newest(ledger).select(*LEDGER.fieldNames())
 
 
+def compact(spark: SparkSession, path: str, most: int = 1) -> int:
+    """Rewrites a versioned ledger of more than ``most`` commits as its state; returns the commits replaced."""
+    return versions.compact(spark, path, most=most, transform=compacted)
+
+
 def is_done(ledger: DataFrame, stage: str, key: str) -> bool:
     return not done_keys(ledger, stage).where(F.col("key") == key).isEmpty()
 

@@ -21,11 +21,16 @@ from obslake.sources.readers import read_archives, read_feed
 from obslake.sources.sinks import write_partitions, write_table
 
 
+#: the file that a row was read from, where it is asked for
+FILE = "file"
+
+
 def unify(df: DataFrame, columns: dict) -> DataFrame:
-    """The observation columns in their order and types; those not given are NULL."""
+    """The observation columns in their order and types; those not given are NULL. A row's file stays with it."""
     kinds = {f.name: f.dataType for f in OBSERVATION.fields}
     return df.select(
-        *[columns.get(name, F.lit(None)).cast(kinds[name]).alias(name) for name in OBSERVATION_COLUMNS]
+        *[columns.get(name, F.lit(None)).cast(kinds[name]).alias(name) for name in OBSERVATION_COLUMNS],
+        *[name for name in (FILE,) if name in df.columns],
     )
 
 
@@ -48,6 +53,7 @@ def normalise_archive(raw: DataFrame) -> DataFrame:
         "NOM_USUEL",
         parse_date(F.col("AAAAMMJJ")).alias("day"),
         *[parse_number(col).alias(name) for name, col in numbers.items()],
+        *[name for name in (FILE,) if name in raw.columns],
     )
     measured = [n for n in numbers if n not in ("mean", "low", "high")]
     return unify(

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from obslake.functions.text import parse_date
 from obslake.operators.filters import date_range, present
 from obslake.schemas import FEED_MESSAGE
+from obslake.sources import versions
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -35,6 +36,18 @@ def read_archives(spark: SparkSession, path: str, spread: bool = True) -> DataFr
     return rows.hint("rebalance") if spread else rows
 
 
+def read_archive_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The named archives and no others; each row with its ``file``."""
+    rows = spark.read.option("header", True).option("sep", ";").option("inferSchema", False).csv(paths)
+    return rows.select("*", F.col("_metadata.file_path").alias("file")).hint("rebalance")
+
+
+def read_feed_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The messages of the named feed files and no others; each with its ``file``."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+    return lines.select(F.from_json("value", FEED_MESSAGE).alias("m"), "file").select("m.*", "file")
+
+
 def archive_changes(spark: SparkSession, path: str) -> DataFrame | None:
     """When the archive files of each year last changed: ``key`` (the year), ``changed_at``."""
     raw = read_archives(spark, path, spread=False)
@@ -67,7 +80,13 @@ def read_feed(spark: SparkSession, path: str, complete: DataFrame | None = None)
 def read_table(
     spark: SparkSession, path: str, columns: list[str] | None = None
 ) -> DataFrame | None:
-    """A Parquet table with its partition columns; None if absent or still empty."""
+    """A Parquet table with its partition columns; None if absent or still empty.
+
+    Below a root with pointers, the live folders of the table.
+    """
+    if versions.is_versioned(spark, path):
+        table = versions.read_version(spark, path)
+        return table if table is None or columns is None else present(table, columns)
     if not path_exists(spark, path):
         return None
     try:

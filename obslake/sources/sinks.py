@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obslake.sources import versions
 from obslake.sources.readers import path_exists, read_table
 from obslake.sources.storage import storage_size
 
@@ -45,6 +46,12 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def append_rows(df: DataFrame, path: str) -> None:
+    """Adds rows to a table; below a root with pointers, as one commit."""
+    if versions.is_versioned(df.sparkSession, path):
+        root, table = versions.split(path)
+        with versions.Change(df.sparkSession, root) as change:
+            change.append(table, df)
+        return
     df.write.mode("append").option("compression", "zstd").parquet(path)
 
 

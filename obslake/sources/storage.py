@@ -21,6 +21,14 @@ def files(spark: SparkSession, path: str) -> DataFrame:
     return listed.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
+def file_states(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """``file`` (as rows name it), ``path``, ``length`` and ``modified`` of every data file; contents unread."""
+    if not path or not path_exists(spark, path):
+        return None
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return listed.select(F.col("_metadata.file_path").alias("file"), "path", "length", F.col("modificationTime").alias("modified"))
+
+
 def storage_size(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Bytes per existing path; an absent path has no row."""
     found = [p for p in paths if path_exists(spark, p)]
