@@ -34,6 +34,8 @@ def test_encoder_equals_the_tokenizer(tokenizer):
     signs = ["the", "Él", "ÀB", "é", "́", "İ", "ß", "ﬁ", "Σς", "한", "一", "🙂", "'s", "'", "n't", "12", "٣", ",", ".", "!?", " ", " ", "  ", "\n", "\t", "\r\n",
              " ", " ", "\x1c", "\x85", "\x00", "‍", "<|endoftext|>", "<|startoftext|>", "<|", "#", "ǅ", "Ⅷ", "ª"]
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(3000)] + ["", "long " * 5000, "x" * 3000]
+    parts = ["er", "ing", "th", "é", "ü", "qu", "x", "ß", "ŋ", "hy", "po", "Ž", "zz", "tion", "A", "ʼ", "b", "c", "ñ", "ö", "å"]
+    texts += [" ".join("".join(rng.choices(parts, k=rng.randint(1, 9))) + rng.choice(["", ",", "!"]) for _ in range(2000)) for _ in range(20)]
     found = tokenfile.Encoder(tokenfile.tokenizer_path(), 500)
     for at in range(0, len(texts), 100):
         for text, code in zip(texts[at : at + 100], found.encode(texts[at : at + 100], 2), strict=True):
