@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from obslake.operators.skew import BUCKET_DAYS, over_key
+from obslake.operators.skew import over_key
 
 
 def full_frame(aggregate: Column, value: str, window: WindowSpec, size: int) -> Column:
@@ -25,10 +25,10 @@ def _trailing(rows: DataFrame, window: WindowSpec) -> DataFrame:
 
 
 def trailing_indicators(
-    rows: DataFrame, ties: list[str] | None = None, days: float = BUCKET_DAYS
+    rows: DataFrame, ties: list[str] | None = None, days: float | None = None, sample: DataFrame | None = None
 ) -> DataFrame:
     """Means of the last 3 and 7 rows of a station, deviation of 7, and the anomaly."""
-    return over_key(rows, "station_id", "timestamp", ties or [], _trailing, before=6, days=days)
+    return over_key(rows, "station_id", "timestamp", ties or [], _trailing, before=6, days=days, sample=sample)
 
 
 def trailing_days(rows: DataFrame) -> DataFrame:
@@ -70,7 +70,7 @@ def series_features(
     key: str = "location",
     ties: list[str] | None = None,
     centered: bool = False,
-    days: float = BUCKET_DAYS,
+    days: float | None = None,
 ) -> DataFrame:
     """Lags, rolling values and the next value of each series.
 

@@ -18,7 +18,6 @@ from obslake.functions.weather import absolute_error, confidence
 from obslake.operators.aggregates import split_scores
 from obslake.operators.filters import last_days, missing_columns, require_columns
 from obslake.operators.joins import counted, dense_index, encode, label_index, semi
-from obslake.operators.skew import BUCKET_DAYS
 from obslake.operators.views import top_locations
 from obslake.operators.windows import series_features
 from obslake.schemas import FEATURE_INPUT, NOT_FEATURES
@@ -44,7 +43,7 @@ def build_features(
     drop_missing_target: bool = True,
     centered: bool = False,
     key: str = "location",
-    days: float = BUCKET_DAYS,
+    days: float | None = None,
 ) -> DataFrame:
     """The feature table.
 

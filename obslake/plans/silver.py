@@ -10,7 +10,6 @@ from obslake.functions.weather import mean_temperature
 from obslake.operators.dedup import dedup_observations, known_stations, unknown_stations
 from obslake.operators.filters import date_range, optional, partitions, require_columns, with_time
 from obslake.operators.joins import union_all
-from obslake.operators.skew import BUCKET_DAYS
 from obslake.operators.windows import trailing_indicators
 from obslake.plans import ledger
 from obslake.schemas import (
@@ -99,7 +98,7 @@ def build_silver(
     frames: list[DataFrame | None],
     start: str | None = None,
     end: str | None = None,
-    days: float = BUCKET_DAYS,
+    days: float | None = None,
 ) -> DataFrame | None:
     """Unified frames to deduplicated observations with indicators.
 
@@ -110,7 +109,7 @@ def build_silver(
     if union is None:
         return None
     rows = known_stations(with_time(union))
-    return date_range(trailing_indicators(dedup_observations(rows), days=days), start, end)
+    return date_range(trailing_indicators(dedup_observations(rows), days=days, sample=rows), start, end)
 
 
 def read_inputs(

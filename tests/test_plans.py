@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from obslake.operators import aggregates, dedup, filters
+from obslake.operators import aggregates, dedup, filters, windows
 from obslake.plans import silver
 from obslake.registry import QUERIES
 from obslake.registry.adapters import ev, feed, raw
@@ -37,6 +37,15 @@ def test_silver_is_one_plan_whatever_the_stations(spark):
     assert sum("_bucket" in keys for keys in keyed) >= 2 and sum("timestamp" in keys for keys in keyed) >= 1
 
 
+def test_windows_take_one_exchange_of_all_rows(spark):
+    """Rows are spread once; the guests of other ranges are dealt alike, so the union of both is not shuffled again."""
+    text = plan(windows.series_features(ev(spark, SF), "station_id", ["source"]))
+    tree = text.split("\n\n")[0]
+    above = tree[: tree.index("Union")]
+    assert "Exchange" not in above and "Window" in above
+    assert "percentile_approx" in text  # ranges are bounded by rows
+
+
 def test_copies_are_removed_before_the_shuffle(spark):
     text = plan(dedup.dedup_observations(ev(spark, SF)))
     assert "WindowGroupLimit" in text and "Partial" in text

@@ -103,6 +103,20 @@ def test_one_station_spans_several_tasks(spark, year):
         spark.conf.set(merge, before)
 
 
+def test_a_dense_day_of_one_key_spans_many_ranges(spark):
+    """Ranges are bounded by rows: a third of all rows in one hour of one key, the rest in quiet series of years."""
+    from obslake.operators.skew import with_row_ranges
+
+    hot = spark.range(10_000).selectExpr("'hot' AS k", "timestamp_micros(1735689600000000 + id * 360000) AS ts")
+    quiet = spark.range(20_000).selectExpr("concat('k', id % 50) AS k", "timestamp_micros(id * 60000000000) AS ts")
+    rows = hot.unionAll(quiet).cache()
+    found = with_row_ranges(rows, "k", "ts", parts=60).withColumnRenamed("_bucket", "r").groupBy("k", "r").count().collect()
+    assert max(r["count"] for r in found) <= 2 * 30_000 / 60
+    assert sum(r["k"] == "hot" for r in found) >= 18
+    assert sum(r["k"] != "hot" for r in found) <= 50 + 2 * 60  # quiet keys are hardly cut
+    assert {r["r"] for r in found} <= set(range(60))
+
+
 def test_dedup_prefers_full_rows(spark):
     at = dt.datetime(2025, 1, 1)
     rows = [("A", at, None, 1.0), ("A", at, 5.0, 1.0), ("B", at, 2.0, None), ("C", at, 1.0, 1.0), ("C", at, 0.0, 1.0)]
@@ -116,9 +130,9 @@ def brute_windows(values, key, before, after):
     return [values[max(0, i - before): i + after + 1] for i in range(len(values))]
 
 
-@pytest.mark.parametrize("days", [0.001, 0.5, 30])
-def test_bucketed_windows_match_brute_force(spark, days):
-    """Random gaps, ties in time and NULL keys; frames reach over several buckets."""
+@pytest.mark.parametrize("cut", [{"days": 0.001}, {"days": 30}, {"parts": 2}, {"parts": 7}, {"parts": 400}, {}])
+def test_cut_windows_match_brute_force(spark, cut):
+    """Random gaps, ties in time, NULL keys and times; frames reach over several ranges."""
     from obslake.operators.skew import over_key
 
     rng = random.Random(7)
@@ -127,7 +141,8 @@ def test_bucketed_windows_match_brute_force(spark, days):
         at = 0
         for i in range(size):
             at += rng.choice([0, 1, 1, 2, 50, 100000])
-            rows.append((key, dt.datetime(2025, 1, 1) + dt.timedelta(seconds=at), i, float(rng.randint(0, 99))))
+            time = dt.datetime(2025, 1, 1) + dt.timedelta(seconds=at)
+            rows.append((key, None if key == "warm" and i < 20 else time, i, float(rng.randint(0, 99))))
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "k string, ts timestamp, i int, v double")
 
@@ -140,7 +155,7 @@ def test_bucketed_windows_match_brute_force(spark, days):
             }
         )
 
-    out = over_key(df, "k", "ts", ["i"], build, before=7, after=3, days=days)
+    out = over_key(df, "k", "ts", ["i"], build, before=7, after=3, **cut)
     got = {(r["k"], r["i"]): (r["seen"], r["lag7"], r["lead3"]) for r in out.collect()}
     assert len(got) == len(rows) == out.count()
     for key in ("hot", "warm", None, "cold"):
