@@ -37,52 +37,74 @@ def slope_from_sums(n: Column, sx: Column, sy: Column, sxy: Column, sxx: Column)
     return F.when(spread != 0, F.try_divide(n * sxy - sx * sy, spread)).otherwise(0.0)
 
 
-def weekly_trends(daily: DataFrame, week_year: str = "calendar", slope: str = "rows") -> DataFrame:
-    """Weekly figures with the slope of the daily mean and the change to the week before.
+def week_states(daily: DataFrame, week_year: str = "calendar", *more: str) -> DataFrame:
+    """Sums from which the weekly figures follow, per week, city and source (and further columns).
 
-    ``week_year``: ``calendar`` pairs the ISO week with the calendar year, as
-    the tables in use do; ``iso`` uses the year the week belongs to.
-    ``slope``: ``rows`` counts every day in n and x, ``pairs`` only days with a
-    mean. Both take one aggregation and one shuffle: x is the day number within
-    the year, and the sums are then moved to the first day of the week. Distinct
-    days are bits: a group holds days of one ISO week at either end of a year,
-    so weekday and half-year tell them apart.
+    States of one week add up (see ``merged_weeks``), whatever rows each was made of. x is the day number within the
+    year. Distinct days are bits: a group holds days of one ISO week at either end of a year, so weekday and
+    half-year tell them apart.
     """
     year = F.year("dt") if week_year == "calendar" else iso_year(F.col("dt"))
     keyed = daily.withColumns({"year": year, "week": F.weekofyear("dt")}).withColumn(
         "_d", F.datediff("dt", F.make_date("year", F.lit(1), F.lit(1))).cast("long")
     )
     d, y = F.col("_d"), F.col("temp_avg")
+    paired = F.when(y.isNotNull(), d)
     late = F.when(F.month("dt") > 6, 7).otherwise(0)
     day_bit = F.call_function("shiftleft", F.lit(1), F.weekday("dt") + late)
-    weekly = keyed.groupBy("year", "week", *SERIES_KEY).agg(
-        F.avg(y).alias("temp_avg"),
+    return keyed.groupBy("year", "week", *SERIES_KEY, *more).agg(
         F.min("temp_min").alias("temp_min"),
         F.max("temp_max").alias("temp_max"),
         F.sum("precip_sum").alias("precip_sum"),
-        F.coalesce(F.bit_count(F.bit_or(day_bit)), F.lit(0)).cast("long").alias("n_days"),
-        F.count("dt").alias("_n"),
-        F.min(d).alias("_d0"),
-        F.sum(d).alias("_sd"),
-        F.sum(d * d).alias("_sdd"),
-        F.sum(y).alias("_sy"),
-        F.sum(d * y).alias("_sdy"),
-        F.regr_slope(y, d).alias("_pairs"),
-    )
-    n, d0, sd, sy = (F.col(c) for c in ("_n", "_d0", "_sd", "_sy"))
-    by_rows = slope_from_sums(
-        n, sd - n * d0, sy, F.col("_sdy") - d0 * sy, F.col("_sdd") - 2 * d0 * sd + n * d0 * d0
+        F.bit_or(day_bit).alias("days"),
+        F.count("dt").alias("n"),
+        F.min(d).alias("d0"),
+        F.sum(d).alias("sd"),
+        F.sum(d * d).alias("sdd"),
+        F.sum(y).alias("sy"),
+        F.sum(d * y).alias("sdy"),
+        F.count(y).alias("n_pairs"),
+        F.sum(paired).alias("sd_pairs"),
+        F.sum(paired * paired).alias("sdd_pairs"),
     )
+
+
+#: how each sum of a week's states merges with another one's
+_MERGES = {"temp_min": F.min, "temp_max": F.max, "days": F.bit_or, "d0": F.min}
+
+
+def merged_weeks(states: DataFrame) -> DataFrame:
+    """One state per week, city and source."""
+    sums = ["temp_min", "temp_max", "precip_sum", "days", "n", "d0", "sd", "sdd", "sy", "sdy", "n_pairs", "sd_pairs", "sdd_pairs"]
+    return states.groupBy("year", "week", *SERIES_KEY).agg(*[_MERGES.get(name, F.sum)(name).alias(name) for name in sums])
+
+
+def week_figures(states: DataFrame, slope: str = "rows") -> DataFrame:
+    """The weekly figures of states, one each; sums are moved to the first day of the week."""
+    n, d0, sd, sy = (F.col(c) for c in ("n", "d0", "sd", "sy"))
+    by_rows = slope_from_sums(n, sd - n * d0, sy, F.col("sdy") - d0 * sy, F.col("sdd") - 2 * d0 * sd + n * d0 * d0)
+    by_pairs = slope_from_sums(F.col("n_pairs"), F.col("sd_pairs"), sy, F.col("sdy"), F.col("sdd_pairs"))
     known = F.col("week").isNotNull() & F.col("city").isNotNull() & F.col("source").isNotNull()
-    trend = by_rows if slope == "rows" else F.coalesce("_pairs", F.lit(0.0))
-    return previous_change(
-        weekly.withColumn("trend_slope", F.when(known, trend).otherwise(0.0))
-    ).select(
-        "year", "week", *SERIES_KEY, "temp_avg", "temp_min", "temp_max", "precip_sum", "n_days",
-        "trend_slope", "temp_vs_prev_week",
+    trend = by_rows if slope == "rows" else F.coalesce(by_pairs, F.lit(0.0))
+    return states.select(
+        "year", "week", *SERIES_KEY,
+        F.try_divide("sy", "n_pairs").alias("temp_avg"), "temp_min", "temp_max", "precip_sum",
+        F.coalesce(F.bit_count("days"), F.lit(0)).cast("long").alias("n_days"),
+        F.when(known, trend).otherwise(0.0).alias("trend_slope"),
     )
 
 
+def weekly_trends(daily: DataFrame, week_year: str = "calendar", slope: str = "rows") -> DataFrame:
+    """Weekly figures with the slope of the daily mean and the change to the week before.
+
+    ``week_year``: ``calendar`` pairs the ISO week with the calendar year, as
+    the tables in use do; ``iso`` uses the year the week belongs to.
+    ``slope``: ``rows`` counts every day in n and x, ``pairs`` only days with a
+    mean. Both take one aggregation and one shuffle.
+    """
+    return previous_change(week_figures(week_states(daily, week_year), slope))
+
+
 def previous_change(weekly: DataFrame) -> DataFrame:
     """Change of the mean against the previous week that has data.
 
@@ -92,57 +114,60 @@ def previous_change(weekly: DataFrame) -> DataFrame:
     return weekly.withColumn("temp_vs_prev_week", F.col("temp_avg") - F.lag("temp_avg").over(weeks))
 
 
-def climate_profile(daily: DataFrame, clamp: bool = False) -> DataFrame:
-    """Monthly normals per city over all years.
+_MEANS = ("temp_normal", "temp_amplitude_avg", "precip_avg", "wind_avg")
+
+
+def month_states(daily: DataFrame, *more: str) -> DataFrame:
+    """Sums from which the monthly normals follow, per city and month (and further columns that a day decides).
 
     A first grouping by day folds the sources of a day, so distinct days are
-    plain rows afterwards. ``clamp`` keeps the rain ratio within [0, 1].
+    plain rows afterwards; states that share no day add up.
     """
     amplitude = F.col("temp_max") - F.col("temp_min")
-    means = {
-        "temp_normal": F.col("temp_avg"),
-        "temp_amplitude_avg": amplitude,
-        "precip_avg": F.col("precip_sum"),
-        "wind_avg": F.col("wind_avg"),
-    }
-    per_day = daily.groupBy("city", F.month("dt").alias("month"), "dt").agg(
+    means = dict(zip(_MEANS, (F.col("temp_avg"), amplitude, F.col("precip_sum"), F.col("wind_avg")), strict=True))
+    per_day = daily.groupBy("city", F.month("dt").alias("month"), "dt", *more).agg(
         F.min("temp_min").alias("low"),
         F.max("temp_max").alias("high"),
         F.count_if(F.col("precip_sum") > RAIN_DAY_MM).alias("wet"),
         *[F.sum(col).alias(f"s_{name}") for name, col in means.items()],
         *[F.count(col).alias(f"n_{name}") for name, col in means.items()],
     )
+    return per_day.groupBy("city", "month", *more).agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("wet").alias("wet"),
+        *[F.sum(f"{kind}_{name}").alias(f"{kind}_{name}") for kind in "sn" for name in means],
+        F.count("dt").alias("n_days"), F.countDistinct(F.year("dt")).alias("n_years"),
+    )
+
+
+def merged_months(states: DataFrame) -> DataFrame:
+    """One state per city and month, of states that share no year."""
+    sums = ["wet", *[f"{kind}_{name}" for kind in "sn" for name in _MEANS], "n_days", "n_years"]
+    return states.groupBy("city", "month").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), *[F.sum(name).alias(name) for name in sums]
+    )
 
-    def mean(name: str) -> Column:
-        return F.try_divide(F.sum(f"s_{name}"), F.sum(f"n_{name}")).alias(name)
 
+def month_figures(states: DataFrame, clamp: bool = False) -> DataFrame:
+    """The monthly normals of states, one each. ``clamp`` keeps the rain ratio within [0, 1]."""
     ratio = (
-        rain_day_ratio(F.col("rain_days"), F.col("n_days"))
+        rain_day_ratio(F.col("wet"), F.col("n_days"))
         if clamp
-        else F.coalesce(F.round(F.try_divide("rain_days", "n_days"), 3), F.lit(0.0))
+        else F.coalesce(F.round(F.try_divide("wet", "n_days"), 3), F.lit(0.0))
     )
-    return (
-        per_day.groupBy("city", "month")
-        .agg(
-            mean("temp_normal"),
-            F.min("low").alias("temp_min_record"),
-            F.max("high").alias("temp_max_record"),
-            mean("temp_amplitude_avg"),
-            mean("precip_avg"),
-            F.sum("wet").alias("rain_days"),
-            mean("wind_avg"),
-            F.count("dt").alias("n_days"),
-            F.countDistinct(F.year("dt")).alias("n_years"),
-        )
-        .withColumns({"season": season_of_month(F.col("month")), "rain_day_ratio": ratio})
-        .select(
-            "city", "month", "season", "temp_normal", "temp_min_record", "temp_max_record",
-            "temp_amplitude_avg", "precip_avg", "rain_days", "rain_day_ratio", "wind_avg",
-            "n_days", "n_years",
-        )
+    mean = {name: F.try_divide(f"s_{name}", f"n_{name}").alias(name) for name in _MEANS}
+    return states.select(
+        "city", "month", season_of_month(F.col("month")).alias("season"), mean["temp_normal"],
+        F.col("low").alias("temp_min_record"), F.col("high").alias("temp_max_record"),
+        mean["temp_amplitude_avg"], mean["precip_avg"], F.col("wet").alias("rain_days"),
+        ratio.alias("rain_day_ratio"), mean["wind_avg"], "n_days", "n_years",
     )
 
 
+def climate_profile(daily: DataFrame, clamp: bool = False) -> DataFrame:
+    """Monthly normals per city over all years."""
+    return month_figures(month_states(daily), clamp)
+
+
 def extreme_event_rows(daily: DataFrame, limits: dict[str, float]) -> DataFrame:
     """One row per event found in the daily figures; no shuffle."""
     found = daily.select("dt", *SERIES_KEY, extreme_events(limits).alias("found"))

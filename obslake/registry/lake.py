@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from obslake.plans import increment, ledger
-from obslake.registry.adapters import ctes, feed_json, raw
+from obslake.plans import gold, gold_increment, increment, ledger
+from obslake.registry.adapters import EVENT_LIMITS, ctes, ev, feed_json, li, raw
 from obslake.registry.base import query
+from obslake.registry.derived import CLIMATE, CLIMATE_SHAPE, DAILY_SHAPE, EVENT_SHAPE, PREVIOUS, RATIO, WEEKLY, WEEKLY_SHAPE
 from obslake.registry.observations import UNIFIED
 from obslake.session import scratch_path
 from obslake.sources import readers, versions
@@ -93,3 +94,47 @@ def commits(spark, sf):
     ledger.compact(spark, book)
     after = ledger.read_ledger(spark, book)
     return seen("before", before).unionAll(seen("during", during)).unionAll(seen("after", after))
+
+
+def _gold_in_steps(spark, rows, year: int, **options) -> str:
+    """The derived tables after a run over rows of which a year is wrong and another one false, and a run that mends both."""
+    root, book = versions.create_root(spark, scratch_path(spark, "lake")), scratch_path(spark, "ledger")
+    rows = rows.withColumn("year", F.year("dt"))
+    days = 365 * 9
+    false = rows.where(F.col("year") == year).withColumns({"dt": F.date_add("dt", days), "timestamp": F.expr(f"timestamp + INTERVAL {days} DAY")})
+    false = false.withColumn("year", F.lit(year + 9)).withColumn("dt", F.greatest("dt", F.make_date(F.lit(year + 9), F.lit(1), F.lit(9))))
+    false = false.where(F.year("dt") == year + 9)
+    wrong = rows.withColumn("temperature", F.when(F.col("year") == year, F.col("temperature") + 500).otherwise(F.col("temperature")))
+    for silver, gone in ((wrong.unionByName(false), []), (rows.where(F.col("year") == year), [f"year={year + 9}"])):
+        with versions.Change(spark, root) as change:
+            change.replace(increment.SILVER, silver, ["year"], gone)
+        written = silver.select(F.col("year").cast("string").alias("key")).distinct()
+        gone_keys = spark.createDataFrame([(g.split("=")[1],) for g in gone], "key string")
+        ledger.mark(spark, book, increment.SILVER, written.unionAll(gone_keys))
+        gold_increment.refresh_gold(spark, root, book, **options)
+    return root
+
+
+@query("l07_merged_weeks", WEEKLY_SHAPE, PREVIOUS, ctes("weekly"))
+def merged_weeks(spark, sf):
+    return readers.read_table(spark, f"{_gold_in_steps(spark, li(spark, sf), 1994)}/{gold.WEEKLY}")
+
+
+@query("l07_merged_weeks_iso", WEEKLY_SHAPE, PREVIOUS, WEEKLY.replace("year(dt) AS year, week(dt)", "isoyear(dt) AS year, week(dt)"))
+def merged_weeks_iso(spark, sf):
+    return readers.read_table(spark, f"{_gold_in_steps(spark, li(spark, sf), 1994, week_year='iso')}/{gold.WEEKLY}")
+
+
+@query("l07_merged_months", CLIMATE_SHAPE, CLIMATE.format(ratio=RATIO), ctes("li_daily"))
+def merged_months(spark, sf):
+    return readers.read_table(spark, f"{_gold_in_steps(spark, li(spark, sf), 1996)}/{gold.CLIMATE}")
+
+
+@query("l07_merged_days", DAILY_SHAPE, "SELECT * FROM li_daily", ctes("li_daily"))
+def merged_days(spark, sf):
+    return readers.read_table(spark, f"{_gold_in_steps(spark, li(spark, sf), 1994)}/{gold.DAILY}")
+
+
+@query("l07_merged_events", EVENT_SHAPE, "SELECT * FROM found", ctes("found"))
+def merged_events(spark, sf):
+    return readers.read_table(spark, f"{_gold_in_steps(spark, ev(spark, sf), 2024, limits=EVENT_LIMITS)}/{gold.EVENTS}")

@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from obslake.plans import increment, ledger, silver
+from obslake.operators import aggregates
+from obslake.plans import gold, gold_increment, increment, ledger, silver
 from obslake.schemas import ARCHIVE_REQUIRED, INDICATORS, OBSERVATION_COLUMNS
 from obslake.session import scratch_path, shared_dir
 from obslake.sources import readers, versions
@@ -196,3 +197,47 @@ def test_years_in_reach(spark):
     assert {r["year"] for r in increment.years_behind(counts, [2000, 2003]).collect()} == {2001, 2004, 2010}
     before = {tuple(r) for r in increment.years_before(counts, [2004, 2010]).collect()}
     assert before == {("a", 2003), ("a", 2000), ("b", 2001)}
+
+
+@pytest.mark.parametrize("week_year", ["calendar", "iso"])
+def test_derived_tables_merge(spark, tmp_path, week_year):
+    """Archives to derived tables in several runs; years that did not change are not readable any more meanwhile."""
+    rng = random.Random(11)
+    files, root, book = Files(tmp_path), scratch_path(spark, "lake"), scratch_path(spark, "ledger")
+
+    def rows(year, count=40):
+        days = [f"{year}{m:02d}{d:02d}" for m, d in ((1, 1), (1, 2), (1, 3), (6, 5), (6, 6), (12, 28), (12, 29), (12, 30), (12, 31))]
+        return [(rng.choice([1, 2]), rng.choice(days), rng.randint(-9, 20)) for _ in range(count)]
+
+    def check():
+        days = aggregates.daily_aggregates(increment.read_silver(spark, root)).withColumn("year", F.year("dt"))
+        want = {
+            gold.DAILY: days, gold.WEEKLY: aggregates.weekly_trends(days.drop("year"), week_year),
+            gold.CLIMATE: aggregates.climate_profile(days.drop("year")),
+        }
+        for name, expected in want.items():
+            found = readers.read_table(spark, f"{root}/{name}").select(*expected.columns)
+            figures = [F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in expected.dtypes]
+            assert rows_of(found.select(*figures)) == rows_of(expected.select(*figures)), name
+
+    for year in (2018, 2019, 2020, 2024):
+        files.archive(f"{year}.csv", rows(year))
+    increment.refresh_silver(spark, *files.paths, root, book)
+    assert gold_increment.refresh_gold(spark, root, book, week_year=week_year) == [2018, 2019, 2020, 2024]
+    check()
+    assert gold_increment.refresh_gold(spark, root, book, week_year=week_year) == []
+    files.archive("2020.csv", rows(2020, 3))
+    os.utime(tmp_path / "batch" / "2020.csv", (1_700_000_000, 1_700_000_000))
+    assert 2020 in increment.refresh_silver(spark, *files.paths, root, book)
+    days = f"{root}/{gold.DAILY}"
+    hidden = [f"{days}/{folder}" for folder in versions.live_folders(spark, days) if folder.endswith(("=2018", "=2019"))]
+    for folder in hidden:
+        os.rename(folder, folder + ".hidden")
+    gold_increment.refresh_gold(spark, root, book, week_year=week_year)
+    for folder in hidden:
+        os.rename(folder + ".hidden", folder)
+    check()
+    (tmp_path / "batch" / "2019.csv").unlink()
+    increment.refresh_silver(spark, *files.paths, root, book)
+    gold_increment.refresh_gold(spark, root, book, week_year=week_year)
+    check()
