@@ -9,8 +9,11 @@ from obslake.registry.adapters import EVENT_LIMITS, ctes, ev, feed_json, li, raw
 from obslake.registry.base import query
 from obslake.registry.derived import CLIMATE, CLIMATE_SHAPE, DAILY_SHAPE, EVENT_SHAPE, PREVIOUS, RATIO, WEEKLY, WEEKLY_SHAPE
 from obslake.registry.observations import UNIFIED
+from obslake.registry.jobs import CHECKED, HOUR_SHAPE, HOURLY
 from obslake.session import scratch_path
 from obslake.sources import readers, versions
+from obslake.streaming import feed as live
+from obslake.streaming import message_log
 
 SILVER = UNIFIED + " temp_ma3:f temp_ma7:f temp_std7:f temp_anomaly:f year:l"
 WHOLE = "SELECT *, year(dt) AS year FROM silver"
@@ -138,3 +141,84 @@ def merged_days(spark, sf):
 @query("l07_merged_events", EVENT_SHAPE, "SELECT * FROM found", ctes("found"))
 def merged_events(spark, sf):
     return readers.read_table(spark, f"{_gold_in_steps(spark, ev(spark, sf), 2024, limits=EVENT_LIMITS)}/{gold.EVENTS}")
+
+
+def _drain(query) -> None:
+    """Lets a stream read all that is there, in as many micro-batches as its limit asks for."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+def _hours(spark, path):
+    return readers.read_table(spark, path).groupBy(*live.HOUR_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("s05_r08_log_earliest", HOUR_SHAPE, HOURLY, ctes("messages"))
+def log_earliest(spark, sf):
+    """The feed job from the log's first message on, half of the messages a batch at most, started twice; hours are commits."""
+    log, check, book = (scratch_path(spark, name) for name in ("log", "offsets", "ledger"))
+    hours = f"{versions.create_root(spark, scratch_path(spark, 'lake'))}/hours"
+    messages = feed_json(spark, sf)
+    part = F.pmod(F.xxhash64("value"), F.lit(2))
+    for number in range(2):
+        message_log.append_messages(messages.where(part == number), log)
+        limit = 1 + sum(own[-1].end for own in message_log.segments(log).values()) // 2
+        source = live.message_text(message_log.read_log(spark, log, from_earliest=True, per_trigger=limit))
+        _drain(live.start_hourly(source, hours, book, check, trigger_seconds=0))
+    return _hours(spark, hours)
+
+
+@query(
+    "s05_r08_log_latest", HOUR_SHAPE, HOURLY.replace("WHERE", "WHERE winddirection % 2 = 1 AND"), ctes("messages"),
+)
+def log_latest(spark, sf):
+    """A job that starts at the latest offset sees what comes later only, also after a restart."""
+    log, check, book = (scratch_path(spark, name) for name in ("log", "offsets", "ledger"))
+    hours = f"{versions.create_root(spark, scratch_path(spark, 'lake'))}/hours"
+    messages = feed_json(spark, sf)
+    odd = F.get_json_object("value", "$.winddirection").cast("double") % 2 == 1
+
+    def run():
+        source = live.message_text(message_log.read_log(spark, log))
+        _drain(live.start_hourly(source, hours, book, check, trigger_seconds=0))
+
+    message_log.append_messages(messages.where(~odd), log)
+    run()
+    message_log.append_messages(messages.where(odd), log)
+    run()
+    return _hours(spark, hours)
+
+
+@query(
+    "s05_message_log", "n:l first:l gaps:l",
+    "SELECT count(*) AS n, 0 AS first, 0 AS gaps FROM messages", ctes("messages"),
+)
+def message_log_offsets(spark, sf):
+    """A log of three appends read as a table: every message has one offset, and offsets have no gap."""
+    log = scratch_path(spark, "log")
+    messages = feed_json(spark, sf)
+    for number in range(3):
+        message_log.append_messages(messages.where(F.pmod(F.xxhash64("value"), F.lit(3)) == number), log, key="value")
+    rows = spark.read.format(message_log.FORMAT).load(log)
+    found = rows.groupBy("partition").agg(
+        F.countDistinct("offset").alias("n"), F.min("offset").alias("first"), F.max("offset").alias("last")
+    )
+    gaps = F.sum(F.col("last") + 1 - F.col("first") - F.col("n"))
+    return found.agg(F.sum("n").alias("n"), F.max("first").alias("first"), gaps.alias("gaps"))
+
+
+@query("r09_unique_commits", "station_id:s timestamp:t temperature:f wind_speed:f precipitation:f", CHECKED, ctes("messages"))
+def unique_commits(spark, sf):
+    """Doubled messages from a log through the checked stream; its batches are commits, compacted to one file set a day."""
+    log, check = scratch_path(spark, "log"), scratch_path(spark, "offsets")
+    unique = f"{versions.create_root(spark, scratch_path(spark, 'lake'))}/unique"
+    messages = feed_json(spark, sf)
+    for share in (messages, messages.where(F.pmod(F.xxhash64("value"), F.lit(2)) == 0)):
+        message_log.append_messages(share, log)
+    limit = 1 + sum(own[-1].end for own in message_log.segments(log).values()) // 3
+    source = live.message_text(message_log.read_log(spark, log, from_earliest=True, per_trigger=limit))
+    _drain(live.start_unique(source, unique, check, trigger_seconds=0))
+    versions.compact(spark, unique, ["dt"])
+    return readers.read_table(spark, unique)

@@ -66,9 +66,15 @@ def read_feed(spark: SparkSession, path: str, complete: DataFrame | None = None)
     The tree is read whatever the extension of its files. With ``complete``
     (ledger keys ``year/month/day/hour``) only those hours are read.
     """
-    if not path_exists(spark, path):
+    if versions.is_versioned(spark, path):
+        lines = read_table(spark, path)
+        if lines is None:
+            return None
+        lines = lines.withColumnRenamed("json_value", "value")
+    elif path_exists(spark, path):
+        lines = spark.read.text(path)
+    else:
         return None
-    lines = spark.read.text(path)
     if complete is not None:
         parts = [F.col(name).cast("int") for name in ("year", "month", "day", "hour")]
         hours = F.broadcast(complete.select("key").distinct())  # bounded by the calendar

@@ -13,6 +13,7 @@ from obslake.plans import ledger
 from obslake.plans.silver import normalise_feed
 from obslake.schemas import FEED_MESSAGE, OBSERVATION_COLUMNS
 from obslake.session import settle
+from obslake.sources import versions
 from obslake.sources.readers import read_table
 from obslake.sources.sinks import write_partitions
 
@@ -21,6 +22,8 @@ OFFSETS_PER_TRIGGER = 20_000
 TRIGGER_SECONDS = 30
 UNIQUE_KEY = ["station_id", "timestamp"]
 HOUR_COLUMNS = ["year", "month", "day", "hour"]
+#: commits of micro-batches after which a versioned table is compacted
+BATCH_COMMITS = 120
 
 
 def kafka_options(
@@ -91,7 +94,8 @@ def write_hours(
     The batch is parsed once and an hour's rows go to one file. The files lie
     in a folder of the stream and the epoch, so a replayed epoch replaces its
     own files and nothing is doubled. The stream's own id, which belongs to
-    its checkpoint, is the default name.
+    its checkpoint, is the default name. Below a versioned root a batch is one commit, which a replay does not
+    repeat, and every BATCH_COMMITS commits become one file set per hour.
     """
     context = batch.sparkSession.sparkContext
     name = name or context.getLocalProperty("sql.streaming.queryId") or "batch"
@@ -100,18 +104,32 @@ def write_hours(
         hours = rows.groupBy(*HOUR_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
         if hours.isEmpty():
             return
-        (
-            rows.hint("rebalance", *HOUR_COLUMNS).write.mode("overwrite")
-            .partitionBy(*HOUR_COLUMNS, "epoch")
-            .option("partitionOverwriteMode", "dynamic")
-            .text(path)
-        )
+        if versions.is_versioned(batch.sparkSession, path):
+            _commit_batch(rows.drop("epoch"), epoch, path, name, HOUR_COLUMNS)
+        else:
+            (
+                rows.hint("rebalance", *HOUR_COLUMNS).write.mode("overwrite")
+                .partitionBy(*HOUR_COLUMNS, "epoch")
+                .option("partitionOverwriteMode", "dynamic")
+                .text(path)
+            )
         keys = hours.select(F.concat_ws("/", *HOUR_COLUMNS).alias("key"))
         ledger.mark(batch.sparkSession, ledger_path, "stream", keys, run=f"{name}-{epoch}")
     finally:
         rows.unpersist()
 
 
+def _commit_batch(rows: DataFrame, epoch: int, path: str, name: str, columns: list[str]) -> None:
+    """Appends a micro-batch once and compacts the table when many have come."""
+    spark = rows.sparkSession
+    root, table = versions.split(path)
+    with versions.Change(spark, root, f"{name}-{table}", epoch) as change:
+        change.append(table, rows, columns)
+    if sum(not versions.partition_of(folder) for folder in versions.live_folders(spark, path)) >= BATCH_COMMITS:
+        versions.compact(spark, path, columns)
+        versions.expire(spark, root)
+
+
 def start_hourly(
     messages: DataFrame, path: str, ledger_path: str, checkpoint: str, name: str | None = None,
     trigger_seconds: int | None = TRIGGER_SECONDS,
@@ -155,7 +173,7 @@ def write_unique(batch: DataFrame, epoch: int, path: str, name: str | None = Non
     """Adds those observations of a micro-batch that its days do not hold yet, however late they are.
 
     Rows lie below their day and the epoch, so a replayed epoch replaces its own rows; only the days that the
-    batch touches are read.
+    batch touches are read. Below a versioned root a batch is one commit, as in ``write_hours``.
     """
     spark = batch.sparkSession
     name = name or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
@@ -163,6 +181,13 @@ def write_unique(batch: DataFrame, epoch: int, path: str, name: str | None = Non
     try:
         stored = read_table(spark, path)
         new = rows
+        if versions.is_versioned(spark, path):
+            if stored is not None:
+                days = rows.select("dt").distinct()
+                known = stored.join(days, "dt", "left_semi").select(*UNIQUE_KEY)
+                new = rows.join(known, UNIQUE_KEY, "left_anti")
+            _commit_batch(new.drop("epoch"), epoch, path, name, ["dt"])
+            return
         if stored is not None:
             days = rows.select("dt").distinct()
             known = stored.where(F.col("epoch") != f"{name}-{epoch}").join(days, "dt", "left_semi")
@@ -172,13 +197,19 @@ def write_unique(batch: DataFrame, epoch: int, path: str, name: str | None = Non
         rows.unpersist()
 
 
-def start_unique(messages: DataFrame, path: str, checkpoint: str, name: str | None = None) -> StreamingQuery:
-    """Writes the unique observations of all input that is there; late ones go to their day like any others."""
+def start_unique(
+    messages: DataFrame, path: str, checkpoint: str, name: str | None = None, trigger_seconds: int | None = None
+) -> StreamingQuery:
+    """Writes the unique observations; late ones go to their day like any others.
+
+    Without a trigger time it stops when all input that is there is read.
+    """
+    trigger = {"availableNow": True} if trigger_seconds is None else {"processingTime": f"{trigger_seconds} seconds"}
     rows = normalise_feed(checked_fields(messages)).select(*OBSERVATION_COLUMNS)
     return (
         rows.writeStream.foreachBatch(lambda batch, epoch: write_unique(batch, epoch, path, name))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**trigger).start()
     )
 
 

@@ -1,14 +1,16 @@
 """The live feed over file streams: stream equals batch, replays add nothing."""
 
 import json
+import os
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from obslake.plans import ledger, silver
 from obslake.session import scratch_path
-from obslake.sources import readers
-from obslake.streaming import feed
+from obslake.sources import readers, versions
+from obslake.streaming import feed, message_log
 
 LINES = [
     {"city": "Paris", "latitude": 48.8, "longitude": 2.3, "timestamp": f"2026-08-27T{h:02d}:{m:02d}",
@@ -104,3 +106,73 @@ def test_late_rows_are_not_lost(spark):
         feed.start_unique(feed.file_messages(spark, source), out, offsets).awaitTermination()
     found = [f"{r['timestamp']:%Y-%m-%dT%H:%M}" for r in spark.read.parquet(out).collect()]
     assert sorted(found) == sorted(set(times))
+
+
+def read_all(query):
+    try:
+        query.processAllAvailable()
+        return [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    finally:
+        query.stop()
+
+
+def numbered(spark, start, end):
+    return spark.range(start, end).selectExpr("cast(id AS string) AS value")
+
+
+def log_stream(spark, log, out, check, **choices):
+    rows = message_log.read_log(spark, log, **choices)
+    return rows.writeStream.format("parquet").option("checkpointLocation", check).trigger(processingTime="0 seconds").start(out)
+
+
+def test_log_limits_restarts_and_loss(spark):
+    log, out, check = (scratch_path(spark, n) for n in ("log", "out", "offsets"))
+    message_log.append_messages(numbered(spark, 0, 50), log)
+    message_log.append_messages(numbered(spark, 50, 60), log, key="value")
+    sizes = read_all(log_stream(spark, log, out, check, from_earliest=True, per_trigger=8))
+    assert sum(sizes) == 60 and max(sizes) <= 8
+    message_log.append_messages(numbered(spark, 60, 100), log)
+    sizes = read_all(log_stream(spark, log, out, check, from_earliest=True, per_trigger=8))  # the limit holds after a restart
+    assert sum(sizes) == 40 and max(sizes) <= 8
+    found = spark.read.parquet(out)
+    assert sorted(int(r["value"]) for r in found.collect()) == list(range(100))
+    assert found.select("partition", "offset").distinct().count() == 100
+
+    message_log.append_messages(numbered(spark, 100, 130), log)
+    lost = [s for own in message_log.segments(log).values() for s in own[-1:]]
+    message_log.append_messages(numbered(spark, 130, 140), log)
+    for segment in lost:
+        os.remove(segment.path)
+    with pytest.raises(StreamingQueryException, match="LostOffsets"):
+        read_all(log_stream(spark, log, out, check))
+    read_all(log_stream(spark, log, scratch_path(spark, "out"), check, allow_loss=True))
+    empty = scratch_path(spark, "log")
+    assert read_all(log_stream(spark, empty, scratch_path(spark, "out"), scratch_path(spark, "offsets"))) == []
+
+
+def test_log_starts_at_the_latest_message(spark):
+    log, out, check = (scratch_path(spark, n) for n in ("log", "out", "offsets"))
+    message_log.append_messages(numbered(spark, 0, 20), log)
+    query = log_stream(spark, log, out, check)
+    query.processAllAvailable()
+    message_log.append_messages(numbered(spark, 20, 25), log)
+    assert sum(read_all(query)) == 5
+    assert sorted(int(r["value"]) for r in spark.read.parquet(out).collect()) == list(range(20, 25))
+
+
+def test_batches_are_commits(spark, messages, monkeypatch):
+    """A replayed epoch adds nothing, also after compaction; many commits become one."""
+    monkeypatch.setattr(feed, "BATCH_COMMITS", 3)
+    root, book = versions.create_root(spark, scratch_path(spark, "lake")), scratch_path(spark, "ledger")
+    batch = feed.message_text(spark.read.text(messages))
+    rows = feed.normalise_feed(feed.checked_fields(batch))
+    for epoch in (0, 0, 1, 2, 2):
+        feed.write_hours(batch, epoch, f"{root}/hours", book, "s")
+        feed.write_unique(rows, epoch, f"{root}/unique", "s")
+    once = feed.by_hour(batch).count()
+    hours = readers.read_table(spark, f"{root}/hours")
+    assert hours.count() == 3 * once
+    assert all(versions.partition_of(f) for f in versions.live_folders(spark, f"{root}/hours"))
+    assert readers.read_table(spark, f"{root}/unique").count() == rows.dropDuplicates(feed.UNIQUE_KEY).count()
+    assert readers.read_feed(spark, f"{root}/hours").count() == 3 * once
+    assert readers.read_feed(spark, f"{root}/hours", ledger.done_keys(ledger.read_ledger(spark, book), "stream")).count() == 3 * once
