@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from obslake.functions.formats import number_text
 from obslake.plans import ledger
 from obslake.session import settle
+from obslake.sources import versions
 from obslake.sources.sinks import append_rows
 
 # The sections of the context text and the sentences around them.
@@ -232,11 +233,21 @@ def write_bulletins(
     ledger_path: str,
     force: bool = False,
 ) -> None:
-    """Appends the bulletins of the days not done yet, or of all days when forced."""
+    """Adds the bulletins of the days not done yet, or of all days when forced.
+
+    Below a versioned root a day's bulletin is replaced, so a run that died before it marked its days and is
+    repeated leaves one bulletin a day.
+    """
     keys = report_days(daily).withColumn("key", F.date_format("report_dt", "yyyy-MM-dd"))
     if not force:
         keys = ledger.pending(keys, ledger.read_ledger(spark, ledger_path), "bulletin")
     keys = settle(keys)
     lines = bulletin_lines(daily, events, forecasts, keys.select("report_dt"))
-    append_rows(bulletin_records(documents(lines)), path)
+    records = bulletin_records(documents(lines))
+    if versions.is_versioned(spark, path):
+        root, table = versions.split(path)
+        with versions.Change(spark, root) as change:
+            change.replace(table, records.withColumn("day", F.col("dt")), ["day"])
+    else:
+        append_rows(records, path)
     ledger.mark(spark, ledger_path, "bulletin", keys)

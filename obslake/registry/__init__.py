@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from obslake.registry import columns, derived, jobs, lake, observations, series
+from obslake.registry import columns, derived, jobs, lake, models, observations, series
 from obslake.registry.base import QUERIES
 
-__all__ = ["QUERIES", "columns", "derived", "jobs", "lake", "observations", "series"]
+__all__ = ["QUERIES", "columns", "derived", "jobs", "lake", "models", "observations", "series"]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from obslake.operators import aggregates
-from obslake.plans import gold, gold_increment, increment, ledger, silver
+from obslake.plans import gold, gold_increment, increment, ledger, reports, silver
 from obslake.schemas import ARCHIVE_REQUIRED, INDICATORS, OBSERVATION_COLUMNS
 from obslake.session import scratch_path, shared_dir
 from obslake.sources import readers, versions
@@ -241,3 +241,27 @@ def test_derived_tables_merge(spark, tmp_path, week_year):
     increment.refresh_silver(spark, *files.paths, root, book)
     gold_increment.refresh_gold(spark, root, book, week_year=week_year)
     check()
+
+
+def test_a_bulletin_run_that_dies_before_it_marks_is_repeated_once(spark, root, monkeypatch):
+    daily = spark.createDataFrame([("2025-01-01", "Paris", "X"), ("2025-01-02", "Paris", "X")], "dt string, city string, source string")
+    daily = aggregates.daily_aggregates(daily.select(
+        F.col("dt").cast("date").alias("dt"), "city", "source", *[F.lit(5.0).alias(c) for c in ("temperature", "precipitation", "wind_speed", "snow")]
+    ))
+    events = aggregates.extreme_event_rows(daily, {"heatwave": 1.0, "heavy_rain": 1.0, "strong_wind": 1.0, "cold_snap": -9.0})
+    forecasts = spark.createDataFrame([], "dt string, location string, city string, source string, temp_actual double, temp_predicted double, error_abs double, model_version int, confidence double")
+    path, book = f"{root}/bulletins", scratch_path(spark, "ledger")
+
+    def run():
+        reports.write_bulletins(spark, daily, events, forecasts, path, book)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ledger, "mark", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            run()
+    written = readers.read_table(spark, path)
+    want = rows_of(written.select("dt", "part", "bulletin"))
+    assert len(want) == 2
+    run()
+    run()
+    assert rows_of(readers.read_table(spark, path).select("dt", "part", "bulletin")) == want
