@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from obslake.plans import gold, gold_increment, increment, ledger
-from obslake.registry.adapters import EVENT_LIMITS, ctes, ev, feed_json, li, raw
+from obslake.plans import gold, gold_increment, health, increment, ledger
+from obslake.registry.adapters import EVENT_LIMITS, ctes, ev, feed_json, li, li_daily, raw
 from obslake.registry.base import query
 from obslake.registry.derived import CLIMATE, CLIMATE_SHAPE, DAILY_SHAPE, EVENT_SHAPE, PREVIOUS, RATIO, WEEKLY, WEEKLY_SHAPE
 from obslake.registry.observations import UNIFIED
 from obslake.registry.jobs import CHECKED, HOUR_SHAPE, HOURLY
+from obslake.schemas import HEALTH
 from obslake.session import scratch_path
-from obslake.sources import readers, versions
+from obslake.sources import readers, sinks, storage, versions
 from obslake.streaming import feed as live
 from obslake.streaming import message_log
 
@@ -222,3 +223,76 @@ def unique_commits(spark, sf):
     _drain(live.start_unique(source, unique, check, trigger_seconds=0))
     versions.compact(spark, unique, ["dt"])
     return readers.read_table(spark, unique)
+
+
+@query(
+    "s18_known_sizes", "path:s bytes:l over_quota:b",
+    """SELECT o_orderstatus AS path, sum(length(CAST(o_orderkey AS VARCHAR)) + 1) AS bytes,
+    sum(length(CAST(o_orderkey AS VARCHAR)) + 1) >= 20000 AS over_quota FROM orders GROUP BY 1""",
+)
+def known_sizes(spark, sf):
+    """Bytes of text files whose lengths the keys in them give; a folder that is not there has no row."""
+    root = scratch_path(spark, "sizes")
+    orders = readers.read_table(spark, f"{sf}/orders.parquet")
+    orders.select(F.col("o_orderkey").cast("string").alias("value"), "o_orderstatus").write.partitionBy("o_orderstatus").text(root)
+    names = [row[0] for row in orders.select("o_orderstatus").distinct().collect()]
+    sizes = storage.storage_size(spark, [*(f"{root}/o_orderstatus={name}" for name in names), f"{root}/o_orderstatus=none"])
+    return sizes.select(
+        F.regexp_extract("path", "=([^=]*)$", 1).alias("path"), "bytes", storage.quota_reached(F.col("bytes"), 20_000).alias("over_quota")
+    )
+
+
+@query(
+    "s16_planted_markers", "year:s marked:b anywhere:b",
+    """SELECT CAST(y AS VARCHAR) AS year, y % 2 = 0 AS marked, true AS anywhere FROM
+    (SELECT DISTINCT year(o_orderdate) AS y FROM orders) AS o""",
+)
+def planted_markers(spark, sf):
+    """Partitions of a foreign table of which every other one has a marker file."""
+    root = scratch_path(spark, "foreign")
+    orders = readers.read_table(spark, f"{sf}/orders.parquet").select("o_orderkey", F.year("o_orderdate").alias("year"))
+    sinks.write_partitions(orders, root, ["year"])
+    years = orders.select("year").distinct()
+    _remove(spark, f"{root}/_SUCCESS")
+    bare = storage.has_marker(spark, root)
+    for row in years.where("year % 2 = 0").collect():  # bounded by the calendar
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/year={row['year']}/_SUCCESS")
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target).close()
+    marked = storage.complete_partitions(spark, root, "year").withColumn("marked", F.lit(True))
+    found = years.select(F.col("year").cast("string").alias("year")).join(marked, "year", "left")
+    return found.select("year", F.coalesce("marked", F.lit(False)).alias("marked"), F.lit(storage.has_marker(spark, root) and not bare).alias("anywhere"))
+
+
+@query(
+    "l08_l09_planted_health", "path:s exists:b has_success:b bytes:l verdict:s failure:b",
+    """SELECT * FROM (SELECT 'full' AS path, true AS "exists", true AS has_success, sum(length(CAST(c_custkey AS VARCHAR)) + 1) AS bytes,
+    'OK' AS verdict, false AS failure FROM customer UNION ALL
+    SELECT 'unmarked', true, false, sum(length(CAST(c_custkey AS VARCHAR)) + 1), 'SANS _SUCCESS', true FROM customer UNION ALL
+    SELECT 'empty', true, true, 0, 'VIDE', true UNION ALL SELECT 'absent', false, false, 0, 'ABSENT', true UNION ALL
+    SELECT 'extra', false, false, 0, 'IGNORÉ', false) AS v""",
+)
+def planted_health(spark, sf):
+    """Folders with every verdict: whole, without marker, without data, not there, and optional."""
+    root = scratch_path(spark, "health")
+    keys = readers.read_table(spark, f"{sf}/customer.parquet").select(F.col("c_custkey").cast("string").alias("value"))
+    keys.write.text(f"{root}/full")
+    keys.write.text(f"{root}/unmarked")
+    _remove(spark, f"{root}/unmarked/_SUCCESS")
+    keys.where("false").write.text(f"{root}/empty")
+    rows = [("T", f"{root}/{name}", name != "extra", True, True) for name in ("full", "unmarked", "empty", "absent", "extra")]
+    checked = health.table_health(spark, spark.createDataFrame(rows, HEALTH))
+    return checked.withColumn("path", F.regexp_extract("path", "([^/]*)$", 1))
+
+
+@query(
+    "s12_recent_table", "ago:l n:l",
+    "SELECT ago, count(*) AS n FROM (SELECT max(dt) OVER () - dt AS ago FROM li_daily) AS d WHERE ago <= 400 GROUP BY ago", ctes("li_daily"),
+)
+def recent_table(spark, sf):
+    """The last 400 days before today, of a table whose newest day is today."""
+    path = scratch_path(spark, "daily")
+    rows = li_daily(spark, sf)
+    newest = rows.select(F.max("dt")).scalar()
+    sinks.write_table(rows.withColumn("dt", F.date_sub(F.current_date(), F.datediff(newest, "dt"))), path)
+    found = readers.recent_table(spark, path, 400)
+    return found.groupBy(F.datediff(F.current_date(), "dt").alias("ago")).agg(F.count("*").alias("n"))
