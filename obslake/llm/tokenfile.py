@@ -30,6 +30,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, replace
 
@@ -330,7 +331,7 @@ class Encoder:
     merged by rank, which is quicker; the tokenizer encodes all other parts.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
         from tokenizers import Tokenizer
@@ -343,16 +344,17 @@ class Encoder:
             text, end = (token.removesuffix("</w>"), _WORD_END) if token.endswith("</w>") else (token, b"")
             if byte_of.keys() >= set(text):
                 ranks[bytes(map(byte_of.__getitem__, text)) + end] = rank
+        self.code = {2: "H", 4: "I"}[self.width]
         self.word = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
         self.parts = Cache(self._part, limit)
         self.marks = {mark: self._ids(mark) for mark in _MARKS}
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _part(self, part: str) -> bytes:
-        if _LETTERS.fullmatch(part):
-            return np.array(self.word(part.lower().encode() + _WORD_END), f"<u{self.width}").tobytes()
+        if part.isascii() and part.isalpha() or _LETTERS.fullmatch(part):
+            return array(self.code, self.word(part.lower().encode() + _WORD_END)).tobytes()
         if part[-1:] in self.marks and _LETTERS.fullmatch(part, 0, len(part) - 1):
             return self.parts[part[:-1]] + self.marks[part[-1]]
         return self._ids(part)
