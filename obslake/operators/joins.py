@@ -1,8 +1,7 @@
 """Lookups, differences and matrix indexes.
 
-A side is broadcast by hint only when its rows were counted first or are
-limited by the calendar or a top-n; otherwise Spark's own size check decides
-and a shuffle join is the other way.
+A side is broadcast by hint only when its rows are limited by the calendar or a
+top-n; otherwise Spark's own size check decides, at run time too, and a shuffle join is the other way.
 """
 
 from __future__ import annotations
@@ -14,8 +13,6 @@ from pyspark.sql import functions as F
 
 from obslake.session import settle
 
-BROADCAST_ROWS = 100_000
-
 # Coordinates used for a city the catalogue does not know.
 CITY_COORDS = {
     "Paris": (48.8566, 2.3522),
@@ -57,12 +54,6 @@ def semi(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.join(keys.select(key), key, "left_semi")
 
 
-def counted(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A lookup fixed at a checkpoint, with a broadcast hint if it has at most ``limit`` rows."""
-    fixed = settle(df)
-    return F.broadcast(fixed) if fixed.count() <= limit else fixed
-
-
 def encode(df: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame:
     """Index of each value from ``labels``; an unknown value gives -1."""
     mapping = labels.select(F.col("label").alias(column), F.col("idx").alias(out))

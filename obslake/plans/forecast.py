@@ -18,7 +18,7 @@ from obslake.functions.calendar import calendar_parts, season_of_month
 from obslake.functions.weather import absolute_error, confidence
 from obslake.operators.aggregates import split_scores
 from obslake.operators.filters import last_days, missing_columns, require_columns
-from obslake.operators.joins import counted, dense_index, encode, label_index, semi
+from obslake.operators.joins import dense_index, encode, label_index, semi
 from obslake.operators.views import top_locations
 from obslake.operators.windows import series_features
 from obslake.schemas import FEATURE_INPUT, NOT_FEATURES
@@ -30,7 +30,7 @@ from obslake.sources.sinks import append_rows, write_partitions, write_table
 GRID = {"maxIter": [100, 200], "maxDepth": [4, 6], "stepSize": [0.05, 0.1]}
 FOLDS, SEED, SUBSAMPLE, COLUMN_SAMPLE, RMSE_GOAL = 3, 42, 0.9, 0.9, 2.0
 PARALLEL_FITS = 4
-HISTORY_DAYS, SCORING_DAYS, MAX_LOCATIONS = 730, 30, 200
+HISTORY_DAYS, SCORING_DAYS = 730, 30
 
 
 def history(obs: DataFrame, days: int = HISTORY_DAYS, locations: int | None = None) -> DataFrame:
@@ -63,7 +63,7 @@ def build_features(
         {name: parts[name] for name in ("month", "dayofyear", "dayofweek", "is_weekend", "year")}
     ).withColumn("season", season_of_month(F.col("month"), summer="été"))
     needed = ["temp_lag7", "target"] if drop_missing_target else ["temp_lag7"]
-    cities = counted(label_index(obs, "city"))
+    cities = label_index(obs, "city")
     return encode(featured, cities, "city", "city_encoded").dropna(subset=needed)
 
 
@@ -112,7 +112,7 @@ def encoders(train: DataFrame) -> DataFrame:
     for name in texts:
         ranks = label_index(train, name).select(F.lit(name).alias("feature"), "label", "idx")
         out = out.unionByName(ranks)
-    return counted(out)
+    return settle(out)
 
 
 def apply_encoders(df: DataFrame, ranks: DataFrame) -> DataFrame:

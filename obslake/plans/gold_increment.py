@@ -27,7 +27,8 @@ from obslake.operators.aggregates import (
 from obslake.operators.joins import union_all
 from obslake.plans import ledger
 from obslake.plans.gold import CLIMATE, DAILY, EVENTS, WEEKLY, by_year
-from obslake.plans.increment import SILVER, years_before, years_behind
+from obslake.plans.increment import SILVER
+from obslake.plans.reach import years_before, years_behind
 from obslake.session import staged_for
 from obslake.sources import versions
 from obslake.sources.readers import read_table

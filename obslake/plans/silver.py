@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake.functions.text import city_name, parse_date, parse_number, station_id
@@ -12,6 +12,7 @@ from obslake.operators.filters import date_range, optional, partitions, require_
 from obslake.operators.joins import union_all
 from obslake.operators.windows import trailing_indicators
 from obslake.plans import ledger
+from obslake.plans.reach import years_behind
 from obslake.schemas import (
     ARCHIVE_REQUIRED, FEED_REQUIRED, INDICATORS, OBSERVATION, OBSERVATION_COLUMNS,
 )
@@ -124,25 +125,6 @@ def read_inputs(
     ]
 
 
-#: rows before a row that its indicators look at
-LOOK_BACK = 6
-
-
-def years_in_reach(rows: DataFrame, years: DataFrame, look_back: int = LOOK_BACK) -> DataFrame:
-    """``key`` of the years after the given ones whose indicators look back into them.
-
-    A year is in reach where a station has fewer than ``look_back`` rows between the two. Counts per
-    station and year decide it; the given years are bounded by the calendar.
-    """
-    counts = rows.groupBy("station_id", F.year("dt").alias("year")).agg(F.count("*").alias("n"))
-    given = F.broadcast(years.select(F.col("key").cast("int").alias("given")))
-    later = counts.join(given, F.col("year") > F.col("given"))
-    order = Window.partitionBy("station_id", "given").orderBy("year")
-    between = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    near = later.withColumn("between", between).where(F.col("between") < look_back)
-    return near.select(F.col("year").cast("string").alias("key")).distinct()
-
-
 def write_silver(
     spark: SparkSession,
     frames: list[DataFrame | None],
@@ -188,7 +170,10 @@ def write_silver(
             moved = moved.groupBy("key").agg(F.max("changed_at").alias("changed_at"))
             years = settle(ledger.pending(years, book, "silver", moved))
             known = ledger.done_keys(book, "silver").select("key")
-            reached = years_in_reach(rows, years).join(known, "key", "left_semi")
+            counts = rows.groupBy("station_id", F.year("dt").alias("year")).agg(F.count("*").alias("n"))
+            given = [int(row["key"]) for row in years.collect()]  # bounded by the calendar
+            behind = years_behind(counts, given).select(F.col("year").cast("string").alias("key"))
+            reached = behind.join(known, "key", "left_semi")
             written = years.unionByName(reached).distinct()
         written = settle(written)
         silver = build_silver([rows]).withColumn("year", F.year("dt"))

@@ -475,7 +475,7 @@ def city_coordinates(spark, sf):
 def apply_encoding(spark, sf):
     rows = ev(spark, sf)
     known = rows.where(F.col("city").isin("click", "error", "view"))
-    return joins.encode(rows, joins.counted(joins.label_index(known, "city")), "city", "code")
+    return joins.encode(rows, joins.label_index(known, "city"), "city", "code")
 
 
 HEAT = """SELECT x, y, {value} AS value FROM {src} AS d

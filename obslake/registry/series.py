@@ -132,7 +132,7 @@ def time_split(spark, sf):
 )
 def label_encode(spark, sf):
     rows = table(spark, sf, "customer")
-    return joins.encode(rows, joins.counted(joins.label_index(rows, "c_mktsegment")), "c_mktsegment", "code")
+    return joins.encode(rows, joins.label_index(rows, "c_mktsegment"), "c_mktsegment", "code")
 
 
 @query("m03_feature_names", "name:s rows:l", """SELECT unnest(['country', 'latitude', 'longitude', 'elevation',

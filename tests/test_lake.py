@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from obslake.operators import aggregates
-from obslake.plans import gold, gold_increment, increment, ledger, reports, silver
+from obslake.plans import gold, gold_increment, increment, ledger, reach, reports, silver
 from obslake.schemas import ARCHIVE_REQUIRED, INDICATORS, OBSERVATION_COLUMNS
 from obslake.session import scratch_path, shared_dir
 from obslake.sources import readers, versions
@@ -193,9 +193,9 @@ def test_unchanged_archives_are_not_opened(spark, tmp_path):
 def test_years_in_reach(spark):
     rows = [("a", 2000, 4), ("a", 2003, 2), ("a", 2004, 9), ("a", 2005, 1), ("b", 2001, 1), ("b", 2010, 1), ("c", 2004, 3)]
     counts = spark.createDataFrame(rows, "station_id string, year int, n long")
-    assert {r["year"] for r in increment.years_behind(counts, [2000]).collect()} == {2001, 2003, 2004, 2010}
-    assert {r["year"] for r in increment.years_behind(counts, [2000, 2003]).collect()} == {2001, 2004, 2010}
-    before = {tuple(r) for r in increment.years_before(counts, [2004, 2010]).collect()}
+    assert {r["year"] for r in reach.years_behind(counts, [2000]).collect()} == {2001, 2003, 2004, 2010}
+    assert {r["year"] for r in reach.years_behind(counts, [2000, 2003]).collect()} == {2001, 2004, 2010}
+    before = {tuple(r) for r in reach.years_before(counts, [2004, 2010]).collect()}
     assert before == {("a", 2003), ("a", 2000), ("b", 2001)}
 
 
