@@ -36,6 +36,8 @@ MARK = "▁"
 #: code of a mark that stands in the text itself
 LITERAL = 0x110000
 WORDS = 400_000
+#: a draw is a number of so many bits, compared with cumulated probabilities as such numbers
+BITS = 24
 _GOLD, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -127,7 +129,11 @@ class Vocabulary:
 
 
 class Lattices:
-    """Filtered lattices of words: for each node the cumulated probabilities of the pieces that end there."""
+    """Filtered lattices of words: for each node the cumulated probabilities of the pieces that end there.
+
+    Probabilities are thresholds in 2**-BITS parts, cumulated within their node only. So the piece that a draw falls on
+    depends on the word and the draw, not on the node's number or on the words that a worker saw before.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
@@ -137,7 +143,7 @@ class Lattices:
         self.ends: dict[str, int] = {}  # a word's last node
         self.nodes = 0
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.joined = (np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int32))
+        self.joined = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))
 
     def of(self, words: list[str]) -> np.ndarray:
         """The last node of each word's lattice."""
@@ -196,14 +202,17 @@ class Lattices:
         share = np.exp(total[before] + weight - total[end])
         order = np.argsort(end, kind="stable")
         start, end, code, share = start[order], end[order], code[order], share[order]
-        running = np.cumsum(share)
         first = np.flatnonzero(np.diff(end, prepend=-1))
         lengths = np.diff(np.append(first, len(end)))
-        base = np.repeat(np.concatenate([[0.0], running])[first], lengths)
-        cumulated = np.minimum(running - base, 1.0)
-        cumulated[np.append(first[1:], len(end)) - 1] = 1.0
+        cumulated, upto, more = np.empty(len(end)), np.zeros(len(first)), first
+        for number in range(lengths.max()):  # the pieces that end at a node are as many as pieces have lengths
+            going = lengths > number
+            upto, lengths, more = upto[going] + share[more[going] + number], lengths[going], more[going]
+            cumulated[more + number] = upto
+        thresholds = np.minimum(np.rint(cumulated * (1 << BITS)).astype(np.int64), 1 << BITS)
+        thresholds[np.append(first[1:], len(end)) - 1] = 1 << BITS
         previous = np.where(place[start] > 0, self.nodes + start - 1, -1)
-        self.parts.append((self.nodes + end + cumulated, previous, code.astype(np.int32)))
+        self.parts.append((((self.nodes + end) << BITS) + thresholds, previous, code.astype(np.int32)))
         self.ends.update(zip(words, (self.nodes + last - 1).tolist(), strict=True))
         self.nodes += len(codes)
         if sum(len(part[0]) for part in self.parts) > 0.25 * len(self.joined[0]):
@@ -211,7 +220,7 @@ class Lattices:
             self.parts.clear()
 
     def edges(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Previous node and piece of the edge that a point (node plus a number below 1) falls on."""
+        """Previous node and piece of the edge that a point (node << BITS, plus a number of BITS bits) falls on."""
         if self.parts:
             self.joined = tuple(np.concatenate([whole, *(part[i] for part in self.parts)]) for i, whole in enumerate(self.joined))
             self.parts.clear()
@@ -245,8 +254,8 @@ class Encoder:
         step = 0
         while len(lane):
             with np.errstate(over="ignore"):
-                number = (mix(draw + np.uint64(step) * _STEP) >> np.uint64(11)) * 2.0**-53
-            previous, code = self.lattices.edges(node + np.minimum(number, 1 - 2.0**-24))
+                number = (mix(draw + np.uint64(step) * _STEP) >> np.uint64(64 - BITS)).astype(np.int64)
+            previous, code = self.lattices.edges((node << BITS) + number)
             drawn.append((lane, code))
             more = previous >= 0
             lane, node, draw, step = lane[more], previous[more], draw[more], step + 1

@@ -57,6 +57,22 @@ def test_words_are_cached_and_cleared_alike(encoder, monkeypatch):
     assert all((a == b).all() for a, b in zip(first, again, strict=True))
 
 
+def test_draws_do_not_depend_on_what_a_worker_saw_before():
+    """All draws of a word by fresh caches, in other company, and after many other words."""
+    rng = random.Random(6)
+    words = ["international", "a", "straße", "中文字", "x" * 40]
+    seeds = np.arange(4000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    others = [" ".join("".join(rng.choices("abcdeéinrst", k=rng.randint(2, 12))) for _ in range(60_000))]
+    old = pieces.Encoder(pieces.model_path())
+    old.encode(others, seeds[:1])
+    for word in words:
+        fresh = pieces.Encoder(pieces.model_path()).encode([word] * 4000, seeds)
+        company = pieces.Encoder(pieces.model_path()).encode(["b " + word if n % 2 else word for n in range(4000)], seeds)
+        used = old.encode([word] * 4000, seeds)
+        assert all(np.array_equal(a, b) for a, b in zip(fresh, used, strict=True))
+        assert all(np.array_equal(a, b) for a, b in zip(fresh[::2], company[::2], strict=True))
+
+
 def test_rows_are_reproducible_and_lossless(corpus, nothing):
     rows = pieces.encoded(corpus)
     one, two = (sorted((str(r["doc_id"]), r["n_pieces"], tuple(r["ids"]), r["lossless"]) for r in df.collect()) for df in (rows, pieces.encoded(corpus.repartition(3))))
