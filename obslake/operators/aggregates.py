@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from obslake.functions.calendar import iso_year, season_of_month
 from obslake.functions.weather import RAIN_DAY_MM, extreme_events, rain_day_ratio, within
 from obslake.operators.filters import last_days
+from obslake.schemas import CLIMATE_COLUMNS, WEEKLY_COLUMNS
 
 SERIES_KEY = ["city", "source"]
 
@@ -86,12 +87,12 @@ def week_figures(states: DataFrame, slope: str = "rows") -> DataFrame:
     by_pairs = slope_from_sums(F.col("n_pairs"), F.col("sd_pairs"), sy, F.col("sdy"), F.col("sdd_pairs"))
     known = F.col("week").isNotNull() & F.col("city").isNotNull() & F.col("source").isNotNull()
     trend = by_rows if slope == "rows" else F.coalesce(by_pairs, F.lit(0.0))
-    return states.select(
-        "year", "week", *SERIES_KEY,
-        F.try_divide("sy", "n_pairs").alias("temp_avg"), "temp_min", "temp_max", "precip_sum",
-        F.coalesce(F.bit_count("days"), F.lit(0)).cast("long").alias("n_days"),
-        F.when(known, trend).otherwise(0.0).alias("trend_slope"),
-    )
+    figures = states.withColumns({
+        "temp_avg": F.try_divide("sy", "n_pairs"),
+        "n_days": F.coalesce(F.bit_count("days"), F.lit(0)).cast("long"),
+        "trend_slope": F.when(known, trend).otherwise(0.0),
+    })
+    return figures.select(*[name for name in WEEKLY_COLUMNS if name != "temp_vs_prev_week"])
 
 
 def weekly_trends(daily: DataFrame, week_year: str = "calendar", slope: str = "rows") -> DataFrame:
@@ -154,13 +155,15 @@ def month_figures(states: DataFrame, clamp: bool = False) -> DataFrame:
         if clamp
         else F.coalesce(F.round(F.try_divide("wet", "n_days"), 3), F.lit(0.0))
     )
-    mean = {name: F.try_divide(f"s_{name}", f"n_{name}").alias(name) for name in _MEANS}
-    return states.select(
-        "city", "month", season_of_month(F.col("month")).alias("season"), mean["temp_normal"],
-        F.col("low").alias("temp_min_record"), F.col("high").alias("temp_max_record"),
-        mean["temp_amplitude_avg"], mean["precip_avg"], F.col("wet").alias("rain_days"),
-        ratio.alias("rain_day_ratio"), mean["wind_avg"], "n_days", "n_years",
-    )
+    figures = states.withColumns({
+        "season": season_of_month(F.col("month")),
+        "temp_min_record": F.col("low"),
+        "temp_max_record": F.col("high"),
+        "rain_days": F.col("wet"),
+        "rain_day_ratio": ratio,
+        **{name: F.try_divide(f"s_{name}", f"n_{name}") for name in _MEANS},
+    })
+    return figures.select(*CLIMATE_COLUMNS)
 
 
 def climate_profile(daily: DataFrame, clamp: bool = False) -> DataFrame:

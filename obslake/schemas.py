@@ -35,6 +35,14 @@ FEATURE_INPUT = [
 NOT_FEATURES = [
     "target", "timestamp", "dt", "location", "city", "station_id", "station_name", "source",
 ]
+WEEKLY_COLUMNS = [
+    "year", "week", "city", "source", "temp_avg", "temp_min", "temp_max", "precip_sum", "n_days", "trend_slope",
+    "temp_vs_prev_week",
+]
+CLIMATE_COLUMNS = [
+    "city", "month", "season", "temp_normal", "temp_min_record", "temp_max_record", "temp_amplitude_avg", "precip_avg",
+    "rain_days", "rain_day_ratio", "wind_avg", "n_days", "n_years",
+]
 LEDGER = _struct(stage=_S, key=_S, action=_S, at=T.TimestampType(), run_id=_S, seen=T.TimestampType())
 JOURNAL = _struct(
     stage=_S, run_id=_S, status=_S, at=T.TimestampType(),
