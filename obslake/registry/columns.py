@@ -389,9 +389,10 @@ def number_text(spark, sf):
     FROM (SELECT l_partkey * l_partkey * l_partkey * (l_linenumber * 300) AS bytes FROM lineitem) AS b""",
 )
 def byte_size(spark, sf):
-    part = F.col("l_partkey")
-    rows = table(spark, sf, "lineitem").select((part * part * part * (F.col("l_linenumber") * 300)).alias("bytes"))
-    return rows.withColumn("size", formats.byte_size(F.col("bytes")))
+    """The product is exact beyond a long's range; there ``bytes`` is NULL and only the text has the size."""
+    part = F.col("l_partkey").cast("decimal(19, 0)")
+    exact = part * part * part * (F.col("l_linenumber") * 300)
+    return table(spark, sf, "lineitem").select(exact.try_cast("long").alias("bytes"), formats.byte_size(exact).alias("size"))
 
 
 @query(

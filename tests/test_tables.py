@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from obslake.operators import aggregates, dedup, filters, joins, views, windows
 from obslake.plans import forecast, gold, ledger, reports, silver, snapshot
+from obslake.registry import QUERIES
 from obslake.schemas import ARCHIVE_REQUIRED, OBSERVATION
 from obslake.session import scratch_path
 from obslake.sources import readers, sinks, storage
@@ -522,3 +523,11 @@ def test_changed_archives_reach_gold(spark, tmp_path):
     assert run() == 1
     file.write_text(header + line.format(1) + line.format(2))
     assert run() == 2
+
+
+def test_sizes_beyond_a_long(spark, tmp_path):
+    """Keys of large tables give products that no long holds."""
+    rows = spark.createDataFrame([(1_200_000, 7), (20, 1)], "l_partkey long, l_linenumber int")
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = QUERIES["f17_byte_size"].run(spark, str(tmp_path)).collect()
+    assert sorted((r["bytes"] or 0, r["size"]) for r in found) == [(0, "3300374373.8 To"), (2_400_000, "2.3 Mo")]
