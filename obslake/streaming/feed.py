@@ -10,7 +10,7 @@ from obslake.functions.calendar import hour_parts
 from obslake.functions.weather import FEED_BOUNDS
 from obslake.operators.filters import usable, within_bounds
 from obslake.plans import ledger
-from obslake.plans.silver import normalise_feed
+from obslake.plans.silver import MESSAGE_ID, normalise_feed
 from obslake.schemas import FEED_MESSAGE, OBSERVATION_COLUMNS
 from obslake.session import settle
 from obslake.sources import versions
@@ -80,9 +80,10 @@ def by_hour(messages: DataFrame) -> DataFrame:
     ])
 
 
-def checked_fields(messages: DataFrame) -> DataFrame:
-    """Fields with impossible measures made NULL and empty records dropped."""
-    fields = parsed(messages).select("m.*", "event_time")
+def checked_fields(messages: DataFrame, id_field: str | None = None) -> DataFrame:
+    """Fields with impossible measures made NULL and empty records dropped; ``id_field`` names a message's own id."""
+    sent = [F.coalesce(F.get_json_object("json_value", f"$.{id_field}"), F.lit("")).alias(MESSAGE_ID)] if id_field else []
+    fields = parsed(messages).select("m.*", "event_time", *sent)
     return usable(within_bounds(fields, FEED_BOUNDS))
 
 
@@ -172,40 +173,43 @@ def unique_messages(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
 def write_unique(batch: DataFrame, epoch: int, path: str, name: str | None = None) -> None:
     """Adds those observations of a micro-batch that its days do not hold yet, however late they are.
 
-    Rows lie below their day and the epoch, so a replayed epoch replaces its own rows; only the days that the
-    batch touches are read. Below a versioned root a batch is one commit, as in ``write_hours``.
+    An observation is its station and time, and the message id where the rows have one. Rows lie below their day
+    and the epoch, so a replayed epoch replaces its own rows; only the days that the batch touches are read. Below a versioned root a batch is one commit, as in ``write_hours``.
     """
     spark = batch.sparkSession
     name = name or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-    rows = batch.dropDuplicates(UNIQUE_KEY).withColumn("epoch", F.lit(f"{name}-{epoch}")).persist()
+    key = [*UNIQUE_KEY, *[c for c in batch.columns if c == MESSAGE_ID]]
+    rows = batch.dropDuplicates(key).withColumn("epoch", F.lit(f"{name}-{epoch}")).persist()
     try:
         stored = read_table(spark, path)
         new = rows
         if versions.is_versioned(spark, path):
             if stored is not None:
                 days = rows.select("dt").distinct()
-                known = stored.join(days, "dt", "left_semi").select(*UNIQUE_KEY)
-                new = rows.join(known, UNIQUE_KEY, "left_anti")
+                known = stored.join(days, "dt", "left_semi").select(*key)
+                new = rows.join(known, key, "left_anti")
             _commit_batch(new.drop("epoch"), epoch, path, name, ["dt"])
             return
         if stored is not None:
             days = rows.select("dt").distinct()
             known = stored.where(F.col("epoch") != f"{name}-{epoch}").join(days, "dt", "left_semi")
-            new = rows.join(known.select(*UNIQUE_KEY), UNIQUE_KEY, "left_anti")
+            new = rows.join(known.select(*key), key, "left_anti")
         write_partitions(settle(new), path, ["dt", "epoch"])
     finally:
         rows.unpersist()
 
 
 def start_unique(
-    messages: DataFrame, path: str, checkpoint: str, name: str | None = None, trigger_seconds: int | None = None
+    messages: DataFrame, path: str, checkpoint: str, name: str | None = None, trigger_seconds: int | None = None,
+    id_field: str | None = None,
 ) -> StreamingQuery:
     """Writes the unique observations; late ones go to their day like any others.
 
-    Without a trigger time it stops when all input that is there is read.
+    Without a trigger time it stops when all input that is there is read. Where several instruments report for
+    one station at the same time, ``id_field`` names the message's id: copies of a message then go, not other messages.
     """
     trigger = {"availableNow": True} if trigger_seconds is None else {"processingTime": f"{trigger_seconds} seconds"}
-    rows = normalise_feed(checked_fields(messages)).select(*OBSERVATION_COLUMNS)
+    rows = normalise_feed(checked_fields(messages, id_field)).select(*OBSERVATION_COLUMNS, *([MESSAGE_ID] if id_field else []))
     return (
         rows.writeStream.foreachBatch(lambda batch, epoch: write_unique(batch, epoch, path, name))
         .option("checkpointLocation", checkpoint)

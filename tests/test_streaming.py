@@ -108,6 +108,16 @@ def test_late_rows_are_not_lost(spark):
     assert sorted(found) == sorted(set(times))
 
 
+def test_messages_of_one_moment_are_told_apart_by_their_id(spark):
+    """Two instruments of a city report at the same time, each message twice, in batches of their own."""
+    source, out, offsets = (scratch_path(spark, n) for n in ("ids", "unique", "offsets"))
+    line = '{{"id": {0}, "city": "Lyon", "timestamp": "2025-03-02T12:00", "temperature": {0}.0, "windspeed": 1.0}}'
+    for sent in ((1, 1), (2, 1), (2,)):
+        spark.createDataFrame([(line.format(i),) for i in sent], "value string").coalesce(1).write.mode("append").text(source)
+        feed.start_unique(feed.file_messages(spark, source), out, offsets, id_field="id").awaitTermination()
+    assert sorted(r["temperature"] for r in spark.read.parquet(out).collect()) == [1.0, 2.0]
+
+
 def read_all(query):
     try:
         query.processAllAvailable()
