@@ -531,3 +531,21 @@ def test_sizes_beyond_a_long(spark, tmp_path):
     rows.write.parquet(f"{tmp_path}/lineitem.parquet")
     found = QUERIES["f17_byte_size"].run(spark, str(tmp_path)).collect()
     assert sorted((r["bytes"] or 0, r["size"]) for r in found) == [(0, "3300374373.8 To"), (2_400_000, "2.3 Mo")]
+
+
+def test_empty_columns_are_looked_for_once(spark, year_silver, monkeypatch):
+    """Training reads written features; it does not build them again for each of their columns."""
+    looked = []
+
+    def empty(df, find=forecast._empty_columns):
+        looked.append(all("features-" in file for file in df.inputFiles()))
+        return find(df)
+
+    def stop(*_):
+        raise InterruptedError
+
+    monkeypatch.setattr(forecast, "_empty_columns", empty)
+    monkeypatch.setattr(forecast, "search_grid", stop)
+    with pytest.raises(InterruptedError):
+        forecast.train_model(forecast.build_features(year_silver))
+    assert looked == [True]
