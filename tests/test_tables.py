@@ -549,3 +549,12 @@ def test_empty_columns_are_looked_for_once(spark, year_silver, monkeypatch):
     with pytest.raises(InterruptedError):
         forecast.train_model(forecast.build_features(year_silver))
     assert looked == [True]
+
+
+def test_one_row_group_is_spread(spark, tmp_path):
+    path = f"{tmp_path}/rows.parquet"
+    spark.range(300_000).selectExpr("id", "uuid() AS text").coalesce(1).write.parquet(path)
+    assert spark.read.parquet(path).repartition(1).count() == readers.read_spread(spark, path, "id").count()
+    assert readers.read_spread(spark, path, "id").rdd.getNumPartitions() >= 8
+    spark.range(10).coalesce(1).write.parquet(f"{tmp_path}/few.parquet")
+    assert readers.read_spread(spark, f"{tmp_path}/few.parquet", "id").rdd.getNumPartitions() == 1
