@@ -77,7 +77,7 @@ def write_gold(
         keys = settle(keys)
         counters["years"] = keys.count()
         wanted = keys.select(F.col("year").cast("int").alias("year"))
-        fresh = by_year(daily_aggregates(partitions(rows, "year", wanted)))
+        fresh = by_year(daily_aggregates(partitions(rows, "year", wanted, few=True)))
         _replace(spark, fresh, paths[DAILY], "year", wanted)
 
         daily = read_table(spark, paths[DAILY])
@@ -86,9 +86,9 @@ def write_gold(
         if daily is not None:
             weeks = settle(wanted.unionByName(years_after(daily, wanted)).distinct())
             # the change to the previous week needs the series before the year
-            weekly = partitions(weekly_trends(daily.drop("year"), week_year), "year", weeks)
+            weekly = partitions(weekly_trends(daily.drop("year"), week_year), "year", weeks, few=True)
             _replace(spark, weekly, paths[WEEKLY], "year", weeks)
-            found = extreme_event_rows(partitions(daily, "year", wanted), thresholds(limits))
+            found = extreme_event_rows(partitions(daily, "year", wanted, few=True), thresholds(limits))
             _replace(spark, by_year(found), paths[EVENTS], "year", wanted)
             climate = climate_profile(daily)
             _replace(spark, climate, paths[CLIMATE], "month", spark.range(1, 13).select(F.col("id").cast("int").alias("month")))

@@ -9,7 +9,7 @@ from obslake.operators import aggregates, dedup, filters, windows
 from obslake.plans import silver
 from obslake.registry import QUERIES
 from obslake.registry.adapters import ev, feed, raw
-from obslake.session import scratch_path
+from obslake.session import scratch_path, settle
 from obslake.sources import readers, sinks
 
 SF = "/root/testdata/sf0.001"
@@ -76,3 +76,10 @@ def test_no_python_workers(spark, name):
     text = plan(QUERIES[name].run(spark, SF))
     assert "Python" not in text and "ArrowEval" not in text and "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
+
+
+def test_listed_years_do_not_bring_a_year_to_one_task(spark):
+    rows = ev(spark, SF).withColumn("year", F.year("dt"))
+    text = plan(filters.partitions(rows, "year", settle(rows.select("year").distinct()), few=True))
+    tree = text.split("\n\n")[0]
+    assert "BroadcastHashJoin" in tree and "SortMergeJoin" not in tree
