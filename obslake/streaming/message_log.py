@@ -165,22 +165,24 @@ class _Stream(DataSourceStreamReader):
 @dataclass
 class Appended(WriterCommitMessage):
     partition: int
+    task: int
     count: int
     path: str
 
 
 class _Append(DataSourceArrowWriter):
-    """A task writes a file aside; the commit moves it behind the last segment of its partition."""
+    """A task writes a file aside; the commit moves it behind the last segment of its partition, tasks in their order."""
 
     def __init__(self, options: dict):
         self.path, self.job = options["path"], uuid.uuid4().hex
+        self.partitions = int(options.get("partitions", PARTITIONS))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Appended | None:
         from pyspark import TaskContext
 
         system, folder = _located(self.path)
-        partition, count = TaskContext.get().partitionId(), 0
-        aside = f"{folder}/_aside/{self.job}-{partition}-{uuid.uuid4().hex}"
+        task, count = TaskContext.get().partitionId(), 0
+        aside = f"{folder}/_aside/{self.job}-{task}-{uuid.uuid4().hex}"
         system.create_dir(f"{folder}/_aside", recursive=True)
         with system.open_output_stream(aside) as sink:
             for batch in iterator:
@@ -188,13 +190,14 @@ class _Append(DataSourceArrowWriter):
                     if value is not None:
                         sink.write(value.replace("\n", " ").encode() + b"\n")
                         count += 1
-        return Appended(partition, count, aside)
+        return Appended(task % self.partitions, task, count, aside)
 
     def commit(self, messages: list[Appended | None]) -> None:
         system, folder = _located(self.path)
-        held = segments(self.path)
-        for message in sorted((m for m in messages if m and m.count), key=lambda m: m.partition):
-            first = held[message.partition][-1].end if message.partition in held else 0
+        ends = {partition: own[-1].end for partition, own in segments(self.path).items()}
+        for message in sorted((m for m in messages if m and m.count), key=lambda m: (m.partition, m.task)):
+            first = ends.get(message.partition, 0)
+            ends[message.partition] = first + message.count
             target = f"{folder}/partition={message.partition}"
             system.create_dir(target, recursive=True)
             system.move(message.path, f"{target}/{first:020d}-{first + message.count:020d}.txt")
@@ -228,10 +231,15 @@ class MessageLog(DataSource):
 
 
 def append_messages(messages: DataFrame, path: str, key: str | None = None, partitions: int = PARTITIONS) -> None:
-    """Adds the text column ``value``, one segment a partition; messages of one ``key`` keep to one partition. One writer at a time."""
-    messages.sparkSession.dataSource.register(MessageLog)
-    dealt = messages.repartition(partitions, key) if key else messages.repartition(partitions)
-    dealt.select(F.col("value").cast("string")).write.format(FORMAT).mode("append").save(path)
+    """Adds the text column ``value``; messages of one ``key`` keep to one partition. One writer at a time.
+
+    A partition gets as many segments as it takes to keep all cores at work, so that no task writes, or reads, a whole partition.
+    """
+    spark = messages.sparkSession
+    spark.dataSource.register(MessageLog)
+    tasks = partitions * -(-spark.sparkContext.defaultParallelism // partitions)
+    dealt = messages.repartition(tasks, key) if key else messages.repartition(tasks)
+    dealt.select(F.col("value").cast("string")).write.format(FORMAT).option("partitions", partitions).mode("append").save(path)
 
 
 def read_log(

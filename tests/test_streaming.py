@@ -186,3 +186,17 @@ def test_batches_are_commits(spark, messages, monkeypatch):
     assert readers.read_table(spark, f"{root}/unique").count() == rows.dropDuplicates(feed.UNIQUE_KEY).count()
     assert readers.read_feed(spark, f"{root}/hours").count() == 3 * once
     assert readers.read_feed(spark, f"{root}/hours", ledger.done_keys(ledger.read_ledger(spark, book), "stream")).count() == 3 * once
+
+
+def test_a_partition_has_several_segments(spark):
+    """No task writes or reads a whole partition of a large append; a key keeps to one partition, offsets have no gap."""
+    log = scratch_path(spark, "log")
+    for _ in range(2):
+        rows = spark.range(0, 3000).selectExpr("cast(id % 100 AS string) AS value")
+        message_log.append_messages(rows, log, key="value")
+    held = message_log.segments(log)
+    assert set(held) <= set(range(message_log.PARTITIONS)) and max(s.end - s.first for own in held.values() for s in own) < 1000
+    assert all(a.end == b.first for own in held.values() for a, b in zip(own, own[1:])) and sum(own[-1].end for own in held.values()) == 6000
+    found = spark.read.format(message_log.FORMAT).load(log)
+    assert found.groupBy("value").agg(F.countDistinct("partition").alias("n")).where("n > 1").isEmpty()
+    assert found.select("partition", "offset").distinct().count() == 6000
