@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import int64, mix, sliced, staged, word_hashes
+from obslake.llm.common import int64, marked, mix, sliced, staged, word_hashes
 from obslake.llm.graph import bucket_links, components
 
 K, SIMILARITY = 5, 0.8
@@ -39,7 +39,7 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: labelled shingles that are hashed at once, which bounds a task's memory whatever a text's length
 BLOCK = 50_000
 
-#: 64-bit words of a text's parities
+#: 64-bit words of a text's short parities
 PARITIES = 8
 
 _PARITIES = [f"p{i}" for i in range(PARITIES)]
@@ -91,16 +91,22 @@ def bands(shingles: np.ndarray) -> np.ndarray:
     return keys
 
 
-def parities(shingles: np.ndarray) -> np.ndarray:
-    """For each of 64 * PARITIES bins whether an odd number of the labelled shingles falls into it.
+def parities(shingles: np.ndarray, size: int = PARITIES) -> np.ndarray:
+    """For each of 64 * size bins (a power of two) whether an odd number of the labelled shingles falls into it.
 
-    Each shingle that only one of two texts has changes one bin, so they differ in as many at least as the bins do.
+    Each shingle that only one of two texts has changes one bin, so they differ in as many at least as the bins do. The two halves
+    of a text's parities, one XOR the other, are its parities in half as many bins.
     """
-    bins = (shingles >> np.uint64(55)).astype(np.int64) % (64 * PARITIES)
-    odd = np.bincount(bins, minlength=64 * PARITIES) & 1
+    bins = (shingles & np.uint64(64 * size - 1)).astype(np.int64)
+    odd = np.bincount(bins, minlength=64 * size) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _size(shingles: int) -> int:
+    """Words of parities that hold four bins a shingle or more, so that few of a text's differences share one."""
+    return max(PARITIES, 1 << (shingles // 16).bit_length())
+
+
 def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
     """Aligned similarity of two labelled sequences; below `least` only an upper bound of it.
 
@@ -133,30 +139,72 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
     return matched / (n + m - matched)
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("id"))
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def _hashes(text: str) -> np.ndarray:
+    return word_hashes(text.lower().split()).astype(np.uint32)
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, id of the text, its band keys, its words as 32-bit hashes, and its shingles' number and parities."""
+    """doc_id, id of the text and its band keys."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 2_000_000):
-            keys, words, sizes, odd = [], [], [], []
+            keys = []
             for text in batch.column("text").to_pylist():
-                hashes = word_hashes(text.lower().split()).astype(np.uint32)
-                shingles = labelled_shingles(hashes.astype(np.uint64))
-                keys.append(int64(bands(shingles)) if len(hashes) else WORDLESS)
+                hashes = _hashes(text)
+                keys.append(int64(bands(labelled_shingles(hashes.astype(np.uint64)))) if len(hashes) else WORDLESS)
+            columns = [batch.column("doc_id"), batch.column("id"), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "id", "bands"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text"), F.xxhash64(_text()).alias("id"))
+    return rows.mapInArrow(sketch, "doc_id long, id long, bands array<long>")
+
+
+def _words(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """id and 32-bit hashes of the words of each text with one of the ids; other texts are dropped before they travel."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 2_000_000):
+            words = [_hashes(text).tobytes() for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(words, pa.binary())], ["id", "words"])
+
+    texts = marked(docs.select(_text().alias("text"), F.xxhash64(_text()).alias("__id")), ids, "known").where("known")
+    texts = texts.select(F.col("__id").alias("id"), "text").dropDuplicates(["id"])
+    return texts.join(ids, "id", "left_semi").mapInArrow(code, "id long, words binary")
+
+
+def _hints(words: DataFrame) -> DataFrame:
+    """id, number of shingles, and the parities, short ones in columns and long ones in an array, of each text."""
+
+    def hint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 2_000_000, "words"):
+            sizes, odd, more = [], [], []
+            for code in batch.column("words"):
+                shingles = labelled_shingles(np.frombuffer(code.as_py(), np.uint32).astype(np.uint64))
                 sizes.append(len(shingles))
                 odd.append(parities(shingles))
-                words.append(hashes.tobytes())
-            columns = [batch.column("doc_id"), batch.column("id"), pa.array(keys, pa.list_(pa.int64())), pa.array(words, pa.binary())]
-            columns += [pa.array(sizes, pa.int32()), *map(pa.array, np.array(odd).reshape(-1, PARITIES).T)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "id", "bands", "words", "shingles", *_PARITIES])
+                more.append(parities(shingles, _size(len(shingles))))
+            columns = [batch.column("id"), pa.array(sizes, pa.int32()), pa.array(more, pa.list_(pa.int64()))]
+            columns += map(pa.array, np.array(odd).reshape(-1, PARITIES).T)
+            yield pa.RecordBatch.from_arrays(columns, ["id", "shingles", "parities", *_PARITIES])
 
     more = ", ".join(f"{name} long" for name in _PARITIES)
-    return _texts(docs).mapInArrow(sketch, f"doc_id long, id long, bands array<long>, words binary, shingles int, {more}")
+    return words.mapInArrow(hint, f"id long, shingles int, parities array<long>, {more}")
+
+
+def _unlike(x: Column, y: Column) -> Column:
+    """Bins in which two texts' long parities differ; of two lengths, the longer is folded once."""
+
+    def folded(one: Column, other: Column) -> Column:
+        half = F.floor(F.size(one) / 2).cast("int")
+        fold = F.zip_with(F.slice(one, 1, half), F.slice(one, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+        return F.when(F.size(one) > F.size(other), fold).otherwise(one)
+
+    bits = F.zip_with(folded(x, y), folded(y, x), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(bits, F.lit(0), lambda n, of: n + of)
 
 
 def _measured(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
@@ -184,46 +232,57 @@ def _measured(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(measure, "a long, b long, d double")
 
 
-def near_links(sketches: DataFrame, similar: float = SIMILARITY) -> DataFrame:
-    """Links (a, b) between ids of texts that connect all near texts; `sketches` is a written table."""
+def near_links(sketches: DataFrame, docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) between ids of texts that connect all near texts; `sketches` is a written table of the docs."""
     members = staged(sketches.select("id", F.explode("bands").alias("key")).distinct(), "bands")
     shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     candidates = staged(members.join(shared, "key"), "candidates")
-    texts = sketches.select("id", "words", "shingles", *_PARITIES).join(candidates.select("id").distinct(), "id", "left_semi")
-    words = staged(texts.dropDuplicates(["id"]), "words")
+    words = staged(_words(docs, candidates.select("id").distinct()), "words")
     # the round-off of a distance must not part a pair at the threshold
     radius = 1 - similar + 1e-9
 
+    def hints(ids: DataFrame) -> DataFrame:
+        return _hints(words.join(ids, "id", "left_semi"))
+
     def possible(x: str, y: str) -> Column:
         """At the threshold, texts of n and m shingles differ in at most (n + m) * radius / (2 - radius) of them."""
-        unlike = [F.bit_count(F.col(f"{x}.{name}").bitwiseXOR(F.col(f"{y}.{name}"))) for name in _PARITIES]
-        return sum(unlike[1:], unlike[0]) <= (F.col(f"{x}.shingles") + F.col(f"{y}.shingles")) * (radius / (2 - radius)) + 1e-6
+        one, other = ([F.col(f"{side}.{name}") for name in ("shingles", "parities", *_PARITIES)] for side in (x, y))
+        most = (one[0] + other[0]) * (radius / (2 - radius)) + 1e-6
+        short = [F.bit_count(a.bitwiseXOR(b)) for a, b in zip(one[2:], other[2:], strict=True)]
+        return (F.abs(one[0] - other[0]) <= most) & (sum(short[1:], short[0]) <= most) & (_unlike(one[1], other[1]) <= most)
 
     def distance(pairs: DataFrame) -> DataFrame:
         return _measured(pairs, words, 1 - 2 * radius)
 
-    return bucket_links(candidates, distance, radius, words.select("id", "shingles", *_PARITIES), possible)
+    return bucket_links(candidates, distance, radius, hints, possible)
 
 
-def _classes(sketches: DataFrame, similar: float) -> DataFrame:
+def _classes(docs: DataFrame, similar: float) -> DataFrame:
     """doc_id, id and class of every row."""
-    found = components(near_links(sketches, similar))
+    sketches = staged(sketched(docs), "sketches")
+    found = components(near_links(sketches, docs, similar))
     rows = sketches.select("doc_id", "id")
     return rows.join(found, rows["id"] == found["node"], "left").select("doc_id", "id", F.coalesce("class", "id").alias("class"))
 
 
 def near_classes(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (smallest doc_id of its near duplicates) and class_size of every row."""
-    rows = staged(_classes(staged(sketched(docs), "sketches"), similar), "classes")
+    rows = staged(_classes(docs, similar), "classes")
     names = rows.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     return rows.join(names, "class").select("doc_id", "class_id", "class_size")
 
 
 def deduplicated(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
-    """One row, with all its columns, of each class: the one with the smallest doc_id."""
-    rows = _classes(staged(sketched(docs), "sketches"), similar)
-    kept = rows.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "id")).alias("row"))
-    kept = kept.select(F.xxhash64("row.doc_id", "row.id").alias("__row"), F.col("row.id").alias("__id")).distinct()
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    named = docs.withColumn("__id", F.xxhash64(text)).withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), "__id"))
-    return named.join(kept, ["__row", "__id"], "left_semi").dropDuplicates(["__row", "__id"]).drop("__row", "__id")
+    """One row, with all its columns, of each class: the one with the smallest doc_id.
+
+    Rows that are a class of their own stay where they are; only the others' texts travel.
+    """
+    rows = staged(_classes(docs, similar), "classes")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "id")).alias("row")
+    kept = staged(rows.groupBy("class").agg(least, F.count("*").alias("n")), "kept")
+    several = rows.join(kept.where("n > 1").select("class"), "class", "left_semi").select("id").distinct()
+    kept = kept.select(F.xxhash64("row.doc_id", "row.id").alias("__row"), F.col("row.id").alias("__id"))
+    named = docs.withColumn("__id", F.xxhash64(_text())).withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), "__id"))
+    named = marked(named, several, "__several")
+    chosen = named.where("__several").join(kept, ["__row", "__id"], "left_semi").dropDuplicates(["__row", "__id"])
+    return named.where("NOT __several").unionByName(chosen).drop("__row", "__id", "__several")

@@ -5,6 +5,8 @@ import numpy as np
 import pytest
 
 from obslake.llm import neardup
+from obslake.llm.common import marked
+from obslake.llm.graph import bucket_links
 
 
 def shingles(text: str) -> Counter:
@@ -116,3 +118,73 @@ def test_parities_never_exceed_the_difference():
         b = np.concatenate([a[rng.random(len(a)) > 0.2], rng.integers(0, 2**63, rng.integers(0, 40)).astype(np.uint64)])
         bits = np.unpackbits((neardup.parities(a) ^ neardup.parities(b)).view(np.uint8)).sum()
         assert bits <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_long_parities_tell_long_texts_apart():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 900).astype(np.uint64)
+    for like, linked in ((0.7, False), (0.95, True)):
+        x, y = (np.concatenate([base[: int(900 * like)], rng.integers(0, 2**63, 900 - int(900 * like)).astype(np.uint64)]) for _ in "xy")
+        unlike = len(set(x.tolist()) ^ set(y.tolist()))
+        most = (len(x) + len(y)) * 0.2 / 1.8
+        bits = np.unpackbits((neardup.parities(x, 64) ^ neardup.parities(y, 64)).view(np.uint8)).sum()
+        assert (bits <= most) == (unlike <= most) == linked and bits <= unlike
+    wide = neardup.parities(base, 16)
+    assert (wide[:8] ^ wide[8:] == neardup.parities(base, 8)).all()
+
+
+@pytest.fixture
+def measured_rows(monkeypatch):
+    """Rows that each call of the measure gets."""
+    found, measure = [], neardup._measured
+
+    def counted(pairs, words, least):
+        found.append(pairs.count())
+        return measure(pairs, words, least)
+
+    monkeypatch.setattr(neardup, "_measured", counted)
+    return found
+
+
+def test_unlinked_copies_of_a_long_text_are_not_all_compared(spark, measured_rows):
+    """Texts that lie 0.72 to 0.78 apart from each other share many buckets, and none is linked to another."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(1200)]
+    rows = []
+    for number in range(60):
+        words = list(base)
+        for at in rng.sample(range(0, 1200, 8), 25):
+            words[at] = f"z{number}x{at}"
+        rows.append((number, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = neardup.near_classes(docs).toPandas().groupby("class_id").doc_id.apply(lambda ids: tuple(sorted(map(str, ids))))
+    assert set(found) == brute_classes(rows)
+    assert sum(measured_rows[2:]) <= 60
+
+
+def test_a_text_whose_parts_changed_places_is_linked(spark):
+    """The pivot is farther than it looks from a text with parts in another order; that must not part two linked ones."""
+    words = iter(neardup.mix(np.arange(1, 400, dtype=np.uint64)).tolist())
+    a, c, b, new = ([next(words) for _ in range(size)] for size in (60, 4, 60, 30))
+    p = a + c + b
+    x = b + c + a
+    texts = {1: p, 2: p[:60] + new, 3: x, 4: x[:-24]}
+    values = {key: np.array(value, np.uint64) for key, value in texts.items()}
+    assert neardup.similarity(values[3], values[4], 0.6) >= 0.8
+    radius = 0.2 + 1e-9
+
+    def distance(pairs):
+        rows = [(r["a"], r["b"], 1 - neardup.similarity(values[r["a"]], values[r["b"]], 1 - 2 * radius)) for r in pairs.collect()]
+        return spark.createDataFrame(rows, "a long, b long, d double")
+
+    members = spark.createDataFrame([(0, key) for key in texts], "key long, id long")
+    links = {(r["a"], r["b"]) for r in bucket_links(members, distance, radius).collect()}
+    assert (3, 4) in links
+
+
+def test_marked_rows_miss_no_id(spark):
+    rows = spark.range(5000).selectExpr("xxhash64(id) AS __id", "id AS n")
+    found = marked(rows, rows.where("n % 7 = 0").selectExpr("__id AS id"), "known")
+    assert found.where("n % 7 = 0 AND NOT known").count() == 0
+    assert found.where("n % 7 <> 0 AND known").count() < 10 and found.count() == 5000
+    assert marked(rows, rows.where("false").selectExpr("__id AS id"), "known").where("known").count() == 0
