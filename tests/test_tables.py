@@ -558,3 +558,11 @@ def test_one_row_group_is_spread(spark, tmp_path):
     assert readers.read_spread(spark, path, "id").rdd.getNumPartitions() >= 8
     spark.range(10).coalesce(1).write.parquet(f"{tmp_path}/few.parquet")
     assert readers.read_spread(spark, f"{tmp_path}/few.parquet", "id").rdd.getNumPartitions() == 1
+
+
+def test_rows_after_the_last_day_go_before_the_windows(year):
+    """Only rows up to the last day are cut into series; the result has the days asked for."""
+    built = silver.build_silver([year], "2025-03-01", "2025-03-31")
+    plan = built._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.rindex("Window"):]
+    assert "2025-03-31" in below or "20178" in below
