@@ -93,6 +93,12 @@ def day_context(daily: DataFrame, events: DataFrame, forecasts: DataFrame) -> Da
     return counts.fillna(0)
 
 
+def _filled(template: str, *cells: Column) -> Column:
+    """The template with a cell in place of each ``%s``."""
+    texts = template.split("%s")
+    return F.concat(F.lit(texts[0]), *[x for cell, text in zip(cells, texts[1:], strict=True) for x in (cell, F.lit(text))])
+
+
 def _lines(df: DataFrame, section: int, text: Column, by_day: bool = True) -> DataFrame:
     """One line per row, placed by its day and then by its own text."""
     place = F.coalesce(_day().cast("string"), F.lit("")) if by_day else F.lit("")
@@ -138,18 +144,19 @@ def bulletin_lines(
     days = report_days(daily) if days is None else days
     name = F.coalesce("city", F.lit("?"))
     figures = [number_text(F.col(c)) for c in ("temp_avg", "temp_min", "temp_max", "precip_sum", "wind_avg")]
-    event = F.format_string(
+    event = _filled(
         EVENT_LINE, F.coalesce("event_type", F.lit("événement")), F.coalesce("severity", F.lit("?")),
         name, F.coalesce("detail", F.lit("")),
     )
-    forecast = F.format_string(
+    forecast = _filled(
         FORECAST_LINE, name, number_text(F.col("temp_predicted")), number_text(F.col("confidence"), 2)
     )
-    observed = F.format_string(OBSERVED_LINE, name, *figures)
+    observed = _filled(OBSERVED_LINE, name, *figures)
     body = [
         _lines(_preferred_rows(daily), 110, observed, by_day=False),
-        _lines(two_days(events), 210, F.rtrim(event)),
-        _lines(two_days(forecasts), 310, forecast),
+        # texts are made before a row is given to two days
+        _lines(two_days(events.select("dt", F.rtrim(event).alias("text"))), 210, F.col("text")),
+        _lines(two_days(forecasts.select("dt", forecast.alias("text"))), 310, F.col("text")),
     ]
 
     def frame(filled: list[Column]) -> list[tuple]:
@@ -173,7 +180,7 @@ def context_lines(
         shown = [c for c in names if c in df.columns]
         titles.append(" | ".join(shown))
         cells = F.concat_ws(" | ", *[_cell(df, c) for c in shown])
-        body.append(_lines(two_days(df), 100 * number + 10, cells))
+        body.append(_lines(two_days(df.select("dt", cells.alias("text"))), 100 * number + 10, F.col("text")))
 
     def frame(filled: list[Column]) -> list[tuple]:
         out = [(0, CONTEXT_OPENING)]
@@ -197,17 +204,19 @@ def documents(lines: DataFrame, part_lines: int = PART_LINES) -> DataFrame:
     """The text of each day in ordered parts of at most ``part_lines`` lines: ``dt``, ``part``, ``text``.
 
     The lines of all days are brought into one order by ranges, and counted by range, so a day with many
-    lines spans many tasks and none holds more than a part's lines as one text.
+    lines spans many tasks and none holds more than a part's lines as one text. A line's number within its range is
+    the place it was written at, so only the ranges' counts are joined; each day has a share in few of them.
     """
     order = ["report_dt", "section", "place", "line"]
+    ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
     # fixed, so that the counts and the rows see the same ranges
-    placed = settle(lines.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
-    counts = placed.groupBy("report_dt", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    placed = settle(ordered.select("report_dt", "line", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().alias("_at")))
+    counts = placed.groupBy("report_dt", "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = Window.partitionBy("report_dt").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("report_dt", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("report_dt", "_range").orderBy(*order[1:]))
-    numbered = placed.withColumn("_row", inside).join(starts, ["report_dt", "_range"])
-    numbered = numbered.withColumn("_row", F.col("_before") + F.col("_row") - 1)
+    starts = counts.select(
+        "report_dt", "_range", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_before")
+    )
+    numbered = placed.join(F.broadcast(starts), ["report_dt", "_range"]).withColumn("_row", F.col("_before") + F.col("_at"))
     part = F.floor(F.col("_row") / part_lines).cast("int").alias("part")
     ordered = F.array_sort(F.collect_list(F.struct("_row", "line")))
     text = F.array_join(F.transform(ordered, lambda x: x["line"]), "\n")
@@ -236,12 +245,14 @@ def write_bulletins(
     """Adds the bulletins of the days not done yet, or of all days when forced.
 
     Below a versioned root a day's bulletin is replaced, so a run that died before it marked its days and is
-    repeated leaves one bulletin a day.
+    repeated leaves one bulletin a day. A run that finds every day done makes no line.
     """
     keys = report_days(daily).withColumn("key", F.date_format("report_dt", "yyyy-MM-dd"))
     if not force:
         keys = ledger.pending(keys, ledger.read_ledger(spark, ledger_path), "bulletin")
     keys = settle(keys)
+    if keys.isEmpty():
+        return
     lines = bulletin_lines(daily, events, forecasts, keys.select("report_dt"))
     records = bulletin_records(documents(lines))
     if versions.is_versioned(spark, path):

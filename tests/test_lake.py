@@ -265,3 +265,33 @@ def test_a_bulletin_run_that_dies_before_it_marks_is_repeated_once(spark, root,
     run()
     run()
     assert rows_of(readers.read_table(spark, path).select("dt", "part", "bulletin")) == want
+
+
+def test_a_bulletin_run_with_every_day_done_makes_no_line(spark, monkeypatch):
+    daily = spark.createDataFrame([("2025-01-01", "Paris"), ("2025-01-02", "Paris")], "dt string, city string")
+    daily = daily.select(F.col("dt").cast("date").alias("dt"), "city", *[F.lit(5.0).alias(c) for c in ("temp_avg", "temp_min", "temp_max", "precip_sum", "wind_avg")])
+    events = spark.createDataFrame([], "dt date, city string, event_type string, severity string, detail string")
+    forecasts = spark.createDataFrame([("2025-01-02", None, 3.25, None)], "dt string, city string, temp_predicted double, confidence double")
+    path, book = scratch_path(spark, "bulletins"), scratch_path(spark, "ledger")
+    reports.write_bulletins(spark, daily, events, forecasts, path, book)
+    text = readers.latest_document(spark.read.parquet(path)).first()["bulletin"]
+    assert "  • ? : température prévue 3.3 °C (confiance N/A)." in text.split("\n")
+    before = spark.read.parquet(path).count(), ledger.read_ledger(spark, book).count()
+
+    def made(*_):
+        raise AssertionError("lines of days that are done")
+
+    monkeypatch.setattr(reports, "documents", made)
+    reports.write_bulletins(spark, daily, events, forecasts, path, book)
+    assert (spark.read.parquet(path).count(), ledger.read_ledger(spark, book).count()) == before
+
+
+def test_parts_of_a_report_are_cut_after_ranges_without_a_sort_by_day(spark):
+    lines = spark.range(500).selectExpr("date'2025-01-01' + CAST(id % 2 AS INT) AS report_dt", "CAST(id % 3 AS INT) AS section", "'' AS place", "concat('line ', id % 200) AS line")
+    texts = reports.documents(lines, part_lines=7)
+    found = {(r["dt"], r["part"]): r["text"].split("\n") for r in texts.collect()}
+    for day in range(2):
+        want = [x[1] for x in sorted((i % 3, f"line {i % 200}") for i in range(500) if i % 2 == day)]
+        assert [line for part in range(-(-len(want) // 7)) for line in found[f"2025-01-0{1 + day}", part]] == want
+    plan = texts._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan  # which would sort and send all lines once more
