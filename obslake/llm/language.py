@@ -27,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import documents, sliced
+from obslake.llm.common import documents, frugal, sliced
 
 #: the learning sample's bounds: texts per language, characters of each, distinct letters
 DOCUMENTS, CHARS_EACH, ALPHABET = 64, 400, 255
 LANE = 2048
 #: characters that a task walks at once
 CHARS = 3_000_000
+#: characters whose code points are looked up at once, which bounds a task's memory whatever a text's length
+BLOCK = 100_000
 UNKNOWN = "und"
 SEPARATOR, OTHER = 0, 1
 
@@ -113,21 +115,28 @@ class Model:
         kind = np.int32 if size * 4 < 2**31 else np.int64
         return cls(languages, symbols, table.astype(kind), np.array(starts, kind), np.array(weights))
 
-    def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Weighted phrases of each text (row) in each language (column), and symbols of each text."""
+    def _flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all texts, a run of SEPARATOR as one and none before a text's first letter, and their number in each."""
+        joined = "".join(texts)
+        raw = np.empty(len(joined), self.symbols.dtype)
+        for at in range(0, len(joined), BLOCK):
+            raw[at : at + BLOCK] = self.symbols[np.frombuffer(joined[at : at + BLOCK].encode("utf-32-le"), np.uint32)]
+        del joined
         sizes = np.array([len(text) for text in texts], np.int64)
-        ends = np.cumsum(sizes)
-        raw = self.symbols[np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)]
-        before = np.zeros_like(raw)
-        before[1:] = raw[:-1]
-        before[(ends - sizes)[sizes > 0]] = SEPARATOR
-        kept = (raw != SEPARATOR) | (before != SEPARATOR)
-        total = np.concatenate([[0], np.cumsum(kept)])
-        first, last = total[ends - sizes], total[ends]
-        letters = np.concatenate([[0], np.cumsum(raw != SEPARATOR)])
-        has_letter = letters[ends] > letters[ends - sizes]
-        flat = raw[kept]
+        starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+        kept = raw != SEPARATOR
+        after = kept[:-1].copy()
+        after[starts[1:] - 1] = False
+        kept[1:] |= after
+        if len(starts):
+            sizes[sizes > 0] = np.add.reduceat(kept, starts, dtype=np.int64)
+        return raw[kept], sizes
 
+    def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Weighted phrases of each text (row) in each language (column), and symbols of each text."""
+        flat, sizes = self._flat(texts)
+        last = np.cumsum(sizes)
+        first = last - sizes
         lanes_of = -(-(last - first) // LANE)
         owner = np.repeat(np.arange(len(texts)), lanes_of)
         place = np.arange(len(owner)) - np.repeat(np.cumsum(lanes_of) - lanes_of, lanes_of)
@@ -147,7 +156,7 @@ class Model:
         result = np.zeros((len(texts), len(self.languages)))
         for column, one in enumerate(counts):
             result[:, column] = np.bincount(owner, one, len(texts)) * self.weights[column]
-        return result, np.where(has_letter, last - first, 0)
+        return result, sizes
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score (relative distance of the runner-up) and bits per symbol of each text."""
@@ -197,7 +206,7 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
             columns = [batch.column("doc_id"), pa.array(found, pa.string()), pa.array(score), pa.array(rate)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "bits"])
 
-    return documents(docs).mapInArrow(predict, "doc_id long, lang_pred string, score double, bits double")
+    return documents(docs).mapInArrow(frugal(predict), "doc_id long, lang_pred string, score double, bits double")
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -223,4 +232,4 @@ def known_language(docs: DataFrame, most_bits: float = MOST_BITS) -> DataFrame:
             found, _, rate = shared.value.predict([text or "" for text in batch.column("text").to_pylist()])
             yield batch.filter(pa.array((np.array(found, object) != UNKNOWN) & (rate <= most_bits), pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(frugal(keep), docs.schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import int64, marked, mix, sliced, staged, word_hashes
+from obslake.llm.common import frugal, int64, marked, mix, sliced, staged, word_hashes
 from obslake.llm.graph import bucket_links, components
 
 K, SIMILARITY = 5, 0.8
@@ -160,7 +160,7 @@ def sketched(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "id", "bands"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text"), F.xxhash64(_text()).alias("id"))
-    return rows.mapInArrow(sketch, "doc_id long, id long, bands array<long>")
+    return rows.mapInArrow(frugal(sketch), "doc_id long, id long, bands array<long>")
 
 
 def _words(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -173,7 +173,7 @@ def _words(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     texts = marked(docs.select(_text().alias("text"), F.xxhash64(_text()).alias("__id")), ids, "known").where("known")
     texts = texts.select(F.col("__id").alias("id"), "text").dropDuplicates(["id"])
-    return texts.join(ids, "id", "left_semi").mapInArrow(code, "id long, words binary")
+    return texts.join(ids, "id", "left_semi").mapInArrow(frugal(code), "id long, words binary")
 
 
 def _hints(words: DataFrame) -> DataFrame:
@@ -192,7 +192,7 @@ def _hints(words: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["id", "shingles", "parities", *_PARITIES])
 
     more = ", ".join(f"{name} long" for name in _PARITIES)
-    return words.mapInArrow(hint, f"id long, shingles int, parities array<long>, {more}")
+    return words.mapInArrow(frugal(hint), f"id long, shingles int, parities array<long>, {more}")
 
 
 def _unlike(x: Column, y: Column) -> Column:
@@ -229,7 +229,7 @@ def _measured(pairs: DataFrame, words: DataFrame, least: float) -> DataFrame:
 
     left = words.select(F.col("id").alias("a"), F.col("words").alias("x"))
     right = words.select(F.col("id").alias("b"), F.col("words").alias("y"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(measure, "a long, b long, d double")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(frugal(measure), "a long, b long, d double")
 
 
 def near_links(sketches: DataFrame, docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obslake.llm.common import Cache, documents, staged
+from obslake.llm.common import Cache, documents, frugal, staged
 
 CAPACITY = 2048
 TOKENIZER = "byte_bpe_50k.json"
@@ -96,14 +96,16 @@ class Encoder:
         first, *rest = line.split(" ")
         return self.heads[first] + b"".join(map(self.parts.__getitem__, rest))
 
+    def forget(self) -> None:
+        """Drops the caches; their functions hold the encoder, which would outlive its task until a collection of cycles."""
+        del self.parts, self.heads
+
     def encode(self, text: str) -> bytes:
         if (any(pair in text for pair in _PAIRS) or _ODD.search(text)) and _RUNS.search(text):
             return self._ids(text)
         return self.line_end.join(map(self._line, text.split("\n")))
 
 
-_ENCODERS = Cache(Encoder, 4)
-
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -121,28 +123,31 @@ def tokenised(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = _ENCODERS[path]
-        for whole in batches:
-            for batch in (whole.slice(at, 1000) for at in range(0, whole.num_rows, 1000)):
-                texts = [text or "" for text in batch.column("text").to_pylist()]
-                rows, columns, ids = [], ([], [], [], []), []
-                for row, text in enumerate(texts):
-                    code = encoder.encode(text) + bytes(4)  # END_ID
-                    for piece, (start, end) in enumerate(_cut(len(code) // 4, capacity)):
-                        part = code[4 * start : 4 * end]
-                        rows.append(row)
-                        for column, value in zip(columns, (piece, start, end - start, zlib.crc32(part)), strict=True):
-                            column.append(value)
-                        if with_ids:
-                            ids.append(np.frombuffer(part, "<i4"))
-                out = [batch.column("doc_id").take(pa.array(rows, pa.int64()))]
-                out += [pa.array(column, kind) for column, kind in zip(columns, (pa.int32(), *[pa.int64()] * 3), strict=True)]
-                if with_ids:
-                    out.append(pa.array(ids, pa.list_(pa.int32())))
-                names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(out)]
-                yield pa.RecordBatch.from_arrays(out, names)
-
-    return documents(docs).mapInArrow(pieces, PIECES + (", ids array<int>" if with_ids else ""))
+        encoder = Encoder(path)
+        try:
+            for whole in batches:
+                for batch in (whole.slice(at, 1000) for at in range(0, whole.num_rows, 1000)):
+                    texts = [text or "" for text in batch.column("text").to_pylist()]
+                    rows, columns, ids = [], ([], [], [], []), []
+                    for row, text in enumerate(texts):
+                        code = encoder.encode(text) + bytes(4)  # END_ID
+                        for piece, (start, end) in enumerate(_cut(len(code) // 4, capacity)):
+                            part = code[4 * start : 4 * end]
+                            rows.append(row)
+                            for column, value in zip(columns, (piece, start, end - start, zlib.crc32(part)), strict=True):
+                                column.append(value)
+                            if with_ids:
+                                ids.append(np.frombuffer(part, "<i4"))
+                    out = [batch.column("doc_id").take(pa.array(rows, pa.int64()))]
+                    out += [pa.array(column, kind) for column, kind in zip(columns, (pa.int32(), *[pa.int64()] * 3), strict=True)]
+                    if with_ids:
+                        out.append(pa.array(ids, pa.list_(pa.int32())))
+                    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(out)]
+                    yield pa.RecordBatch.from_arrays(out, names)
+        finally:
+            encoder.forget()
+
+    return documents(docs).mapInArrow(frugal(pieces), PIECES + (", ids array<int>" if with_ids else ""))
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -232,7 +237,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int = BUCKETS) ->
     counted = dealt.groupBy("length", "bucket").agg(F.count("*").alias("pieces"))
     lengths = counted.groupBy("length").agg(F.sum("pieces").alias("pieces")).collect()  # at most `capacity` rows
     runs = plan({row["length"]: row["pieces"] for row in lengths}, capacity)
-    schema = "length long, first_rank long, ranks long, first_sequence long, each long, run_offset long"
+    names = ["run_length", "first_rank", "ranks", "first_sequence", "each", "run_offset"]
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counted.select("length", "bucket", F.coalesce(F.sum("pieces").over(before), F.lit(0)).alias("before"))
     order = Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "ids_crc32")
@@ -241,7 +246,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int = BUCKETS) ->
         .join(F.broadcast(starts), ["length", "bucket"])  # at most capacity * buckets rows
         .withColumn("rank", F.col("before") + F.col("row") - 1)
     )
-    runs = F.broadcast(spark.createDataFrame(runs, schema).withColumnRenamed("length", "run_length"))
+    # as an Arrow table: a list of rows would be read by Python workers, which stay idle beside the others
+    columns = [pa.array(column, pa.int64()) for column in np.array(runs, np.int64).reshape(-1, len(names)).T]
+    runs = F.broadcast(spark.createDataFrame(pa.Table.from_arrays(columns, names)))
     inside = (F.col("length") == F.col("run_length")) & F.col("rank").between(
         F.col("first_rank"), F.col("first_rank") + F.col("ranks") - 1
     )

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obslake.llm.common import sliced, word_hashes
+from obslake.llm.common import frugal, sliced, word_hashes
 
 #: bounds of the learning sample
 LABELLED, POOL = 12_000, 12_000
@@ -216,7 +216,7 @@ def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
             vectors = [pa.array([row.tobytes() for row in x.astype(np.float32)], pa.binary()) for x in _features(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), *vectors], ["doc_id", "quality", "content", "meta"])
 
-    found = rows.mapInArrow(compute, "doc_id long, quality int, content binary, meta binary")
+    found = rows.mapInArrow(frugal(compute), "doc_id long, quality int, content binary, meta binary")
     # repeated documents count once
     found = found.groupBy("doc_id").agg(*(F.max(name).alias(name) for name in ("quality", "content", "meta")))
     sample = found.orderBy("doc_id").toArrow()  # bounded, features only
@@ -243,7 +243,7 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
             columns = [batch.column("doc_id"), *map(pa.array, (content, meta, both, both >= threshold))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_score", "meta_score", "score", "keep"])
 
-    return _columns(docs).mapInArrow(score, "doc_id long, text_score double, meta_score double, score double, keep boolean")
+    return _columns(docs).mapInArrow(frugal(score), "doc_id long, text_score double, meta_score double, score double, keep boolean")
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -254,4 +254,4 @@ def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
         for batch in sliced(batches, 2_000_000):
             yield batch.filter(pa.array(_scores(model.value, batch)[2] >= threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(frugal(keep), docs.schema)

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -79,3 +80,18 @@ def test_empty_and_unlabelled(nothing, corpus):
     assert language.identified(nothing).count() == 0
     rows = language.identified(corpus.withColumn("lang", language.F.lit(None).cast("string")))
     assert {row["lang_pred"] for row in rows.collect()} == {"und"}
+
+
+def test_phrases_hold_few_bytes_a_character():
+    rng = random.Random(5)
+    model = language.Model.of({lang: [sentence(rng, lang, 60)] for lang in ("en", "fr")})
+    texts = ["", " ", *(sentence(rng, "en", 400) for _ in range(400)), "12", sentence(rng, "fr", 30_000)]
+    tracemalloc.start()
+    try:
+        _, sizes = model.phrases(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 16 * sum(map(len, texts))
+    assert sizes[[0, 1, -2]].tolist() == [0, 0, 0] and (np.delete(sizes, [0, 1, -2]) > 0).all()
+    assert sizes.tolist() == [len(language._symbols_of(model.symbols, text)) for text in texts]

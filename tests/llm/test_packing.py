@@ -1,8 +1,10 @@
+import gc
 import random
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -68,3 +70,28 @@ def test_sequences_hold_the_ids(corpus):
 
 def test_empty_table(nothing):
     assert packing.packed_documents(nothing).count() == 0
+
+
+def test_an_encoder_goes_with_its_task(monkeypatch):
+    class Frame:
+        def mapInArrow(self, function, schema):
+            return function
+
+    monkeypatch.setattr(packing, "documents", lambda docs: Frame())
+    pieces = packing.tokenised(None)
+    gc.collect()
+    gc.disable()
+    try:
+        batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words", None]})
+        assert sum(part.num_rows for part in pieces(iter([batch]))) == 2
+        assert not [x for x in gc.get_objects() if type(x) is packing.Encoder]
+    finally:
+        gc.enable()
+
+
+def test_runs_are_read_without_python_workers(spark):
+    pieces = spark.createDataFrame([(1, 0, 5, 7)], "doc_id long, start long, length long, ids_crc32 long")
+    from_list = spark.createDataFrame([(1,)], "n long")
+    seen = [rows._jdf.queryExecution().toString() for rows in (packing.pack(pieces.localCheckpoint()), from_list)]
+    assert [text.count("run_length") > 0 for text in seen] == [True, False]
+    assert "LocalRelation" in seen[0] and "LocalRelation" not in seen[1]
